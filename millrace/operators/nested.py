@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
 
 from millrace.functions import jsontext
 
@@ -49,5 +49,3 @@ def first(values: Column) -> Column:
     return F.get(values, F.lit(0))
 
 
-def is_record(df: DataFrame, column: str) -> bool:
-    return isinstance(df.schema[column].dataType, T.StructType)

@@ -175,7 +175,8 @@ METER_SQL = """
 
 
 def play_documents(events: DataFrame) -> DataFrame:
-    """One reply per event with two plays; the second has no artist below ``k = 50``."""
+    """One reply per event with two plays; the second comes half a minute later and has no
+    artist below ``k = 50``. Some stamps meet, so some keys repeat."""
 
     def play(song: Column, artists: Column, at: Column) -> Column:
         album = F.struct(artists.alias("artists"))
@@ -184,13 +185,17 @@ def play_documents(events: DataFrame) -> DataFrame:
             at.alias("played_at"),
         )
 
-    stamp = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))
+    def stamp(at: Column) -> Column:
+        return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+    at = F.col("ts")
+    later = at + F.expr("INTERVAL 30 SECOND")
     artist = F.array(F.struct(F.concat(F.lit("artist"), "user_id").alias("name")))
     none = F.array().cast("array<struct<name:string>>")
     return events.select(
         F.array(
-            play(F.col("event_type"), artist, stamp),
-            play(F.col("props"), F.when(prop() < 50, none).otherwise(artist), stamp),
+            play(F.col("event_type"), artist, stamp(at)),
+            play(F.col("props"), F.when(prop() < 50, none).otherwise(artist), stamp(later)),
         ).alias("items")
     )
 
@@ -204,7 +209,8 @@ PLAYS_SQL = """
     SELECT props,
         CASE WHEN CAST(json_extract_string(props, '$.k') AS INTEGER) >= 50
              THEN 'artist' || user_id END,
-        strftime(ts, '%Y-%m-%dT%H:%M:%SZ'), strftime(ts, '%Y-%m-%d')
+        strftime(ts + INTERVAL 30 SECOND, '%Y-%m-%dT%H:%M:%SZ'),
+        strftime(ts + INTERVAL 30 SECOND, '%Y-%m-%d')
     FROM events
 """
 

@@ -71,8 +71,8 @@ def since_inclusive(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "FLT5 DAT10",
     """
-    SELECT event_id, epoch_ms(ts) // 1000 * 1000 AS millis FROM events
-    WHERE epoch_ms(ts) > 1705276800000
+    SELECT event_id, epoch_us(ts) // 1000000 * 1000 AS millis FROM events
+    WHERE epoch_us(ts) // 1000 > 1705276800000
     """,
 )
 def after_millis(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -147,6 +147,13 @@ PLAYS_RESPONSE = _struct(
 PLAY_COLUMNS = ["song_name", "artist_name", "played_at", "timestamp"]
 PLAYS = T.StructType([T.StructField(name, STRING) for name in PLAY_COLUMNS])
 
+# Fixed by Spark's binary file source.
+FILE = _struct(
+    path=STRING,
+    modificationTime=T.TimestampType(),
+    length=T.LongType(),
+    content=T.BinaryType(),
+)
 LANDED_FILE = T.StructType(
     [
         T.StructField("path", STRING),

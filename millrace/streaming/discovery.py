@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace import schemas
+
 
 def new_files(
     spark: SparkSession, folder: str, pattern: str | None = None, max_files: int | None = None
@@ -14,7 +16,7 @@ def new_files(
 
     ``max_files`` bounds one micro-batch; the rest follows in the next ones.
     """
-    reader = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true")
+    reader = spark.readStream.format("binaryFile").schema(schemas.FILE).option("recursiveFileLookup", "true")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     if max_files:
