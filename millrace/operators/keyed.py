@@ -27,5 +27,7 @@ def new_rows(incoming: DataFrame, existing: DataFrame, key: list[str]) -> DataFr
     Both sides are reduced to one row per key first. Their exchanges serve the join too,
     and no key is heavy on either side.
     """
-    keyed = incoming.dropna(subset=key)
+    keyed = incoming
+    for name in key:
+        keyed = keyed.where(F.col(name).isNotNull())
     return one_per_key(keyed, key).join(existing.select(*key).distinct(), key, "left_anti")

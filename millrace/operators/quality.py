@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -75,13 +76,34 @@ def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def rows_of_duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
-    """Every copy behind a repeated key.
+def mark_repeated(
+    df: DataFrame,
+    key: list[str],
+    n_rows: int,
+    *,
+    name: str = "repeated",
+    rows_per_task: int = 1_000_000,
+) -> DataFrame:
+    """Every row, with a flag that tells whether another row has the same key.
 
-    The rows are the streamed side, which adaptive execution splits when one key is hot;
-    the other side has one row per repeated key and is broadcast only if found small.
+    A window or a plain join would bring all copies of a key to one task. Here a key with
+    more than ``rows_per_task`` copies is spread over several join keys by the input split
+    its rows come from, which is the same when a lost task runs again. Fewer than 100,000
+    keys can be that hot among ``n_rows`` rows, so their list is broadcast.
+    Rows with a null key are not marked: they fail the null gate.
     """
-    return df.join(duplicate_keys(df, key).select(*key), key, "left_semi")
+    per_task = max(rows_per_task, math.ceil(n_rows / 100_000))
+    counts = duplicate_keys(df, key).withColumn("_spread", F.ceil(F.col("n") / per_task).cast("int"))
+    hot = counts.where(F.col("_spread") > 1).select(*key, "_spread")
+    marks = counts.select(
+        *key,
+        F.explode(F.sequence(F.lit(0), F.col("_spread") - 1)).alias("_salt"),
+        F.lit(True).alias(name),
+    )
+    salt = F.coalesce(F.pmod(F.spark_partition_id(), F.col("_spread")), F.lit(0))
+    salted = df.join(F.broadcast(hot), key, "left").withColumn("_salt", salt)
+    marked = salted.join(marks, [*key, "_salt"], "left")
+    return marked.select(*df.columns, F.coalesce(name, F.lit(False)).alias(name))
 
 
 def faults(columns: list[str], day: Column, expected_day: Column) -> Column:

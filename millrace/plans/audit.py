@@ -63,7 +63,9 @@ def usage_rollup(log: DataFrame) -> DataFrame:
 
 
 def with_day_parts(rolled: DataFrame) -> DataFrame:
-    return rolled.withColumns(dates.day_parts(F.col(schemas.USAGE_MINUTE)))
+    """The minute as a timestamp, and its day as partition columns."""
+    typed = rolled.withColumn(schemas.USAGE_MINUTE, F.col(schemas.USAGE_MINUTE).cast("timestamp"))
+    return typed.withColumns(dates.day_parts(F.col(schemas.USAGE_MINUTE)))
 
 
 def midnight(moment: dt.datetime) -> dt.datetime:
@@ -101,21 +103,22 @@ def run(
     low, high = bounds(watermark, run_ts, reread_days)
     kind = log.schema["TimeGenerated"].dataType.simpleString()
     wanted = log.where(between_instants(F.col("TimeGenerated"), low, high, kind))
-    return _load(spark, usage_rollup(wanted), target, state, midnight(watermark), high)
+    return _load(usage_rollup(wanted), target, state, low, midnight(watermark), high)
 
 
 def _load(
-    spark: SparkSession,
     rolled: DataFrame,
     target: str,
     state: str,
+    low: dt.datetime,
     watermark: dt.datetime,
     high: dt.datetime,
 ) -> RunResult:
-    n = write_days(with_day_parts(rolled), target)
+    """Write, then publish. ``high`` is the end of the last complete day."""
+    n = write_days(with_day_parts(rolled), target, balance=(high - low).days > 2)
     if n == 0:
         return RunResult(NO_DATA)
-    publish_watermark(spark, state, max(watermark, high), form="csv")
+    publish_watermark(rolled.sparkSession, state, max(watermark, high), form="csv")
     return RunResult(LOADED, rows=n, watermark=max(watermark, high))
 
 
@@ -152,7 +155,7 @@ def run_replies(
         raise QualityError(f"{n_repeated} hours have more than one good reply")
     end = high if stop is None else dt.datetime.fromtimestamp(stop, dt.timezone.utc)
     taken = due.where(between_instants(F.col("slice_start"), low, end))
-    return _load(spark, reply_rows(taken), target, state, midnight(watermark), midnight(end))
+    return _load(reply_rows(taken), target, state, low, midnight(watermark), midnight(end))
 
 
 def reply_status(replies: DataFrame) -> DataFrame:

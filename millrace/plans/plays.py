@@ -90,7 +90,7 @@ def run(
     if strict:
         gates.enforce()
     elif gates.violations():
-        rows, rejected = _set_aside(rows, expected_day, quarantine)
+        rows, rejected = _set_aside(rows, expected_day, quarantine, gates.n_rows)
     n = write_snapshot(rows, snapshot)
     if history is not None:
         append_new(rows, history, KEY)
@@ -98,18 +98,15 @@ def run(
 
 
 def _set_aside(
-    rows: DataFrame, expected_day: dt.date, quarantine: str | None
+    rows: DataFrame, expected_day: dt.date, quarantine: str | None, n_rows: int
 ) -> tuple[DataFrame, int]:
     if quarantine is None:
         raise ValueError("a run that is not strict needs a quarantine folder")
     fault = quality.faults(schemas.PLAY_COLUMNS, play_day(), F.lit(expected_day))
-    sound = rows.where(fault == "")
+    sound = quality.mark_repeated(rows.where(fault == ""), KEY, n_rows)
     faulty = rows.withColumn("reason", fault).where("reason <> ''")
-    repeated = quality.rows_of_duplicate_keys(sound, KEY).withColumn(
-        "reason", F.lit("repeated key")
+    repeated = sound.where("repeated").select(
+        *schemas.PLAY_COLUMNS, F.lit("repeated key").alias("reason")
     )
     rejected = write_snapshot(faulty.unionByName(repeated), quarantine)
-    kept = sound.join(
-        quality.duplicate_keys(sound, KEY).select(*KEY), KEY, "left_anti"
-    ).select(*schemas.PLAY_COLUMNS)
-    return kept, rejected
+    return sound.where("NOT repeated").select(*schemas.PLAY_COLUMNS), rejected

@@ -109,13 +109,11 @@ def lineitem_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def hour_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Errors per hour, hours without any included."""
-    events = table(spark, sf_dir, "events")
-    edges = events.agg(
-        dates.truncate(F.min("ts"), "day", "timestamp_ntz").alias("low"),
-        (dates.truncate(F.max("ts"), "day", "timestamp_ntz") + F.expr("INTERVAL 23 HOUR")).alias("high"),
-    )
-    hourly = (
-        _hourly(events.where("event_type = 'error'")).groupBy("hour").agg(F.count(F.lit(1)).alias("n"))
+    errors = F.count_if(F.col("event_type") == "error")
+    hourly = derive.written_hours(table(spark, sf_dir, "events"), errors.alias("n"))
+    edges = hourly.agg(
+        dates.truncate(F.min("hour"), "day", "timestamp_ntz").alias("low"),
+        (dates.truncate(F.max("hour"), "day", "timestamp_ntz") + F.expr("INTERVAL 23 HOUR")).alias("high"),
     )
     grid = ops.hours_between(edges, F.col("low"), F.col("high"))
     return ops.on_grid(grid, hourly).select(

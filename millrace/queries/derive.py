@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions import dates
+from millrace.session import shared_folder
 
 
 
@@ -23,7 +25,7 @@ def prop(name: str = "k") -> Column:
 def usage_log(events: DataFrame) -> DataFrame:
     """One log row per event. Zero and null CPU times, absent roles, empty sources and
     malformed JSON all occur."""
-    k = prop()
+    events, k = events.withColumn("k", prop()), F.col("k")
     roles = (
         F.when(k < 25, F.lit(None).cast("array<string>"))
         .when(k < 50, F.array().cast("array<string>"))
@@ -40,7 +42,7 @@ def usage_log(events: DataFrame) -> DataFrame:
         k.alias("VisualId"),
         host.alias("HostProperties"),
     )
-    sources = F.when(k >= 10, F.array(one_source)).otherwise(F.array().cast("array<struct<ReportId:string,VisualId:int,HostProperties:struct<ConsumptionMethod:string,UserSession:string>>>"))
+    sources = F.filter(F.array(one_source), lambda _: k >= 10)
     context = F.to_json(
         F.struct(F.concat(F.lit("ds"), k).alias("DatasetId"), sources.alias("Sources"))
     )
@@ -242,6 +244,20 @@ def envelopes(events: DataFrame) -> DataFrame:
     return events.select("event_id", F.to_json(F.struct(tables.alias("tables"))).alias("body"))
 
 
+# --- hours ---------------------------------------------------------------------------------
+
+
+def written_hours(events: DataFrame, *figures: Column) -> DataFrame:
+    """Figures per hour as a written table: they are read more than once, and so the events
+    are not."""
+    spark = events.sparkSession
+    folder = shared_folder(spark, "hours")
+    hour = dates.truncate(F.col("ts"), "hour", "timestamp_ntz").alias("hour")
+    hourly = events.groupBy(hour).agg(*figures)
+    hourly.write.parquet(folder)
+    return spark.read.schema(hourly.schema).parquet(folder)
+
+
 # --- files ---------------------------------------------------------------------------------
 
 

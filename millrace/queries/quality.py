@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.operators import quality as ops
 from millrace.operators import rollup
 from millrace.operators.keyed import one_per_key
+from millrace.queries.derive import written_hours
 from millrace.queries.registry import query, table
 
 
@@ -75,7 +76,8 @@ def repeated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"
     )
-    return ops.rows_of_duplicate_keys(lines, ["l_orderkey", "l_linenumber"])
+    marked = ops.mark_repeated(lines, ["l_orderkey", "l_linenumber"], lines.count())
+    return marked.where("repeated").drop("repeated")
 
 
 @query(
@@ -127,15 +129,14 @@ def one_row_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 def complete_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hours before the first one that failed or is missing. An hour counts as failed if
     most of its events are errors."""
-    hours = (
-        table(spark, sf_dir, "events")
-        .groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            (F.count_if(F.col("event_type") == "error") * 2 <= F.count(F.lit(1))).alias("good"),
-        )
+    n = F.count(F.lit(1))
+    hours = written_hours(
+        table(spark, sf_dir, "events"),
+        n.alias("n"),
+        (F.count_if(F.col("event_type") == "error") * 2 <= n).alias("good"),
     )
     edges = hours.agg(F.min("hour").alias("low"), F.max("hour").alias("high"))
     grid = rollup.hours_between(edges, F.col("low"), F.col("high"))
-    stop = rollup.first_break(grid, hours, "hour", "good").select("stop").scalar()
-    return hours.where("good").where(stop.isNull() | (F.col("hour") < stop)).select("hour", "n")
+    stop, _ = rollup.first_break(grid, hours, "hour", "good").first()
+    kept = hours.where("good")
+    return (kept if stop is None else kept.where(F.col("hour") < F.lit(stop))).select("hour", "n")

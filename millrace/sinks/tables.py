@@ -25,15 +25,18 @@ def counted(seen: Observation) -> int:
     return int(seen.get.get("n") or 0)
 
 
-def write_days(df: DataFrame, folder: str, parts: list[str] | None = None) -> int:
+def write_days(
+    df: DataFrame, folder: str, parts: list[str] | None = None, *, balance: bool = True
+) -> int:
     """Replace the day partitions that ``df`` holds, and only those; returns the row count.
 
-    ``rebalance`` brings each day to few tasks, so a day gets few files, and lets adaptive
-    execution split a day that is far larger than the others over many tasks.
+    ``balance`` brings each day to few tasks, so a day gets few files, and lets adaptive
+    execution split a day that is far larger than the others over many tasks. For a day or
+    two it would be a shuffle for nothing.
     """
     parts = parts or schemas.DAY_PARTS
-    balanced = df.hint("rebalance", *[F.col(p) for p in parts])
-    rows, seen = count_rows(balanced, "days")
+    spread = df.hint("rebalance", *[F.col(p) for p in parts]) if balance else df
+    rows, seen = count_rows(spread, "days")
     (
         rows.write.partitionBy(*parts)
         .option("partitionOverwriteMode", "dynamic")
