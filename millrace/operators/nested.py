@@ -40,8 +40,12 @@ def list_to_rows(df: DataFrame, values: Column, name: str = "Column1") -> DataFr
 
 
 def record_to_rows(df: DataFrame, text: Column, *keep: str) -> DataFrame:
-    """A JSON record of unknown fields as ``(Name, Value)`` rows, values as text."""
-    return df.select(*keep, F.explode(jsontext.parse_pairs(text)).alias("Name", "Value"))
+    """A JSON record of unknown fields as ``(Name, Value)`` rows, values as text.
+
+    An inner explode would have the optimizer parse the text twice, once to test it.
+    """
+    pairs = F.explode_outer(jsontext.parse_pairs(text)).alias("Name", "Value")
+    return df.select(*keep, pairs).where(F.col("Name").isNotNull())
 
 
 def first(values: Column) -> Column:

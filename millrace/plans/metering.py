@@ -12,7 +12,8 @@ from millrace.functions import dates, numbers, text
 from millrace.operators.nested import expand_list, expand_record
 from millrace.operators.predicates import differs
 from millrace.plans.result import LOADED, NO_DATA, RunResult
-from millrace.sources.documents import read_documents
+from millrace.sinks.tables import counted, write_snapshot
+from millrace.sources.documents import CORRUPT, read_documents
 
 # The output columns, and the position that a 25-hour day adds.
 READING_COLUMNS = ["Dato", "Tidspunkt", "kWh"]
@@ -25,20 +26,25 @@ def read(spark: SparkSession, path: str, *, multi_line: bool = False) -> DataFra
 
 
 def points(documents: DataFrame) -> DataFrame:
-    """One row per point with its interval. Each level takes along only what is needed:
-    column pruning does not reach through nested lists by itself."""
+    """One row per point with its interval.
+
+    Each level first takes what is needed out of the record, then opens the list: column
+    pruning does not reach through nested lists by itself, and a list opened inside its
+    record would copy the whole record to each point.
+    """
     return (
         documents.select(F.explode_outer("result").alias("entry"))
-        .select(
-            F.explode_outer("entry.MyEnergyData_MarketDocument.TimeSeries").alias("series")
-        )
-        .select(F.explode_outer("series.Period").alias("period"))
+        .select(F.col("entry.MyEnergyData_MarketDocument.TimeSeries").alias("series"))
+        .select(F.explode_outer("series").alias("series"))
+        .select(F.col("series.Period").alias("period"))
+        .select(F.explode_outer("period").alias("period"))
         .select(
             F.col("period.resolution").alias("resolution"),
             F.col("period.timeInterval.start").alias("start"),
             F.col("period.timeInterval.end").alias("end"),
-            F.explode_outer("period.Point").alias("point"),
+            F.col("period.Point").alias("point"),
         )
+        .select("resolution", "start", "end", F.explode_outer("point").alias("point"))
         .select(
             "resolution",
             "start",
@@ -167,8 +173,18 @@ def unreadable(points: DataFrame) -> Column:
     )
 
 
-def rejects(points: DataFrame) -> DataFrame:
-    return points.withColumn("reason", unreadable(points)).where("reason <> ''")
+def rejects(documents: DataFrame) -> DataFrame:
+    """``reason, text``: points that cannot be read, and bodies that do not parse."""
+    found = points(documents)
+    bad_points = found.select(
+        unreadable(found).alias("reason"), F.to_json(F.struct(*found.columns)).alias("text")
+    ).where("reason <> ''")
+    # The test on ``result`` is always true: Spark refuses to read the corrupt column alone.
+    read_too = F.coalesce(F.size("result"), F.lit(0)) >= 0
+    bad_bodies = documents.where(F.col(CORRUPT).isNotNull() & read_too)
+    return bad_points.unionByName(
+        bad_bodies.select(F.lit("document").alias("reason"), F.col(CORRUPT).alias("text"))
+    )
 
 
 def within(readings: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
@@ -192,20 +208,20 @@ def run(
 
     Rejects are counted while the snapshot is written; a second pass runs only to keep them.
     """
-    found = points(read(spark, landed, multi_line=multi_line))
+    documents = read(spark, landed, multi_line=multi_line)
+    unparsed, unread = Observation("bodies"), Observation("points")
+    sound = documents.observe(
+        unparsed, F.count_if(F.col(CORRUPT).isNotNull()).alias("n")
+    ).where(F.col(CORRUPT).isNull())
+    found = points(sound)
     if resolution is not None:
         found = found.where(F.col("resolution") == resolution)
-    seen = Observation("points")
-    watched = found.observe(
-        seen, F.count_if(unreadable(found) != "").alias("n_rejected")
-    )
+    watched = found.observe(unread, F.count_if(unreadable(found) != "").alias("n"))
     result = readings(watched) if zone is None else zoned_readings(watched, zone)
     if first is not None and last is not None:
         result = within(result, first, last)
-    kept = Observation("readings")
-    result.observe(kept, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(target)
-    n_rejected = int(seen.get.get("n_rejected") or 0)
+    n = write_snapshot(result, target)
+    n_rejected = counted(unparsed) + counted(unread)
     if n_rejected and rejects_to:
-        rejects(found).write.mode("overwrite").parquet(rejects_to)
-    n = int(kept.get.get("n") or 0)
+        write_snapshot(rejects(documents), rejects_to)
     return RunResult(LOADED if n else NO_DATA, rows=n, rejected=n_rejected)

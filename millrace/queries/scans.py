@@ -78,7 +78,7 @@ def file_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = file_source.read_files(spark, event_files(spark, sf_dir), "*.txt")
     lines = text.split_every(F.decode("content", "UTF-8"), "\n")
     return found.select(
-        derive.file_day(F.col("path")).alias("day"), F.explode(lines).alias("line")
+        derive.file_day(F.col("path")).alias("day"), F.explode_outer(lines).alias("line")
     ).where("line <> ''")
 
 

@@ -32,6 +32,17 @@ def require_utc(spark: SparkSession) -> None:
         raise ValueError(f"spark.sql.session.timeZone must be UTC, not {zone}")
 
 
+def _file_system(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    """Whether anything was written there yet; storage errors propagate."""
+    files, path = _file_system(spark, folder)
+    return files.exists(path)
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder that every executor can reach.
 
@@ -45,6 +56,6 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         parent = tempfile.mkdtemp(prefix="millrace-")
     folder = f"{parent.rstrip('/')}/millrace-{purpose}-{uuid.uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    files, path = _file_system(spark, folder)
+    files.deleteOnExit(path)
     return folder

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace import schemas
 from millrace.operators.keyed import new_rows
+from millrace.session import folder_exists
 
 
 def count_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -66,12 +66,9 @@ def write_snapshot(df: DataFrame, folder: str, form: str = "parquet") -> int:
 
 def read_table(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
     """Table under ``folder``, empty if nothing was written yet."""
-    try:
-        return spark.read.schema(schema).parquet(folder)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not folder_exists(spark, folder):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(folder)
 
 
 def append_new(df: DataFrame, folder: str, key: list[str]) -> int:

@@ -37,12 +37,18 @@ def envelope_rows(
 
     Positions are looked up by column name once per envelope, so a reply may order its
     columns as it likes; a column it lacks is null, and so is a cell that does not cast.
+    The list of rows is a column of its own before it is opened: opened inside a record, the
+    whole record would be copied to each of its rows. The outer form is used since the inner
+    one makes the optimizer test the list ahead of time, and so parse the body twice.
     """
     table = F.get(tables, F.lit(0))
     names = F.transform(table["columns"], lambda c: c["name"])
-    spots = F.array(*[F.array_position(names, f.name) - 1 for f in columns.fields])
-    exploded = envelopes.select(
-        *keep, spots.cast("array<int>").alias("_spots"), F.explode(table["rows"]).alias("_cells")
+    spots = F.array(*[F.array_position("_names", f.name) - 1 for f in columns.fields])
+    exploded = (
+        envelopes.select(*keep, names.alias("_names"), table["rows"].alias("_rows"))
+        .select(*keep, spots.cast("array<int>").alias("_spots"), "_rows")
+        .select(*keep, "_spots", F.explode_outer("_rows").alias("_cells"))
+        .where(F.col("_cells").isNotNull())
     )
     cells = [
         _cell(F.col("_cells"), F.col("_spots")[i], f).alias(f.name)

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import schemas
+from millrace.session import folder_exists
 
 # Stamp formats of the state files and the start used before any state exists.
 CSV_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -45,15 +45,11 @@ def read_watermark(
     """
     pattern = {"csv": CSV_FORMAT, "text": TEXT_FORMAT}[form]
     reader = {"csv": read_csv_state, "text": read_text_state}[form]
-    try:
-        state = reader(spark, folder)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not folder_exists(spark, folder):
         if default is None:
-            raise FileNotFoundError(f"no watermark state in {folder}") from error
+            raise FileNotFoundError(f"no watermark state in {folder}")
         return default
-    row = parsed(state, pattern).first()
+    row = parsed(reader(spark, folder), pattern).first()
     if row.n_lines == 0 and default is not None:
         return default
     if row.n_bad or row.seconds is None:
