@@ -81,7 +81,7 @@ def main() -> int:
         try:
             got = item.run(spark, options.sf).toArrow()
             spent = time.time() - start
-            found = compare(got, db.execute(item.sql).to_arrow_table()) if item.sql else []
+            found = compare(got, db.sql(item.sql).to_arrow_table()) if item.sql else []
         except Exception as error:  # report and go on with the next query
             spent, found, got = time.time() - start, [f"{type(error).__name__}: {str(error)[:600]}"], None
         failed += bool(found)
