@@ -12,7 +12,8 @@ from millrace.functions import dates
 from millrace.operators import quality
 from millrace.operators.nested import first
 from millrace.plans.result import LOADED, NO_DATA, RunResult
-from millrace.sinks.tables import append_new, write_snapshot
+from millrace.session import shared_folder
+from millrace.sinks.tables import append_new, counted, write_snapshot
 from millrace.sources.documents import CORRUPT, read_documents
 
 KEY = ["played_at"]
@@ -73,27 +74,29 @@ def run(
 ) -> RunResult:
     """Check the last 24 hours of plays, then replace the snapshot and extend the history.
 
-    Strict runs stop at the first violated gate with nothing written. Others put faulty
+    Strict runs stop at the first violated gate with nothing published. Others put faulty
     rows and all copies of a repeated key into the quarantine and go on with the rest.
+    Replies are parsed once, into a narrow staged table; gates and sinks read that one.
     """
     documents = read(spark, landed, multi_line=multi_line).drop(CORRUPT)
-    bound = lookback_millis(run_ts)
-    seen = Observation("replies")
-    watched = documents.observe(seen, F.count_if(F.col("items").isNull()).alias("n_bad"))
-    gates = quality.gates_of(report(after(plays(watched), bound), expected_day))
-    if seen.get.get("n_bad"):
+    no_items = Observation("replies")
+    watched = documents.observe(no_items, F.count_if(F.col("items").isNull()).alias("n"))
+    staged = shared_folder(spark, "plays-staged")
+    n_rows = write_snapshot(after(plays(watched), lookback_millis(run_ts)), staged)
+    if counted(no_items):
         raise quality.QualityError("a reply holds no items: check the API key")
-    rows = after(plays(documents), bound)
-    if gates.empty:
+    if n_rows == 0:
         return RunResult(NO_DATA)
+    rows = spark.read.schema(schemas.PLAYS).parquet(staged)
+    gates = quality.gates_of(report(rows, expected_day))
     rejected = 0
     if strict:
         gates.enforce()
     elif gates.violations():
-        rows, rejected = _set_aside(rows, expected_day, quarantine, gates.n_rows)
+        rows, rejected = _set_aside(rows, expected_day, quarantine, n_rows)
     n = write_snapshot(rows, snapshot)
     if history is not None:
-        append_new(rows, history, KEY)
+        append_new(spark.read.schema(schemas.PLAYS).parquet(snapshot), history, KEY)
     return RunResult(LOADED, rows=n, rejected=rejected)
 
 

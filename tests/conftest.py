@@ -61,5 +61,10 @@ def rows(df, *order):
     return sorted(found, key=lambda r: tuple((v is not None, str(v)) for v in r))
 
 
+def formatted(df):
+    """The plan with the pushed filters in full."""
+    return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()

@@ -2,7 +2,7 @@ import datetime as dt
 import json
 
 import pytest
-from conftest import UTC, plan, rows
+from conftest import UTC, formatted, plan, rows
 from pyspark.sql import functions as F
 
 from millrace import schemas
@@ -100,9 +100,9 @@ def test_plan(spark, folder):
     log(spark, entry("2024-01-01T00:00:00")).write.parquet(where)
     low, high = audit.bounds(START, START + dt.timedelta(days=1))
     wanted = spark.read.parquet(where).where(audit.between_instants(F.col("TimeGenerated"), low, high))
-    shown = plan(audit.usage_rollup(wanted))
+    shown, scan = plan(audit.usage_rollup(wanted)), formatted(audit.usage_rollup(wanted))
     assert shown.count("from_json") == 2 and shown.count("Exchange") == 1
-    assert "GreaterThanOrEqual(TimeGenerated" in shown and "Not(EqualTo(CpuTimeMs,0))" in shown
+    assert "GreaterThanOrEqual(TimeGenerated" in scan and "Not(EqualTo(CpuTimeMs,0))" in scan
     assert "Python" not in shown
 
 

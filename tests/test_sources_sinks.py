@@ -3,7 +3,7 @@ import json
 import os
 
 import pytest
-from conftest import UTC, plan, rows
+from conftest import UTC, formatted, plan, rows
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -190,7 +190,7 @@ def test_bounds_reach_the_scan_for_both_time_types(spark, folder):
         spark.sql(f"SELECT CAST('2024-01-05 10:00:00' AS {kind}) AS ts").write.parquet(where)
         kept = spark.read.parquet(where).where(between_instants(F.col("ts"), low, high, kind))
         assert kept.count() == 1
-        assert "GreaterThanOrEqual(ts,2024-01-05" in plan(kept).replace("T", " ", 0)
+        assert "GreaterThanOrEqual(ts,2024-01-05" in formatted(kept)
 
 
 def test_table_without_state_is_empty(spark, folder):
