@@ -13,8 +13,10 @@ from millrace.streaming import discovery, keyed, rollup
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a stream. The pattern lets the table be one file or a folder of them: a
+    stream refuses a plain path to a file."""
     schema = table(spark, sf_dir, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
 
 
 def drain(stream: DataFrame, target: str, checkpoint: str) -> None:

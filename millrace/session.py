@@ -44,18 +44,19 @@ def folder_exists(spark: SparkSession, folder: str) -> bool:
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder that every executor can reach.
+    """A fresh path, not yet there, that every executor can reach.
 
     The cluster names the parent in ``spark.checkpoint.dir``. A machine-local parent is
-    made up only for a ``local`` master, where driver and executors share the disk. The
-    folder goes away with the JVM.
+    made up only for a ``local`` master, where driver and executors share the disk. All
+    folders of an application sit in one that goes away with its JVM.
     """
     parent = spark.conf.get("spark.checkpoint.dir", None)
     if not parent:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        parent = tempfile.mkdtemp(prefix="millrace-")
-    folder = f"{parent.rstrip('/')}/millrace-{purpose}-{uuid.uuid4().hex}"
-    files, path = _file_system(spark, folder)
+        parent = tempfile.gettempdir()
+    root = f"{parent.rstrip('/')}/millrace-{spark.sparkContext.applicationId}"
+    files, path = _file_system(spark, root)
+    files.mkdirs(path)
     files.deleteOnExit(path)
-    return folder
+    return f"{root}/{purpose}-{uuid.uuid4().hex}"

@@ -6,18 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def first_rows(stream: DataFrame, key: list[str], at: str, delay: str) -> DataFrame:
+def first_rows(
+    stream: DataFrame, key: list[str], at: str, delay: str, *, hot_keys: bool = True
+) -> DataFrame:
     """Rows whose key did not come within ``delay`` of event time before.
 
-    Two steps, since streaming deduplication sends every copy over the exchange: the first
-    is per key and input split, so a hot key is spread over as many state partitions as it
-    has splits; the second sees at most one row per key and split.
+    Streaming deduplication sends every copy over the exchange. With ``hot_keys`` it is done
+    in two steps: the first is per key and input split, so the copies of a hot key meet in
+    as many state partitions as they have splits; the second sees at most one row per key
+    and split. That keeps each key in state twice, so turn it off where no key is hot.
     The delay must cover how late a row can be: later rows are dropped by the watermark.
     The batch keyed append has no such bound.
     """
+    timed = stream.withColumn(at, F.col(at).cast("timestamp"))
+    if not hot_keys:
+        return timed.withWatermark(at, delay).dropDuplicatesWithinWatermark(key)
     return (
-        stream.withColumn(at, F.col(at).cast("timestamp"))
-        .withColumn("_split", F.spark_partition_id())
+        timed.withColumn("_split", F.spark_partition_id())
         .withWatermark(at, delay)
         .dropDuplicatesWithinWatermark([*key, "_split"])
         .dropDuplicatesWithinWatermark(key)
