@@ -2,9 +2,22 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+
+def literal(moment: dt.datetime, kind: str = "timestamp") -> Column:
+    """A moment as a literal of the column's own type, so that a bound reaches the scan.
+
+    UTC for a zone-free column and for a bare moment, whatever the session zone.
+    """
+    utc = moment.astimezone(dt.timezone.utc) if moment.tzinfo else moment
+    mark = "" if kind == "timestamp_ntz" else "Z"
+    return F.lit(f"{utc:%Y-%m-%d %H:%M:%S.%f}{mark}").cast(kind)
+
+
 def one_hour() -> Column:
     return F.expr("INTERVAL 1 HOUR")
 
@@ -65,6 +78,12 @@ def clock_of(ts: Column) -> Column:
     )
 
 
-def epoch_millis(ts: Column) -> Column:
-    """Whole seconds since 1970 in milliseconds; the fraction is cut off."""
-    return F.unix_seconds(ts) * 1000
+def epoch_millis(ts: Column, kind: str = "timestamp") -> Column:
+    """Whole seconds since 1970 in milliseconds; the fraction is cut off.
+
+    A zone-free column is taken as UTC, by its fields: a cast would go by the session zone.
+    """
+    if kind == "timestamp":
+        return F.unix_seconds(ts) * 1000
+    days = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return ((days * 24 + F.hour(ts)) * 60 + F.minute(ts)) * 60_000 + F.second(ts) * 1000

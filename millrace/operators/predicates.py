@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from millrace.functions.dates import literal
+
 
 def differs(value: Column, other) -> Column:
     """Null-safe ``<>``: a null differs from a value, so its row stays."""
@@ -25,8 +27,8 @@ def within_hour(ts: Column, start: Column) -> Column:
 def between_instants(
     ts: Column, start: dt.datetime, end: dt.datetime, kind: str = "timestamp"
 ) -> Column:
-    """``[start, end)`` on literals of the column's own type, so that they reach the scan."""
-    return (ts >= F.lit(start).cast(kind)) & (ts < F.lit(end).cast(kind))
+    """``[start, end)`` on literals, so that they reach the scan."""
+    return (ts >= literal(start, kind)) & (ts < literal(end, kind))
 
 
 def off_day(day: Column, expected: Column) -> Column:

@@ -143,7 +143,8 @@ def run_replies(
         return RunResult(NO_DATA)
     due = replies.where(between_instants(F.col("slice_start"), low, high))
     edge = spark.range(1).select(
-        F.lit(low).alias("low"), F.lit(high - dt.timedelta(hours=1)).alias("high")
+        dates.literal(low).alias("low"),
+        dates.literal(high - dt.timedelta(hours=1)).alias("high"),
     )
     expected = hours_between(edge, F.col("low"), F.col("high"), "slice_start")
     stop, n_repeated = (

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.dates import literal
 from millrace.plans.result import INCOMPLETE, LOADED, NO_DATA, RunResult
 from millrace.sinks.landing import land_files
 from millrace.sinks.state import publish_watermark
@@ -22,7 +23,7 @@ def batch_end(listing: DataFrame, watermark: dt.datetime, max_files: int) -> dt.
     Oldest first, and all files of that time belong to the batch: whatever a cap leaves
     over is newer than the next watermark, so a later run takes it, and every run advances.
     """
-    past = listing.where(F.col("modified_at") >= F.lit(watermark + dt.timedelta(seconds=1)))
+    past = listing.where(F.col("modified_at") >= literal(watermark + dt.timedelta(seconds=1)))
     head = past.select("modified_at").orderBy("modified_at").limit(max_files)
     micros = head.agg(F.max(F.unix_micros("modified_at"))).first()[0]
     if micros is None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,11 +79,10 @@ def since_inclusive(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def after_millis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows after an epoch-millisecond bound, compared as a time so that it is pushed down."""
-    bound = F.timestamp_millis(F.lit(1705276800000).cast("bigint")).cast("timestamp_ntz")
-    events = table(spark, sf_dir, "events").where(F.col("ts") >= bound + F.expr("INTERVAL '0.001' SECOND"))
-    return events.select(
-        "event_id", dates.epoch_millis(F.col("ts").cast("timestamp")).alias("millis")
-    )
+    bound = dt.datetime.fromtimestamp(1705276800, dt.timezone.utc)
+    first = dates.literal(bound + dt.timedelta(milliseconds=1), "timestamp_ntz")
+    events = table(spark, sf_dir, "events").where(F.col("ts") >= first)
+    return events.select("event_id", dates.epoch_millis(F.col("ts"), "timestamp_ntz").alias("millis"))
 
 
 @query(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.dates import literal
 from millrace.operators.keyed import new_rows
 from millrace.queries.registry import query, table
 from millrace.session import shared_folder
@@ -16,7 +17,7 @@ from millrace.plans.landing import DEFAULT
 def _since(spark: SparkSession, sf_dir: str, state: str) -> DataFrame:
     watermark = read_watermark(spark, state, form="text", default=DEFAULT)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return orders.where(F.col("o_orderdate") >= F.lit(watermark).cast("timestamp_ntz"))
+    return orders.where(F.col("o_orderdate") >= literal(watermark, "timestamp_ntz"))
 
 
 @query(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.dates import literal
 from millrace.operators import quality as ops
 from millrace.operators import rollup
 from millrace.operators.keyed import one_per_key
@@ -139,4 +140,4 @@ def complete_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     grid = rollup.hours_between(edges, F.col("low"), F.col("high"))
     stop, _ = rollup.first_break(grid, hours, "hour", "good").first()
     kept = hours.where("good")
-    return (kept if stop is None else kept.where(F.col("hour") < F.lit(stop))).select("hour", "n")
+    return (kept if stop is None else kept.where(F.col("hour") < literal(stop, "timestamp_ntz"))).select("hour", "n")

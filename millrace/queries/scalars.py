@@ -279,9 +279,9 @@ RUN_TS = dt.datetime(2024, 1, 20, 9, 30, 15, tzinfo=dt.timezone.utc)
 )
 def until_yesterday(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Everything up to the end of the day before a given run."""
-    today = F.lit(audit.midnight(RUN_TS)).cast("timestamp_ntz")
+    today = dates.literal(audit.midnight(RUN_TS), "timestamp_ntz")
     events = table(spark, sf_dir, "events").select("event_id", "ts")
-    yesterday = F.lit(audit.midnight(RUN_TS) - dt.timedelta(days=1)).cast("timestamp_ntz")
+    yesterday = dates.literal(audit.midnight(RUN_TS) - dt.timedelta(days=1), "timestamp_ntz")
     return events.where(F.col("ts") < today).withColumn("is_yesterday", F.col("ts") >= yesterday)
 
 
@@ -333,7 +333,7 @@ def interval_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT event_id, epoch_us(ts) // 1000000 * 1000 AS millis FROM events",
 )
 def epoch_millis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    millis = dates.epoch_millis(F.col("ts").cast("timestamp"))
+    millis = dates.epoch_millis(F.col("ts"), "timestamp_ntz")
     return table(spark, sf_dir, "events").select("event_id", millis.alias("millis"))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace import schemas
+from millrace.plans import metering
 from millrace.queries import derive
 from millrace.queries.registry import query, table
 from millrace.queries.scans import event_files
@@ -47,6 +49,18 @@ def stream_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("STM1 SRC1 NST1 NST2 FLT1 PRJ9", derive.METER_SQL)
+def stream_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Meter responses found by a stream and opened by the plan of the batch job."""
+    folder, target = shared_folder(spark, "meter-in"), shared_folder(spark, "meter-out")
+    checkpoint = shared_folder(spark, "checkpoint")
+    derive.meter_documents(table(spark, sf_dir, "events")).write.json(folder)
+    for _ in range(2):
+        documents = discovery.new_documents(spark, folder, schemas.METER_READINGS)
+        drain(metering.readings(metering.points(documents)), target, checkpoint)
+    return spark.read.parquet(target)
+
+
 @query(
     "STM2 WIN2 AGG1",
     """

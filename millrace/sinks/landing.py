@@ -20,7 +20,7 @@ def land_files(files: DataFrame, folder: str, run_ts: dt.datetime) -> int:
     on every row, since a hundred unchecked rows of file content could fill the memory.
     """
     utc = run_ts.astimezone(dt.timezone.utc) if run_ts.tzinfo else run_ts
-    moment = F.lit(utc.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    moment = dates.literal(utc, "timestamp_ntz")
     landed = files.select(
         "path",
         "name",

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.dates import literal
+
 
 def read_files(spark: SparkSession, folder: str, pattern: str | None = None) -> DataFrame:
     """All files below ``folder``: path, name, modified_at, length, content.
@@ -36,8 +38,8 @@ def changed_since(files: DataFrame, since: dt.datetime, until: dt.datetime | Non
     Inclusive, so files that share the watermark's second are never lost; the reader's
     ``modifiedAfter`` option is strict and would lose them.
     """
-    kept = files.where(F.col("name").isNotNull() & (F.col("modified_at") >= F.lit(since)))
-    return kept if until is None else kept.where(F.col("modified_at") <= F.lit(until))
+    kept = files.where(F.col("name").isNotNull() & (F.col("modified_at") >= literal(since)))
+    return kept if until is None else kept.where(F.col("modified_at") <= literal(until))
 
 
 def newest_first(files: DataFrame, limit: int | None = None) -> DataFrame:

@@ -12,7 +12,7 @@ from millrace.session import folder_exists
 
 # Stamp formats of the state files and the start used before any state exists.
 CSV_FORMAT = "yyyy-MM-dd HH:mm:ss"
-TEXT_FORMAT = "yyyy-MM-dd'T'HH:mm:ssXXX"
+TEXT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 FIRST_WATERMARK = "2000-01-01T11:45:15Z"
 
 
@@ -26,8 +26,8 @@ def read_text_state(spark: SparkSession, folder: str) -> DataFrame:
 
 def parsed(state: DataFrame, pattern: str) -> DataFrame:
     """One row: number of state lines, the unreadable ones, and the newest watermark."""
-    text = F.trim(F.col(state.columns[0]))
-    stamp = F.try_to_timestamp(text, F.lit(pattern))
+    text = F.concat(F.trim(F.col(state.columns[0])), F.lit(" UTC"))
+    stamp = F.try_to_timestamp(text, F.lit(f"{pattern} VV"))
     return state.agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.count_if(stamp.isNull()).alias("n_bad"),

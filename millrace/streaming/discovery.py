@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace import schemas
@@ -30,6 +31,13 @@ def new_files(
     )
 
 
+def new_documents(
+    spark: SparkSession, folder: str, schema: T.StructType, *, multi_line: bool = False
+) -> DataFrame:
+    """Stream of landed JSON bodies not seen by the query's checkpoint."""
+    return spark.readStream.schema(schema).json(folder, multiLine=multi_line)
+
+
 def append_available(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     """Append everything available now to a Parquet table, then stop."""
     return (

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace import schemas
+from millrace.session import shared_folder
 from millrace.functions import jsontext
 from millrace.operators.predicates import between_instants
 from millrace.sinks import state as state_sink
@@ -100,6 +101,37 @@ def test_watermark_state(spark, folder):
         assert read_watermark(spark, where, form=form, default=default) == dt.datetime(2024, 1, 9, 3, 4, 5, tzinfo=UTC)
 
 
+def test_watermark_does_not_depend_on_the_session_zone(spark, folder):
+    value = dt.datetime(2024, 7, 1, 3, 4, 5, tzinfo=UTC)
+    for form in ("csv", "text"):
+        where = folder()
+        state_sink.publish_watermark(spark, where, value, form=form)
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        try:
+            assert read_watermark(spark, where, form=form) == value
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_shared_folder_needs_a_shared_place(spark):
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda name, default: default)
+
+        class sparkContext:
+            master = "yarn"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Cluster, "x")
+
+
+def test_shared_folder_lies_below_the_configured_one(spark):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        assert shared_folder(spark, "x").startswith(named)
+    assert shared_folder(spark, "x") != shared_folder(spark, "x")
+
+
 def test_state_formats(spark, folder, tmp_path):
     at = dt.datetime(2024, 1, 5, tzinfo=dt.timezone(dt.timedelta(hours=1)))
     csv, text = folder(), folder()
