@@ -15,6 +15,7 @@ from pyspark.sql import SparkSession
 from millrace import schemas
 from millrace.plans import audit, landing, metering, plays
 from millrace.plans.result import INCOMPLETE, RunResult
+from millrace.sinks.tables import read_days
 
 UTC = dt.timezone.utc
 # Fixed value: first day of a full reload of meter readings.
@@ -48,6 +49,7 @@ def parser() -> argparse.ArgumentParser:
     usage = job("audit", "usage log to a per-minute rollup by day")
     usage.add_argument("--log", required=True, help="Parquet folder of the raw log")
     usage.add_argument("--reread-days", type=int, default=0)
+    usage.add_argument("--by-day", action="store_true", help="the log has y, m, d partitions")
 
     replies = job("replies", "landed hourly replies to the same rollup")
     replies.add_argument("--landed", required=True, help="JSON lines: slice_start, status, body")
@@ -90,9 +92,19 @@ def run(spark: SparkSession, options: argparse.Namespace) -> RunResult:
             multi_line=o.multi_line,
         )
     if o.job == "audit":
-        log = spark.read.schema(schemas.USAGE_LOG).parquet(o.log)
+        if o.by_day:
+            log = read_days(spark, o.log, schemas.USAGE_LOG)
+        else:
+            log = spark.read.schema(schemas.USAGE_LOG).parquet(o.log)
         return audit.run(
-            spark, log, o.target, o.state, run_ts, default=o.default, reread_days=o.reread_days
+            spark,
+            log,
+            o.target,
+            o.state,
+            run_ts,
+            default=o.default,
+            reread_days=o.reread_days,
+            log_parts=schemas.DAY_PARTS if o.by_day else None,
         )
     if o.job == "replies":
         replies = spark.read.schema(schemas.SLICE_REPLY).json(o.landed)

@@ -84,6 +84,19 @@ def bounds(
     return midnight(watermark) - dt.timedelta(days=reread_days), midnight(run_ts)
 
 
+def within_days(
+    log: DataFrame, parts: list[str], low: dt.datetime, high: dt.datetime
+) -> DataFrame:
+    """Only the day folders of ``[low, high)``, for a log partitioned by its UTC day.
+
+    The bound on the time itself skips row groups; this one keeps folders from being read.
+    """
+    year, month, day = [F.col(p).cast("string") for p in parts]
+    folder = F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))
+    last = high - dt.timedelta(microseconds=1)
+    return log.where(folder.between(f"{low:%Y-%m-%d}", f"{last:%Y-%m-%d}"))
+
+
 def run(
     spark: SparkSession,
     log: DataFrame,
@@ -93,16 +106,20 @@ def run(
     *,
     default: dt.datetime | None = None,
     reread_days: int = 0,
+    log_parts: list[str] | None = None,
 ) -> RunResult:
     """Roll up the closed days since the watermark, write them, then move the watermark.
 
-    ``reread_days`` takes closed days in again for rows that came late.
+    ``reread_days`` takes closed days in again for rows that came late. ``log_parts`` names
+    the year, month and day columns of a log that is partitioned by them.
     """
     require_utc(spark)
     watermark = read_watermark(spark, state, form="csv", default=default)
     low, high = bounds(watermark, run_ts, reread_days)
     kind = log.schema["TimeGenerated"].dataType.simpleString()
     wanted = log.where(between_instants(F.col("TimeGenerated"), low, high, kind))
+    if log_parts is not None:
+        wanted = within_days(wanted, log_parts, low, high)
     return _load(usage_rollup(wanted), target, state, low, midnight(watermark), high)
 
 

@@ -75,20 +75,38 @@ def stream_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly sums of a stream. The hours that the watermark has not passed stay open."""
     target, checkpoint = shared_folder(spark, "hours"), shared_folder(spark, "checkpoint")
-    sums = {"total": F.col("value").cast("decimal(18,2)")}
-    drain(
-        rollup.hourly(events_stream(spark, sf_dir), "ts", ["event_type"], sums, "1 hour"),
-        target,
-        checkpoint,
-    )
+    sums = [
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.col("value").cast("decimal(18,2)")).alias("total"),
+    ]
+    events = events_stream(spark, sf_dir)
+    hours = rollup.windowed(events, "ts", "1 hour", ["event_type"], sums, "1 hour")
+    drain(hours, target, checkpoint)
     return spark.read.parquet(target).select(
-        F.col("hour").cast("timestamp_ntz").alias("hour"),
+        F.col("ts").cast("timestamp_ntz").alias("hour"),
         "event_type",
         "n",
         F.col("total").cast("double").alias("total"),
     )
 
 
+@query(
+    "STM2 FLT3 JSN1 JSN2 JSN3 WIN1 AGG1",
+    f"""
+    WITH rolled AS ({derive.USAGE_ROLLUP_SQL})
+    SELECT * FROM rolled WHERE "FormattedTimeGenerated" + INTERVAL 1 MINUTE
+        <= (SELECT max("FormattedTimeGenerated") FROM rolled) - INTERVAL 1 HOUR
+    """,
+)
+def stream_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 17-key usage rollup as a stream; the last hour stays open."""
+    target, checkpoint = shared_folder(spark, "usage"), shared_folder(spark, "checkpoint")
+    log = derive.usage_log(events_stream(spark, sf_dir))
+    drain(rollup.usage_rollup(log, "1 hour"), target, checkpoint)
+    minute = F.col(schemas.USAGE_MINUTE).cast("timestamp_ntz")
+    return spark.read.parquet(target).withColumn(schemas.USAGE_MINUTE, minute)
+
+
 @query(
     "STM3 SNK5",
     "SELECT event_id, ts, user_id, value FROM events",

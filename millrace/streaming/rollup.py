@@ -1,22 +1,35 @@
-"""Hourly sums as a stream."""
+"""Grouped sums per time slice as a stream."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace import schemas
+from millrace.plans import audit
 
-def hourly(stream: DataFrame, at: str, keys: list[str], sums: dict[str, Column], delay: str) -> DataFrame:
-    """Sums per hour and key; an hour comes out once the watermark has passed its end.
 
-    Hours within ``delay`` of the newest row stay open in state. Tasks sum their own rows
-    before the exchange, as in the batch form.
+def windowed(
+    stream: DataFrame, at: str, width: str, keys: list[str], sums: list[Column], delay: str
+) -> DataFrame:
+    """Sums per slice and key, under the name of ``at`` the start of the slice.
+
+    A slice comes out once the watermark has passed its end; slices within ``delay`` of the
+    newest row stay open in state. Tasks sum their own rows before the exchange, as in the
+    batch form.
     """
-    totals = [F.sum(value).alias(name) for name, value in sums.items()]
-    return (
+    rolled = (
         stream.withColumn(at, F.col(at).cast("timestamp"))
         .withWatermark(at, delay)
-        .groupBy(F.window(at, "1 hour"), *keys)
-        .agg(F.count(F.lit(1)).alias("n"), *totals)
-        .select(F.col("window.start").alias("hour"), *keys, "n", *sums)
+        .groupBy(F.window(at, width).alias("_slice"), *keys)
+        .agg(*sums)
     )
+    totals = [c for c in rolled.columns if c != "_slice" and c not in keys]
+    return rolled.select(F.col("_slice.start").alias(at), *keys, *totals)
+
+
+def usage_rollup(log: DataFrame, delay: str) -> DataFrame:
+    """The per-minute usage rollup of a stream of log rows."""
+    keys = [k for k in schemas.USAGE_KEYS if k != schemas.USAGE_MINUTE]
+    sums = [F.sum(m).alias(m) for m in schemas.USAGE_SUMS]
+    return windowed(audit.minute_rows(log), schemas.USAGE_MINUTE, "1 minute", keys, sums, delay)

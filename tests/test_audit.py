@@ -173,6 +173,22 @@ def test_unaligned_watermark_starts_at_its_day(spark, folder):
     assert loaded(spark, target).count() == 2
 
 
+def test_a_log_by_day_is_pruned_to_its_days(spark, folder):
+    raw, target, state = folder(), folder(), folder()
+    data = log(spark, *[entry(f"2024-01-{d:02d}T23:59:59.9", d) for d in range(1, 13)])
+    parts = audit.dates.day_parts(F.col("TimeGenerated"))
+    data.withColumns(parts).write.partitionBy("y", "m", "d").parquet(raw)
+    found = tables.read_days(spark, raw, schemas.USAGE_LOG)
+    low, high = audit.bounds(dt.datetime(2024, 1, 9, tzinfo=UTC), dt.datetime(2024, 1, 12, tzinfo=UTC))
+    pruned = audit.within_days(found, schemas.DAY_PARTS, low, high)
+    assert rows(pruned.select("CpuTimeMs")) == [(10,), (11,), (9,)]
+    assert "concat_ws(-, y" in formatted(pruned).split("PartitionFilters: ")[1].split("\n")[0]
+    result = audit.run(
+        spark, found, target, state, high, default=low, log_parts=schemas.DAY_PARTS
+    )
+    assert result.rows == 3
+
+
 def test_other_session_zone_is_refused(spark, folder):
     spark.conf.set("spark.sql.session.timeZone", "Europe/Copenhagen")
     try:

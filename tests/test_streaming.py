@@ -41,9 +41,9 @@ def test_hours_come_out_when_closed(spark, folder):
         ("b", "2024-01-01T05:00:00", 8),
     ]
     target = folder()
-    stream = rollup.hourly(events(spark, folder, batch), "ts", ["k"], {"v": F.col("v")}, "1 hour")
-    drain(stream, target, folder())
-    got = spark.read.parquet(target).select(F.col("hour").cast("string"), "k", "n", "v")
+    sums = [F.count(F.lit(1)).alias("n"), F.sum("v").alias("v")]
+    drain(rollup.windowed(events(spark, folder, batch), "ts", "1 hour", ["k"], sums, "1 hour"), target, folder())
+    got = spark.read.parquet(target).select(F.col("ts").cast("string"), "k", "n", "v")
     assert rows(got) == [("2024-01-01 00:00:00", "a", 2, 3), ("2024-01-01 01:00:00", "b", 1, 4)]
 
 
