@@ -22,9 +22,12 @@ def one_hour() -> Column:
     return F.expr("INTERVAL 1 HOUR")
 
 
-def to_day(text: Column, pattern: str = "yyyy-MM-dd") -> Column:
-    """Date, null where the text is none."""
-    return F.try_to_date(text, pattern)
+def to_day(text: Column) -> Column:
+    """Date of ``yyyy-MM-dd`` text, null where the text is none.
+
+    The cast is several times faster than a pattern, but alone takes ``2024`` for a date.
+    """
+    return F.when(F.length(text) == 10, text.try_cast("date"))
 
 
 def to_instant(text: Column, pattern: str) -> Column:

@@ -25,8 +25,19 @@ def read(spark: SparkSession, path: str, *, multi_line: bool = False) -> DataFra
     return read_documents(spark, path, schemas.METER_READINGS, multi_line=multi_line)
 
 
+INTERVAL_COLUMNS = ["resolution", "start", "end", "end_day", "start_utc"]
+
+
+def interval_times() -> list[Column]:
+    """Date of an interval's end and its start as a UTC time, once per interval."""
+    return [
+        dates.to_day(text.part(text.split_first(F.col("end"), "T"), 0)).alias("end_day"),
+        dates.zoneless(F.col("start")).alias("start_utc"),
+    ]
+
+
 def points(documents: DataFrame) -> DataFrame:
-    """One row per point with its interval.
+    """One row per point with its interval, whose times are read before it is opened.
 
     Each level first takes what is needed out of the record, then opens the list: column
     pruning does not reach through nested lists by itself, and a list opened inside its
@@ -44,11 +55,10 @@ def points(documents: DataFrame) -> DataFrame:
             F.col("period.timeInterval.end").alias("end"),
             F.col("period.Point").alias("point"),
         )
-        .select("resolution", "start", "end", F.explode_outer("point").alias("point"))
+        .select(*INTERVAL_COLUMNS[:3], *interval_times(), "point")
+        .select(*INTERVAL_COLUMNS, F.explode_outer("point").alias("point"))
         .select(
-            "resolution",
-            "start",
-            "end",
+            *INTERVAL_COLUMNS,
             numbers.to_whole(F.col("point.position")).alias("position"),
             F.col("point.position").alias("position_text"),
             F.col("point.`out_Quantity.quantity`").alias("quantity"),
@@ -112,6 +122,7 @@ def expanded(documents: DataFrame) -> DataFrame:
         {"resolution": "resolution", "timeInterval": "interval", "Point": "point"},
     )
     opened = expand_record(opened, "interval", {"start": "start", "end": "end"})
+    opened = opened.select("*", *interval_times())
     return expand_record(
         expand_list(opened, "point"),
         "point",
@@ -129,23 +140,17 @@ def readings(points: DataFrame) -> DataFrame:
     On the day that ends summer time the position 25 is dropped and later hours read one
     late; ``zoned_readings`` is exact there. Rows without a point stay, as nulls.
     """
-    day = text.part(text.split_first(F.col("end"), "T"), 0)
     return points.where(differs(F.col("position"), EXTRA_POSITION)).select(
-        dates.to_day(day).alias("Dato"),
+        F.col("end_day").alias("Dato"),
         dates.clock(F.col("position") - 1).alias("Tidspunkt"),
         numbers.to_number(F.col("quantity")).alias("kWh"),
     )
 
 
-def utc_hour(start: Column, position: Column) -> Column:
-    """Zone-free UTC start of the hour at a position of an interval."""
-    return dates.zoneless(start) + F.make_dt_interval(hours=(position - 1).cast("int"))
-
-
 def zoned_readings(points: DataFrame, zone: str) -> DataFrame:
     """Readings at their true wall-clock hour, with the UTC hour that tells the two equal
     hours of a 25-hour day apart."""
-    utc = utc_hour(F.col("start"), F.col("position"))
+    utc = F.col("start_utc") + F.make_dt_interval(hours=(F.col("position") - 1).cast("int"))
     local = dates.at_zone(F.col("utc"), zone)
     return (
         points.select(utc.alias("utc"), "quantity")
@@ -162,13 +167,12 @@ def zoned_readings(points: DataFrame, zone: str) -> DataFrame:
 def unreadable(points: DataFrame) -> Column:
     """Why a point cannot be read as text, ``''`` if it can or if there is no point."""
     clock = dates.clock(F.col("position") - 1)
-    day = dates.to_day(text.part(text.split_first(F.col("end"), "T"), 0))
     number = numbers.to_number(F.col("quantity"))
     used = differs(F.col("position"), EXTRA_POSITION)
     return F.concat_ws(
         ", ",
         F.when(used & F.col("position_text").isNotNull() & clock.isNull(), F.lit("position")),
-        F.when(used & F.col("end").isNotNull() & day.isNull(), F.lit("end")),
+        F.when(used & F.col("end").isNotNull() & F.col("end_day").isNull(), F.lit("end")),
         F.when(used & F.col("quantity").isNotNull() & number.isNull(), F.lit("quantity")),
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.dates import literal
+from millrace.functions.dates import literal, to_day
 from millrace.operators import quality as ops
 from millrace.operators import rollup
 from millrace.operators.keyed import one_per_key
@@ -33,7 +33,7 @@ COLUMNS = ["song_name", "artist_name", "played_at", "timestamp"]
 
 
 def _day():
-    return F.try_to_date("timestamp", "yyyy-MM-dd")
+    return to_day(F.col("timestamp"))
 
 
 def _expected():

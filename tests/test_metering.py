@@ -110,7 +110,7 @@ def test_wide_expansion(spark, landed):
     folder = landed(response([("1", "0.5")]))
     wide = metering.expanded(read_documents(spark, folder, schemas.METER_RESPONSE, multi_line=True))
     got = wide.first().asDict()
-    assert len(got) == 24
+    assert len(got) == 26
     assert got["meter_name"] == "571" and got["unit"] == "KWH" and got["position"] == "1"
     assert got["document_end"] == got["end"] == "2024-01-02T23:00:00Z"
     assert got["success"] is True and got["stack_trace"] is None
@@ -127,7 +127,7 @@ def test_no_shuffle_and_no_record_copied_to_its_points(spark, landed):
     points = metering.points(metering.read(spark, landed(response([])), multi_line=True))
     shown = plan(metering.readings(points))
     assert "Exchange" not in shown and "Python" not in shown
-    assert "Generate explode(point" in shown and ", [end" in shown
+    assert "Generate explode(point" in shown and ", [end_day" in shown
 
 
 def test_job(spark, landed, folder):

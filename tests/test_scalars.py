@@ -59,8 +59,8 @@ def test_position_minus_one_keeps_null(column):
 
 
 def test_to_day_and_to_instant(column):
-    assert column(dates.to_day(X), ["2024-02-29", "2023-02-29", "x", None]) == [
-        dt.date(2024, 2, 29), None, None, None,
+    assert column(dates.to_day(X), ["2024-02-29", "2023-02-29", "2024", "2024-02-29T1", "x", None]) == [
+        dt.date(2024, 2, 29), None, None, None, None, None,
     ]
     stamp = dates.to_instant(X, "yyyy-MM-dd HH:mm:ss").cast("string")
     assert column(stamp, ["2024-01-02 03:04:05", "2024-01-02"]) == ["2024-01-02 03:04:05", None]
