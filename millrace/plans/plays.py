@@ -17,6 +17,8 @@ from millrace.sinks.tables import append_new, counted, write_snapshot
 from millrace.sources.documents import CORRUPT, read_documents
 
 KEY = ["played_at"]
+# First part of the key, so a key is in one partition of the history only.
+DAY = "timestamp"
 
 
 def read(spark: SparkSession, path: str, *, multi_line: bool = False) -> DataFrame:
@@ -75,7 +77,8 @@ def run(
     """Check the last 24 hours of plays, then replace the snapshot and extend the history.
 
     Strict runs stop at the first violated gate with nothing published. Others put faulty
-    rows and all copies of a repeated key into the quarantine and go on with the rest.
+    rows and all copies of a repeated key into the quarantine, below a folder of the run,
+    and go on with the rest.
     Replies are parsed once, into a narrow staged table; gates and sinks read that one.
     """
     documents = read(spark, landed, multi_line=multi_line).drop(CORRUPT)
@@ -93,23 +96,24 @@ def run(
     if strict:
         gates.enforce()
     elif gates.violations():
-        rows, rejected = _set_aside(rows, expected_day, quarantine, n_rows)
+        if quarantine is None:
+            raise ValueError("a run that is not strict needs a quarantine folder")
+        folder = f"{quarantine}/run={run_ts:%Y%m%dT%H%M%S}"
+        rows, rejected = _set_aside(rows, expected_day, folder, n_rows)
     n = write_snapshot(rows, snapshot)
     if history is not None:
-        append_new(spark.read.schema(schemas.PLAYS).parquet(snapshot), history, KEY)
+        append_new(spark.read.schema(schemas.PLAYS).parquet(snapshot), history, KEY, DAY)
     return RunResult(LOADED, rows=n, rejected=rejected)
 
 
 def _set_aside(
-    rows: DataFrame, expected_day: dt.date, quarantine: str | None, n_rows: int
+    rows: DataFrame, expected_day: dt.date, folder: str, n_rows: int
 ) -> tuple[DataFrame, int]:
-    if quarantine is None:
-        raise ValueError("a run that is not strict needs a quarantine folder")
     fault = quality.faults(schemas.PLAY_COLUMNS, play_day(), F.lit(expected_day))
     sound = quality.mark_repeated(rows.where(fault == ""), KEY, n_rows)
     faulty = rows.withColumn("reason", fault).where("reason <> ''")
     repeated = sound.where("repeated").select(
         *schemas.PLAY_COLUMNS, F.lit("repeated key").alias("reason")
     )
-    rejected = write_snapshot(faulty.unionByName(repeated), quarantine)
+    rejected = write_snapshot(faulty.unionByName(repeated), folder)
     return sound.where("NOT repeated").select(*schemas.PLAY_COLUMNS), rejected

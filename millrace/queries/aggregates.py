@@ -11,8 +11,7 @@ from millrace.operators.predicates import present_and_nonzero
 from millrace.plans import audit
 from millrace.queries import derive
 from millrace.queries.registry import query, table
-from millrace.session import shared_folder
-from millrace.sinks.tables import write_snapshot
+from millrace.sinks.tables import count_rows, counted
 from millrace.sources.files import newest_first
 
 
@@ -176,14 +175,15 @@ def newest_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "AGG6 SNK4",
+    "AGG6",
     "SELECT count(*) AS n_observed FROM events WHERE event_type = 'purchase'",
 )
 def observed_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row count taken by the write itself."""
     bought = table(spark, sf_dir, "events").where("event_type = 'purchase'")
-    n = write_snapshot(bought, shared_folder(spark, "observed"))
-    return spark.createDataFrame([(n,)], "n_observed bigint")
+    watched, seen = count_rows(bought, "bought")
+    watched.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([(counted(seen),)], "n_observed bigint")
 
 
 @query(

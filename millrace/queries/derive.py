@@ -59,7 +59,7 @@ def usage_log(events: DataFrame) -> DataFrame:
         F.concat(F.lit("user"), "user_id").alias("User"),
         F.concat(F.lit("exec"), "user_id").alias("ExecutingUser"),
         identity.alias("Identity"),
-        F.when(F.col("event_type") == "signup", F.left(context, F.lit(12)))
+        F.when(F.col("event_type") == "signup", F.concat(F.lit("{"), context))
         .otherwise(context)
         .alias("ApplicationContext"),
         F.when(F.col("event_type") != "purchase", F.floor(F.col("value") / 10)).alias("CpuTimeMs"),

@@ -149,7 +149,7 @@ def plays_job(spark: SparkSession, sf_dir: str) -> DataFrame:
             strict=False,
         )
     kept = tables.read_table(spark, history, schemas.PLAYS).withColumn("reason", F.lit(""))
-    return kept.unionByName(spark.read.parquet(quarantine))
+    return kept.unionByName(spark.read.parquet(quarantine).drop("run"))
 
 
 @query(

@@ -158,9 +158,10 @@ def utf8_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def json_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parsed text, malformed for one kind of event."""
-    cut = F.when(F.col("event_type") == "signup", F.left("props", F.lit(4))).otherwise(F.col("props"))
+    broken = F.concat(F.lit("{"), F.col("props"))
+    body = F.when(F.col("event_type") == "signup", broken).otherwise(F.col("props"))
     parsed = jsontext.parse(F.col("body"), schemas.T.StructType().add("k", "long"))
-    bodies = table(spark, sf_dir, "events").select("event_id", cut.alias("body"))
+    bodies = table(spark, sf_dir, "events").select("event_id", body.alias("body"))
     return bodies.select("event_id", parsed.alias("j")).select(
         "event_id", F.col("j.k").isNotNull().alias("parses"), "j.k"
     )

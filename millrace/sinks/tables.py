@@ -71,18 +71,20 @@ def read_table(spark: SparkSession, folder: str, schema: T.StructType) -> DataFr
     return spark.read.schema(schema).parquet(folder)
 
 
-def append_new(df: DataFrame, folder: str, key: list[str]) -> int:
+def append_new(df: DataFrame, folder: str, key: list[str], part: str | None = None) -> int:
     """Append the rows whose key the table lacks; returns how many.
 
     The table is read for its keys only, within the range of incoming keys: the bounds are
-    literals, so Parquet statistics skip the files outside.
+    literals, so Parquet statistics skip what lies outside. With ``part``, a column that
+    follows from the key, the table is partitioned by it, and other partitions stay closed.
     """
-    spark = df.sparkSession
-    table = read_table(spark, folder, df.schema)
-    lead = F.col(key[0])
-    low, high = df.agg(F.min(lead), F.max(lead)).first()
-    if low is not None:
-        table = table.where((lead >= F.lit(low)) & (lead <= F.lit(high)))
+    table = read_table(df.sparkSession, folder, df.schema)
+    bounded = [key[0], *([part] if part else [])]
+    edges = df.agg(*[edge(c) for c in bounded for edge in (F.min, F.max)]).first()
+    for name, low, high in zip(bounded, edges[::2], edges[1::2]):
+        if low is not None:
+            table = table.where(F.col(name).between(F.lit(low), F.lit(high)))
     rows, seen = count_rows(new_rows(df, table, key), "appended")
-    rows.write.mode("append").parquet(folder)
+    writer = rows.write.mode("append")
+    (writer.partitionBy(part) if part else writer).parquet(folder)
     return counted(seen)

@@ -7,7 +7,9 @@ from test_metering import hours, response
 from test_plays import play
 from test_plays import reply as play_reply
 
+from millrace import schemas
 from millrace.__main__ import main, parser
+from millrace.sinks.tables import read_table
 from millrace.sources.state import read_watermark
 
 
@@ -43,7 +45,7 @@ def test_plays(spark, landed, folder):
     source = landed(play_reply(play("2024-01-01T22:00:00Z")))
     options = ["--landed", source, "--snapshot", snapshot, "--history", history, "--multi-line"]
     assert main(["plays", *options, "--run-ts", "2024-01-02T09:00:00"]) == 0
-    assert rows(spark.read.parquet(history).select("timestamp")) == [("2024-01-01",)]
+    assert rows(read_table(spark, history, schemas.PLAYS).select("timestamp")) == [("2024-01-01",)]
 
 
 def test_landing(spark, folder, tmp_path, capsys):

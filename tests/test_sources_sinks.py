@@ -215,6 +215,19 @@ def test_append_new_twice(spark, folder):
     assert tables.append_new(more.where("k IS NULL"), where, ["k"]) == 0
 
 
+def test_append_new_to_a_partitioned_table(spark, folder):
+    where = folder()
+
+    def batch(*keys):
+        return spark.createDataFrame([(k, k[:2], 1) for k in keys], "k string, part string, v int")
+
+    assert tables.append_new(batch("01a", "01b", "02a"), where, ["k"], "part") == 3
+    assert tables.append_new(batch("02a", "02b", "02b", "10a"), where, ["k"], "part") == 2
+    got = tables.read_table(spark, where, batch("01a").schema)
+    assert [r[0] for r in rows(got.select("k", "part"))] == ["01a", "01b", "02a", "02b", "10a"]
+    assert [r[0] for r in rows(got.select("part").distinct())] == ["01", "02", "10"]
+
+
 def test_bounds_reach_the_scan_for_both_time_types(spark, folder):
     low, high = dt.datetime(2024, 1, 5, tzinfo=UTC), dt.datetime(2024, 1, 6, tzinfo=UTC)
     for kind in ("timestamp", "timestamp_ntz"):
