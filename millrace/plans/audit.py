@@ -37,8 +37,16 @@ def json_keys(identity: Column, context: Column) -> dict[str, Column]:
     }
 
 
+def timed(log: DataFrame) -> DataFrame:
+    """The log with its time as a timestamp, also where it was kept as text."""
+    if log.schema["TimeGenerated"].dataType.simpleString() != "string":
+        return log
+    return log.withColumn("TimeGenerated", F.col("TimeGenerated").try_cast("timestamp"))
+
+
 def minute_rows(log: DataFrame) -> DataFrame:
     """Log rows with a CPU time, cut to the minute, with their JSON keys."""
+    log = timed(log)
     kind = log.schema["TimeGenerated"].dataType
     parsed = log.where(present_and_nonzero(F.col("CpuTimeMs"))).withColumns(
         {
@@ -116,6 +124,9 @@ def run(
     require_utc(spark)
     watermark = read_watermark(spark, state, form="csv", default=default)
     low, high = bounds(watermark, run_ts, reread_days)
+    if low >= high:
+        return RunResult(NO_DATA)
+    log = timed(log)
     kind = log.schema["TimeGenerated"].dataType.simpleString()
     wanted = log.where(between_instants(F.col("TimeGenerated"), low, high, kind))
     if log_parts is not None:

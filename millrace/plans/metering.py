@@ -20,14 +20,13 @@ READING_COLUMNS = ["Dato", "Tidspunkt", "kWh"]
 EXTRA_POSITION = 25
 HOURLY = "PT1H"
 
+INTERVAL_COLUMNS = ["resolution", "start", "end", "end_day", "start_utc"]
+
 
 def read(spark: SparkSession, path: str, *, multi_line: bool = False) -> DataFrame:
     return read_documents(spark, path, schemas.METER_READINGS, multi_line=multi_line)
 
 
-INTERVAL_COLUMNS = ["resolution", "start", "end", "end_day", "start_utc"]
-
-
 def interval_times() -> list[Column]:
     """Date of an interval's end and its start as a UTC time, once per interval."""
     return [
@@ -59,14 +58,19 @@ def points(documents: DataFrame) -> DataFrame:
         .select(*INTERVAL_COLUMNS, F.explode_outer("point").alias("point"))
         .select(
             *INTERVAL_COLUMNS,
-            numbers.to_whole(F.col("point.position")).alias("position"),
             F.col("point.position").alias("position_text"),
             F.col("point.`out_Quantity.quantity`").alias("quantity"),
             F.col("point.`out_Quantity.quality`").alias("quality"),
         )
+        .withColumns(point_values(F.col("position_text"), F.col("quantity")))
     )
 
 
+def point_values(position: Column, quantity: Column) -> dict[str, Column]:
+    """Position and number of a point, null where the text is none."""
+    return {"position": numbers.to_whole(position), "kwh": numbers.to_number(quantity)}
+
+
 def expanded(documents: DataFrame) -> DataFrame:
     """Every leaf of the response as a column, one row per point, names by path."""
     opened = expand_list(documents.select(F.col("result").alias("entry")), "entry")
@@ -123,15 +127,16 @@ def expanded(documents: DataFrame) -> DataFrame:
     )
     opened = expand_record(opened, "interval", {"start": "start", "end": "end"})
     opened = opened.select("*", *interval_times())
-    return expand_record(
+    opened = expand_record(
         expand_list(opened, "point"),
         "point",
         {
-            "position": "position",
+            "position": "position_text",
             "out_Quantity.quantity": "quantity",
             "out_Quantity.quality": "quality",
         },
     )
+    return opened.withColumns(point_values(F.col("position_text"), F.col("quantity")))
 
 
 def readings(points: DataFrame) -> DataFrame:
@@ -143,7 +148,7 @@ def readings(points: DataFrame) -> DataFrame:
     return points.where(differs(F.col("position"), EXTRA_POSITION)).select(
         F.col("end_day").alias("Dato"),
         dates.clock(F.col("position") - 1).alias("Tidspunkt"),
-        numbers.to_number(F.col("quantity")).alias("kWh"),
+        F.col("kwh").alias("kWh"),
     )
 
 
@@ -153,27 +158,26 @@ def zoned_readings(points: DataFrame, zone: str) -> DataFrame:
     utc = F.col("start_utc") + F.make_dt_interval(hours=(F.col("position") - 1).cast("int"))
     local = dates.at_zone(F.col("utc"), zone)
     return (
-        points.select(utc.alias("utc"), "quantity")
-        .select("utc", local.alias("local"), "quantity")
+        points.select(utc.alias("utc"), "kwh")
+        .select("utc", local.alias("local"), "kwh")
         .select(
             F.to_date("local").alias("Dato"),
             dates.clock_of(F.col("local")).alias("Tidspunkt"),
-            numbers.to_number(F.col("quantity")).alias("kWh"),
+            F.col("kwh").alias("kWh"),
             F.col("utc").alias("utc_start"),
         )
     )
 
 
-def unreadable(points: DataFrame) -> Column:
+def unreadable() -> Column:
     """Why a point cannot be read as text, ``''`` if it can or if there is no point."""
     clock = dates.clock(F.col("position") - 1)
-    number = numbers.to_number(F.col("quantity"))
     used = differs(F.col("position"), EXTRA_POSITION)
     return F.concat_ws(
         ", ",
         F.when(used & F.col("position_text").isNotNull() & clock.isNull(), F.lit("position")),
         F.when(used & F.col("end").isNotNull() & F.col("end_day").isNull(), F.lit("end")),
-        F.when(used & F.col("quantity").isNotNull() & number.isNull(), F.lit("quantity")),
+        F.when(used & F.col("quantity").isNotNull() & F.col("kwh").isNull(), F.lit("quantity")),
     )
 
 
@@ -181,7 +185,7 @@ def rejects(documents: DataFrame) -> DataFrame:
     """``reason, text``: points that cannot be read, and bodies that do not parse."""
     found = points(documents)
     bad_points = found.select(
-        unreadable(found).alias("reason"), F.to_json(F.struct(*found.columns)).alias("text")
+        unreadable().alias("reason"), F.to_json(F.struct(*found.columns)).alias("text")
     ).where("reason <> ''")
     # The test on ``result`` is always true: Spark refuses to read the corrupt column alone.
     read_too = F.coalesce(F.size("result"), F.lit(0)) >= 0
@@ -192,8 +196,12 @@ def rejects(documents: DataFrame) -> DataFrame:
 
 
 def within(readings: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
-    """Readings of an inclusive range of days, as a full reload asks for."""
-    return readings.where(F.col("Dato").between(F.lit(first), F.lit(last)))
+    """Readings of an inclusive range of days, as a full reload asks for.
+
+    Rows without a day, as an entry that failed leaves, belong to every reload.
+    """
+    day = F.col("Dato")
+    return readings.where(day.isNull() | day.between(F.lit(first), F.lit(last)))
 
 
 def run(
@@ -219,8 +227,9 @@ def run(
     ).where(F.col(CORRUPT).isNull())
     found = points(sound)
     if resolution is not None:
-        found = found.where(F.col("resolution") == resolution)
-    watched = found.observe(unread, F.count_if(unreadable(found) != "").alias("n"))
+        other = F.col("resolution") != resolution
+        found = found.where(~F.coalesce(other, F.lit(False)))
+    watched = found.observe(unread, F.count_if(unreadable() != "").alias("n"))
     result = readings(watched) if zone is None else zoned_readings(watched, zone)
     if first is not None and last is not None:
         result = within(result, first, last)

@@ -106,5 +106,4 @@ def derived_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def three_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three-column contract, off the wide expansion of every leaf."""
     wide = metering.expanded(derive.meter_documents(table(spark, sf_dir, "events")))
-    typed = wide.withColumn("position", F.col("position").try_cast("bigint"))
-    return metering.readings(typed).select(*metering.READING_COLUMNS)
+    return metering.readings(wide).select(*metering.READING_COLUMNS)

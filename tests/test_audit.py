@@ -173,6 +173,15 @@ def test_unaligned_watermark_starts_at_its_day(spark, folder):
     assert loaded(spark, target).count() == 2
 
 
+def test_a_log_with_its_time_as_text(spark, folder):
+    target = folder()
+    data = log(spark, entry("2024-01-01T10:00:07", 1), entry("2024-01-02T00:00:00", 2))
+    written = data.withColumn("TimeGenerated", F.date_format("TimeGenerated", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    result = audit.run(spark, written, target, folder(), START + dt.timedelta(days=1), default=START)
+    assert result.rows == 1
+    assert loaded(spark, target).first().FormattedTimeGenerated == dt.datetime(2024, 1, 1, 10, 0)
+
+
 def test_a_log_by_day_is_pruned_to_its_days(spark, folder):
     raw, target, state = folder(), folder(), folder()
     data = log(spark, *[entry(f"2024-01-{d:02d}T23:59:59.9", d) for d in range(1, 13)])

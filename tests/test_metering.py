@@ -110,8 +110,8 @@ def test_wide_expansion(spark, landed):
     folder = landed(response([("1", "0.5")]))
     wide = metering.expanded(read_documents(spark, folder, schemas.METER_RESPONSE, multi_line=True))
     got = wide.first().asDict()
-    assert len(got) == 26
-    assert got["meter_name"] == "571" and got["unit"] == "KWH" and got["position"] == "1"
+    assert len(got) == 28
+    assert got["meter_name"] == "571" and got["unit"] == "KWH" and got["position"] == 1 and got["kwh"] == 0.5
     assert got["document_end"] == got["end"] == "2024-01-02T23:00:00Z"
     assert got["success"] is True and got["stack_trace"] is None
 
@@ -119,8 +119,7 @@ def test_wide_expansion(spark, landed):
 def test_narrow_and_wide_agree(spark, landed):
     folder = landed(response(hours(25)), response([(None, "1")]), {"result": []})
     wide = metering.expanded(read_documents(spark, folder, schemas.METER_RESPONSE, multi_line=True))
-    typed = wide.withColumn("position", F.col("position").try_cast("bigint"))
-    assert rows(metering.readings(typed)) == naive(spark, folder)
+    assert rows(metering.readings(wide)) == naive(spark, folder)
 
 
 def test_no_shuffle_and_no_record_copied_to_its_points(spark, landed):
@@ -150,10 +149,24 @@ def test_job(spark, landed, folder):
 
 
 def test_job_without_data(spark, landed, folder):
-    result = metering.run(spark, landed({"result": []}), folder(), resolution="PT1H", multi_line=True)
+    old = landed(response(hours(24)))
+    result = metering.run(
+        spark, old, folder(), first=DAY(2025, 1, 1), last=DAY(2025, 1, 2), multi_line=True
+    )
     assert (result.status, result.rows) == ("no data", 0)
 
 
+def test_a_failed_entry_stays_as_a_row_of_nulls(spark, landed, folder):
+    target = folder()
+    failed = {"result": [{"success": False, "errorText": "no access"}]}
+    result = metering.run(
+        spark, landed(failed, response([("1", "2")])), target,
+        first=DAY(2024, 1, 1), last=DAY(2024, 1, 2), resolution="PT1H", multi_line=True,
+    )
+    assert result.rows == 2
+    assert rows(spark.read.parquet(target)) == [(None, None, None), (DAY(2024, 1, 2), "00:00:00", 2.0)]
+
+
 def test_malformed_document(spark, landed, folder):
     target, bad = folder(), folder()
     source = landed("{bad", response(hours(2)))
