@@ -45,6 +45,7 @@ def parser() -> argparse.ArgumentParser:
     meter.add_argument("--resolution", default=metering.HOURLY)
     meter.add_argument("--rejects", default=None)
     meter.add_argument("--multi-line", action="store_true", help="one document per file")
+    meter.add_argument("--compact", action="store_true", help="few even files, for one shuffle")
 
     usage = job("audit", "usage log to a per-minute rollup by day")
     usage.add_argument("--log", required=True, help="Parquet folder of the raw log")
@@ -90,6 +91,7 @@ def run(spark: SparkSession, options: argparse.Namespace) -> RunResult:
             resolution=o.resolution,
             rejects_to=o.rejects,
             multi_line=o.multi_line,
+            compact=o.compact,
         )
     if o.job == "audit":
         if o.by_day:

@@ -215,8 +215,9 @@ def run(
     resolution: str | None = None,
     rejects_to: str | None = None,
     multi_line: bool = False,
+    compact: bool = False,
 ) -> RunResult:
-    """Full reload of a date range into a snapshot.
+    """Full reload of a date range into a snapshot; ``compact`` as in its sink.
 
     Rejects are counted while the snapshot is written; a second pass runs only to keep them.
     """
@@ -233,7 +234,7 @@ def run(
     result = readings(watched) if zone is None else zoned_readings(watched, zone)
     if first is not None and last is not None:
         result = within(result, first, last)
-    n = write_snapshot(result, target)
+    n = write_snapshot(result, target, compact=compact)
     n_rejected = counted(unparsed) + counted(unread)
     if n_rejected and rejects_to:
         write_snapshot(rejects(documents), rejects_to)

@@ -54,9 +54,15 @@ def read_days(
     return spark.read.schema(T.StructType([*schema.fields, *parts.fields])).parquet(folder)
 
 
-def write_snapshot(df: DataFrame, folder: str, form: str = "parquet") -> int:
-    """Replace the whole table; returns the row count."""
-    rows, seen = count_rows(df, "snapshot")
+def write_snapshot(
+    df: DataFrame, folder: str, form: str = "parquet", *, compact: bool = False
+) -> int:
+    """Replace the whole table; returns the row count.
+
+    ``compact`` makes files of even size, for a narrow result of a wide scan, whose tasks
+    would leave one small file each. It costs a shuffle of the result.
+    """
+    rows, seen = count_rows(df.hint("rebalance") if compact else df, "snapshot")
     writer = rows.write.mode("overwrite")
     if form == "csv":
         writer = writer.option("header", "true")

@@ -202,6 +202,8 @@ def test_snapshot_replaces_all(spark, folder):
     assert tables.write_snapshot(spark.range(5), where) == 5
     assert tables.write_snapshot(spark.range(2), where) == 2
     assert spark.read.parquet(where).count() == 2
+    assert tables.write_snapshot(spark.range(0, 100, 1, 8), where, compact=True) == 100
+    assert len(spark.read.parquet(where).inputFiles()) == 1
 
 
 def test_append_new_twice(spark, folder):
