@@ -64,7 +64,7 @@ def turns_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "NST2 SRC2",
+    "NST2",
     """
     SELECT event_id, value AS quantity, event_type AS quality, CAST(NULL AS VARCHAR) AS missing
     FROM events WHERE event_type <> 'signup'

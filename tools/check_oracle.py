@@ -29,7 +29,9 @@ TABLES = (
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     db = duckdb.connect()
     for name in TABLES:
-        db.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
+        path = Path(sf_dir) / f"{name}.parquet"
+        files = f"{path}/*.parquet" if path.is_dir() else str(path)
+        db.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{files}')")
     return db
 
 
