@@ -12,12 +12,21 @@ from millrace.functions import dates
 from millrace.sinks.tables import count_rows, counted, read_days
 
 
+# Row groups and pages are checked for their size on every row, since a hundred unchecked
+# rows of file content could fill the memory. Small row groups bound what a task holds when
+# it writes, and what one batch holds when the content is read again.
+CONTENT_OPTIONS = {
+    "parquet.block.size": str(32 * 1024 * 1024),
+    "parquet.page.size.row.check.min": "1",
+    "parquet.block.size.row.check.min": "1",
+}
+
+
 def land_files(files: DataFrame, folder: str, run_ts: dt.datetime) -> int:
     """Write files with content below ``year/month/day/batch``; returns the row count.
 
     The batch is the run's timestamp: a retried run replaces its own batch, another run of
-    the day adds one. Nothing that was landed before is rewritten. Row groups are checked
-    on every row, since a hundred unchecked rows of file content could fill the memory.
+    the day adds one. Nothing that was landed before is rewritten.
     """
     utc = run_ts.astimezone(dt.timezone.utc) if run_ts.tzinfo else run_ts
     moment = dates.literal(utc, "timestamp_ntz")
@@ -33,8 +42,7 @@ def land_files(files: DataFrame, folder: str, run_ts: dt.datetime) -> int:
     (
         rows.write.partitionBy(*schemas.LANDED_PARTS)
         .option("partitionOverwriteMode", "dynamic")
-        .option("parquet.page.size.row.check.min", "1")
-        .option("parquet.block.size.row.check.min", "1")
+        .options(**CONTENT_OPTIONS)
         .mode("overwrite")
         .parquet(folder)
     )

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace import schemas
+from millrace.sinks.landing import CONTENT_OPTIONS
 
 
 def new_files(
@@ -40,9 +41,11 @@ def new_documents(
 
 def append_available(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     """Append everything available now to a Parquet table, then stop."""
+    options = CONTENT_OPTIONS if "content" in stream.columns else {}
     return (
         stream.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
+        .options(**options)
         .outputMode("append")
         .trigger(availableNow=True)
         .start(target)

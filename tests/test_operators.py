@@ -88,6 +88,19 @@ def test_hour_slices_cover_the_range_once(spark):
     assert hours.count() == hours.distinct().count() == 48
 
 
+@PROPERTY
+@given(st.lists(st.integers(0, 3 * 3600 * 10 - 1), max_size=15))
+def test_every_moment_of_a_range_is_in_one_slice(spark, tenths):
+    start = dt.datetime(2024, 1, 1, tzinfo=UTC)
+    moments = [(start + dt.timedelta(milliseconds=100 * t),) for t in tenths]
+    df = spark.createDataFrame(moments, "ts timestamp")
+    slices = [
+        predicates.within_hour(F.col("ts"), F.lit(start + dt.timedelta(hours=h))).cast("int")
+        for h in range(3)
+    ]
+    assert df.where(slices[0] + slices[1] + slices[2] != 1).count() == 0
+
+
 def hours(spark, spec):
     """``spec``: hour -> goods, as a table of replies."""
     replies = [(dt.datetime(2024, 1, 1, h), g) for h, goods in spec.items() for g in goods]
