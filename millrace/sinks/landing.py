@@ -22,29 +22,35 @@ CONTENT_OPTIONS = {
 }
 
 
+def batch_folder(spark: SparkSession, folder: str, run_ts: dt.datetime) -> str:
+    """``year=/month=/day=/batch=`` folder of a run."""
+    moment = dates.literal(run_ts, "timestamp_ntz")
+    parts = {
+        **dates.folder_parts(moment),
+        "batch": F.date_format(moment, "yyyyMMdd'T'HHmmss"),
+    }
+    values = spark.range(1).select(*[parts[name].alias(name) for name in schemas.LANDED_PARTS])
+    found = values.first().asDict()
+    return "/".join([folder, *[f"{name}={found[name]}" for name in schemas.LANDED_PARTS]])
+
+
 def land_files(files: DataFrame, folder: str, run_ts: dt.datetime) -> int:
     """Write files with content below ``year/month/day/batch``; returns the row count.
 
     The batch is the run's timestamp: a retried run replaces its own batch, another run of
-    the day adds one. Nothing that was landed before is rewritten.
+    the day adds one. Nothing that was landed before is rewritten. All rows go to the one
+    folder of the batch, so it is named and not partitioned by: that would sort each task's
+    rows, content included.
     """
-    utc = run_ts.astimezone(dt.timezone.utc) if run_ts.tzinfo else run_ts
-    moment = dates.literal(utc, "timestamp_ntz")
+    day = F.to_date(dates.literal(run_ts, "timestamp_ntz"))
     landed = files.select(
-        "path",
-        "name",
-        "modified_at",
-        "length",
-        "content",
-        F.to_date(moment).alias("ingest_date"),
-    ).withColumns({**dates.folder_parts(moment), "batch": F.lit(utc.strftime("%Y%m%dT%H%M%S"))})
+        "path", "name", "modified_at", "length", "content", day.alias("ingest_date")
+    )
     rows, seen = count_rows(landed, "landed")
     (
-        rows.write.partitionBy(*schemas.LANDED_PARTS)
-        .option("partitionOverwriteMode", "dynamic")
-        .options(**CONTENT_OPTIONS)
+        rows.write.options(**CONTENT_OPTIONS)
         .mode("overwrite")
-        .parquet(folder)
+        .parquet(batch_folder(files.sparkSession, folder, run_ts))
     )
     return counted(seen)
 
