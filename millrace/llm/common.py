@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import zipfile
 from pathlib import Path
 
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import millrace
 from millrace.session import shared_folder
 
 #: Largest file or index that is sent to every worker, in bytes.
@@ -20,8 +25,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small, unless the session asks for even smaller ones."""
+def prepare(spark: SparkSession) -> None:
+    """Before Python runs in tasks: this package on every worker, and small Arrow batches.
+
+    The package goes out as one archive, as with ``--py-files``. A session that asks for even
+    smaller batches keeps them.
+    """
+    context = spark.sparkContext
+    if not getattr(context, "_millrace_shipped", False):
+        package = Path(millrace.__file__).parent
+        folder = tempfile.mkdtemp(prefix="millrace-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)  # executors may fetch it at any time
+        archive = Path(folder, "millrace.zip")
+        with zipfile.ZipFile(archive, "w") as out:
+            for file in sorted(package.rglob("*.py")):
+                out.write(file, file.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        context._millrace_shipped = True
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key))
     if now <= 0 or now > BATCH_ROWS:

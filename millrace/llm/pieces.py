@@ -22,7 +22,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import BoundedCache, file_bytes, small_batches
+from millrace.llm.common import BoundedCache, file_bytes, prepare
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 #: Entries that a worker keeps: chunks of text, and tested pairs.
@@ -174,7 +174,7 @@ def _digest(text: str) -> str:
 
 def encode_column(df: DataFrame, text: str | Column, model_path: str = MODEL) -> Column:
     """Array of ids with the end id, for a text column of ``df``. Null and empty: the end id alone."""
-    small_batches(df.sparkSession)
+    prepare(df.sparkSession)
     data = file_bytes(df.sparkSession, model_path)
 
     @F.arrow_udf("array<int>")
@@ -188,7 +188,7 @@ def encode_column(df: DataFrame, text: str | Column, model_path: str = MODEL) ->
 
 def decode_column(df: DataFrame, ids: str | Column, model_path: str = MODEL) -> Column:
     """Text of an array of ids. A null array gives null, an empty one the empty text."""
-    small_batches(df.sparkSession)
+    prepare(df.sparkSession)
     data = file_bytes(df.sparkSession, model_path)
 
     @F.arrow_udf("string")
@@ -207,7 +207,7 @@ def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mo
     which encodes to the end id alone. Other columns of ``df``, whatever their names, are left out.
     No shuffle; a worker holds one batch and its bounded caches.
     """
-    small_batches(df.sparkSession)
+    prepare(df.sparkSession)
     data = file_bytes(df.sparkSession, model_path)
 
     @F.arrow_udf("struct<n_tokens: bigint, ids_sha256: string, decoded_sha256: string>")

@@ -22,7 +22,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import BoundedCache, file_bytes, small_batches
+from millrace.llm.common import BoundedCache, file_bytes, prepare
 
 MODEL = public_tokenizers.path("byte_bpe_50k.json")
 #: Rows that the frequent pre-tokens are taken from, and entries of the first tier at most:
@@ -119,7 +119,7 @@ def _worker(data: Broadcast, frequent: Broadcast) -> tuple[TokenLengths, Bounded
 
 def token_count_column(df: DataFrame, text_col: str, model_path: str = MODEL, sample_rows: int = SAMPLE_ROWS, frequent: int = FREQUENT) -> Column:
     """Number of tokens of a text column. Null and empty texts have none."""
-    small_batches(df.sparkSession)
+    prepare(df.sparkSession)
     data = file_bytes(df.sparkSession, model_path)
     first = df.sparkSession.sparkContext.broadcast(frequent_table(df, text_col, data, sample_rows, frequent))
 
