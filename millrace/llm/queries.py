@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import pieces, simhash, tokencount
+from millrace.llm import pieces, simhash, substring, tokencount
 from millrace.llm.common import table
 
 
@@ -22,9 +22,14 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.removal_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op4_token_counts": op4_token_counts,
     "op5_simhash": op5_simhash,
+    "op8_substring": op8_substring,
 }
 SQL: dict[str, str] = {}
