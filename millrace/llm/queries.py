@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import pieces, simhash, substring, tokencount
-from millrace.llm.common import table
+from millrace.llm import pieces, simhash, substring, tokencount, toxic
+from millrace.llm.common import remainder, table
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,10 +27,23 @@ def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.removal_digests(table(spark, sf_dir, "documents"))
 
 
+def toxicity_scorer(spark: SparkSession, sf_dir: str) -> toxic.Scorer:
+    """Trained on the labels that are not held out."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxic.train(docs, labels.where(remainder("doc_id", 5) != 0))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxic.score(table(spark, sf_dir, "documents"), toxicity_scorer(spark, sf_dir))
+    return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), F.col("score"), "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op4_token_counts": op4_token_counts,
     "op5_simhash": op5_simhash,
     "op8_substring": op8_substring,
+    "op9_toxicity": op9_toxicity,
 }
 SQL: dict[str, str] = {}
