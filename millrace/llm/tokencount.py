@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from millrace.llm.common import BoundedCache, file_bytes, prepare
 
 MODEL = public_tokenizers.path("byte_bpe_50k.json")
-#: Rows that the frequent pre-tokens are taken from, and entries of the first tier at most:
-#: 12 bytes each at a load of one half, so 3 MB.
-SAMPLE_ROWS, FREQUENT = 4000, 1 << 17
+#: Rows of a partition that the frequent pre-tokens are taken from, and entries that it gives
+#: at most; with 10 bytes for each slot, and two slots or more for an entry, 5 MB at most.
+SAMPLE_ROWS, FREQUENT = 2000, 1 << 16
 #: Entries of a worker's cache.
 CACHE = 400_000
 
@@ -89,18 +89,25 @@ class FrequentTable:
 
 
 def frequent_table(df: DataFrame, text_col: str, data: Broadcast, sample_rows: int, limit: int) -> FrequentTable:
-    """Lengths of the most frequent pre-tokens of some rows; no more than ``limit`` reach the driver."""
+    """Lengths of the most frequent pre-tokens in the first rows of two partitions.
+
+    Only those partitions are read; no more than twice ``limit`` entries reach the driver.
+    """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, counts = TokenLengths(data.value), Counter()
+        model, counts, left = TokenLengths(data.value), Counter(), sample_rows
         for batch in batches:
-            for value in batch.column(0):
+            for value in batch.column(0).slice(0, left):
                 counts.update(model.parts(value.as_py() or "")[0])
+            left -= min(left, batch.num_rows)
+            if not left:
+                break
         best = [t for t, n in counts.most_common(limit) if n > 1]
-        yield pa.RecordBatch.from_arrays([pa.array(best, pa.string()), pa.array([model.encoded(t) for t in best], pa.int32())], ["text", "length"])
+        row = [pa.array([best], pa.list_(pa.string())), pa.array([[model.encoded(t) for t in best]], pa.list_(pa.int32()))]
+        yield pa.RecordBatch.from_arrays(row, ["texts", "lengths"])
 
-    found = df.select(F.col(text_col).alias("text")).limit(sample_rows).mapInArrow(counted, "text string, length int")
-    return FrequentTable({r.text: r.length for r in found.limit(limit).collect()})
+    found = df.select(F.col(text_col).alias("text")).mapInArrow(counted, "texts array<string>, lengths array<int>").take(2)
+    return FrequentTable(dict(pair for r in found for pair in zip(r.texts, r.lengths, strict=True)))
 
 
 _WORKER: dict[int, tuple[TokenLengths, BoundedCache]] = {}
