@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import pieces, simhash, substring, tokencount, toxic
+from millrace.llm import decontam, pieces, simhash, substring, tokencount, toxic
 from millrace.llm.common import remainder, table
 
 
@@ -23,6 +23,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.removal_digests(table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op4_token_counts": op4_token_counts,
     "op5_simhash": op5_simhash,
+    "op6_decontamination": op6_decontamination,
     "op8_substring": op8_substring,
     "op9_toxicity": op9_toxicity,
 }
