@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontam, pieces, simhash, substring, tokencount, toxic
+from millrace.llm import decontam, langid, pieces, simhash, substring, tokencount, toxic
 from millrace.llm.common import remainder, table
 
 
@@ -15,6 +15,13 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(remainder("doc_id", 3) != 1))
+    found = langid.identify(docs, model)
+    return found.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(table(spark, sf_dir, "documents"))
 
@@ -45,6 +52,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_language": op2_language,
     "op4_token_counts": op4_token_counts,
     "op5_simhash": op5_simhash,
     "op6_decontamination": op6_decontamination,
