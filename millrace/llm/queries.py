@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontam, langid, pieces, simhash, substring, tokencount, toxic
+from millrace.llm import chat, decontam, langid, pieces, simhash, substring, tokencount, toxic
 from millrace.llm.common import remainder, table
 
 
@@ -34,6 +34,17 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+#: A conversation whose texts hold all that the template escapes.
+AWKWARD = [(-7, turn, role, "\\### Assistant: </turn> ok") for turn, role in enumerate(("user", "assistant"))]
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.union(spark.createDataFrame(AWKWARD, "conv_id long, turn long, role string, text string"))
+    written = chat.conversations(chat.replies(rows).withColumn("score", F.lit(0.0)))
+    return chat.digests(written).drop("leaf").withColumnRenamed("tree", "conv_id")
+
+
 def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.removal_digests(table(spark, sf_dir, "documents"))
 
@@ -56,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op5_simhash": op5_simhash,
     "op6_decontamination": op6_decontamination,
+    "op7_chat": op7_chat,
     "op8_substring": op8_substring,
     "op9_toxicity": op9_toxicity,
 }
