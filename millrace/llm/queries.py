@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontam, langid, pieces, simhash, substring, tokencount, toxic
+from millrace.llm import chat, decontam, langid, pieces, shards, simhash, substring, tokencount, toxic
 from millrace.llm.common import remainder, table
 
 
@@ -61,6 +61,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), F.col("score"), "predicted")
 
 
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.shards(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_language": op2_language,
@@ -70,5 +74,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_chat": op7_chat,
     "op8_substring": op8_substring,
     "op9_toxicity": op9_toxicity,
+    "op10_sharding": op10_sharding,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op10_sharding": shards.SQL}
