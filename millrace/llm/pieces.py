@@ -26,7 +26,7 @@ from millrace.llm.common import BoundedCache, file_bytes, prepare
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 #: Entries that a worker keeps: chunks of text, and tested pairs.
-CHUNKS, PAIRS = 300_000, 1_000_000
+CHUNKS, PAIRS = 1_000_000, 1_000_000
 
 #: Fixed values of the format: the escaped space, what an unknown id decodes to, and the
 #: replacement of a byte that is no UTF-8.
