@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontam, langid, pieces, shards, simhash, substring, tokencount, toxic
+from millrace.llm import chat, decontam, langid, neighbours, pieces, shards, simhash, substring, tokencount, toxic
 from millrace.llm.common import remainder, table
 
 
@@ -22,6 +22,10 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(table(spark, sf_dir, "documents"))
 
@@ -68,6 +72,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_language": op2_language,
+    "op3_neighbours": op3_neighbours,
     "op4_token_counts": op4_token_counts,
     "op5_simhash": op5_simhash,
     "op6_decontamination": op6_decontamination,
