@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import BoundedCache, prepare, staged
+from millrace.llm.common import prepare, staged
 
 #: Labelled documents that training takes at most, clean and toxic ones, and words of them on the driver.
 DOCUMENTS, CANDIDATES, CLEAN_WORDS = (6000, 1500), 300_000, 200_000
@@ -41,7 +41,7 @@ RIDGE = 1e-3
 #: Steepness of the step from a document's value to its probability: the machine's margin is 1.
 SLOPE = 4.0
 #: Words whose scores a worker keeps.
-CACHE = 400_000
+CACHE = 150_000
 
 _LENGTH = 4
 _OFFSETS = [(*o, DECAY ** (o[-1] - _LENGTH + 1)) for o in combinations(range(1, _LENGTH + SKIPS), _LENGTH - 1)]
@@ -273,20 +273,22 @@ def _worst_column(df: DataFrame, scorer: Scorer, text: str | Column, probability
 
     @F.arrow_udf("double")
     def worst(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model, cache = shared.value, BoundedCache(None, CACHE)
+        model, cache = shared.value, {}
         for texts in batches:
-            each = [words_of(t.as_py()) for t in texts]
-            new = list(set().union(*each).difference(cache))
-            if len(cache) + len(new) > CACHE:
-                cache.clear()
-                new = list(set().union(*each))
-            for at in range(0, len(new), 20_000):
-                part = new[at : at + 20_000]
-                cache.update(zip(part, model.words(part).tolist(), strict=True))
-            found = np.array([max(map(cache.__getitem__, words), default=model.bias) for words in each], float)
-            yield pa.array(model.probability(found) if probability else found, pa.float64())
-
-    return worst(text)
+            found = []
+            for at in range(0, len(texts), 32):
+                each = [words_of(t.as_py()) for t in texts.slice(at, 32)]
+                if len(cache) > CACHE:
+                    cache.clear()
+                new = list(set().union(*each).difference(cache))
+                for first in range(0, len(new), 10_000):
+                    part = new[first : first + 10_000]
+                    cache.update(zip(part, model.words(part).tolist(), strict=True))
+                found += [max(map(cache.__getitem__, words), default=model.bias) for words in each]
+            values = np.array(found, float)
+            yield pa.array(model.probability(values) if probability else values, pa.float64())
+
+    return worst.asNondeterministic()(text)  # else a filter would score each text again
 
 
 def train(docs: DataFrame, labels: DataFrame, documents: tuple[int, int] = DOCUMENTS) -> Scorer:
@@ -301,15 +303,17 @@ def train(docs: DataFrame, labels: DataFrame, documents: tuple[int, int] = DOCUM
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     ranked = [known.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents[c]) for c in (0, 1)]
     wanted = F.broadcast(ranked[0].union(ranked[1]))  # two numbers for each of a bounded count of rows
-    rows = staged(docs.where(F.col("text").isNotNull()).join(wanted, "doc_id").select("doc_id", "toxic", "text"), "labelled")
+    rows = docs.where(F.col("text").isNotNull()).join(wanted, "doc_id")
+    rows = staged(rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("long").alias("toxic"), "text"), "labelled")
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc_id, toxic, text in zip(*batch.columns, strict=True):
-                words = list(dict.fromkeys(words_of(text.as_py())))
-                words = [w for w in words if len(w) >= _LENGTH and w.strip(string.punctuation)]
-                columns = [pa.array([x.as_py()] * len(words), pa.int64()) for x in (doc_id, toxic)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(words, pa.string())], ["doc_id", "toxic", "word"])
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                words = [[w for w in dict.fromkeys(words_of(t.as_py())) if len(w) >= _LENGTH and w.strip(string.punctuation)] for t in part.column(2)]
+                row = pa.array(np.repeat(np.arange(len(words)), [len(w) for w in words]))
+                each = pa.array([w for ws in words for w in ws], pa.string())
+                yield pa.RecordBatch.from_arrays([part.column(0).take(row), part.column(1).take(row), each], ["doc_id", "toxic", "word"])
 
     words = staged(rows.mapInArrow(listed, "doc_id long, toxic long, word string"), "words")
     clean = words.where("toxic = 0").groupBy("word").count()
@@ -327,6 +331,11 @@ def score_column(df: DataFrame, scorer: Scorer, text: str | Column) -> Column:
     return _worst_column(df, scorer, text, True)
 
 
+def without_toxic(df: DataFrame, scorer: Scorer, text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` whose text scores below one half; null and empty texts stay if words without a known part do."""
+    return df.where(score_column(df, scorer, F.col(text_col)) < 0.5)
+
+
 def score(df: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, score, predicted`` of each row; other columns, whatever their names, are left out.
 
