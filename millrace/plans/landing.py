@@ -41,9 +41,17 @@ def run(
     pattern: str | None = None,
     max_files: int | None = None,
 ) -> RunResult:
-    """List, land, compare counts, then move the watermark to the newest landed file."""
+    """List, land, compare counts, then move the watermark to the newest landed file.
+
+    Files longer than the session's ``spark.sql.sources.binaryFile.maxLength`` cannot be read
+    as one row: they are counted as rejected, and the others land.
+    """
     watermark = read_watermark(spark, state, form="text", default=DEFAULT)
-    found = source.read_files(spark, folder, pattern)
+    files = source.read_files(spark, folder, pattern)
+    longest = int(spark.conf.get("spark.sql.sources.binaryFile.maxLength"))
+    too_long = source.listing(source.changed_since(files, watermark)).where(F.col("length") > longest)
+    rejected = too_long.count()
+    found = files.where(F.col("length") <= longest)
     due = source.changed_since(found, watermark)
     if max_files is not None:
         end = batch_end(source.listing(due), watermark, max_files)
@@ -55,10 +63,10 @@ def run(
         .first()
     )
     if listed == 0:
-        return RunResult(NO_DATA)
+        return RunResult(NO_DATA, rejected=rejected)
     landed = land_files(due, target, run_ts)
     if landed != listed:
-        return RunResult(INCOMPLETE, rows=landed)
+        return RunResult(INCOMPLETE, rows=landed, rejected=rejected)
     moved = dt.datetime.fromtimestamp(newest, dt.timezone.utc)
     publish_watermark(spark, state, moved, form="text")
-    return RunResult(LOADED, rows=landed, watermark=moved)
+    return RunResult(LOADED, rows=landed, rejected=rejected, watermark=moved)

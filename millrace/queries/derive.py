@@ -261,13 +261,14 @@ def written_hours(events: DataFrame, *figures: Column) -> DataFrame:
 # --- files ---------------------------------------------------------------------------------
 
 
-def write_event_files(events: DataFrame, folder: str) -> None:
-    """Events as text files, one folder per day, one line per event."""
+def write_event_files(events: DataFrame, folder: str, *parts: str) -> None:
+    """Events as text files, one folder per day and ``parts``, one line per event."""
     line = F.concat_ws(";", "event_id", "user_id", "event_type", "props")
     (
-        events.select(line.alias("value"), F.date_format("ts", "yyyy-MM-dd").alias("day"))
+        events.select(line.alias("value"), F.date_format("ts", "yyyy-MM-dd").alias("day"), *parts)
         .hint("rebalance", F.col("day"))
-        .write.partitionBy("day")
+        .write.mode("append")
+        .partitionBy("day", *parts)
         .text(folder)
     )
 

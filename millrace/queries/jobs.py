@@ -177,3 +177,36 @@ def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(derive.file_day(F.col("path")).alias("day"), F.col("landed_in").alias("folder"))
         .agg(F.sum(n_lines).alias("n_lines"), F.sum("length").alias("n_bytes"))
     )
+
+
+@query(
+    "SNK3 DQ5 INC6 INC7 SRC6 SRC7",
+    f"""
+    SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n_lines,
+        CAST(sum(octet_length(encode({derive.EVENT_LINE_SQL})) + 1) AS BIGINT) AS n_bytes
+    FROM events GROUP BY ALL
+    """,
+)
+def landing_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Capped runs, repeated runs and runs of two folders and patterns, all at one time and
+    into one target: every file once."""
+    events = table(spark, sf_dir, "events")
+    target, run_ts = shared_folder(spark, "landed"), dt.datetime(2024, 3, 5, 9, tzinfo=UTC)
+    errors = F.col("event_type") == "error"
+    for part in (errors, ~errors):
+        folder = shared_folder(spark, "files")
+        derive.write_event_files(events.where(part), folder, "event_type")
+        for pattern in ("*.txt", "*.none"):
+            state = shared_folder(spark, "landed-state")
+            for cap in (7, 7, None, None):
+                landing.run(spark, folder, target, state, run_ts, pattern=pattern, max_files=cap)
+    content = F.decode("content", "UTF-8")
+    n_lines = F.length(content) - F.length(F.replace(content, F.lit("\n"), F.lit("")))
+    return (
+        latest_landed(read_landed(spark, target))
+        .groupBy(
+            derive.file_day(F.col("path")).alias("day"),
+            F.regexp_extract("path", "event_type=([^/]+)", 1).alias("event_type"),
+        )
+        .agg(F.sum(n_lines).alias("n_lines"), F.sum("length").alias("n_bytes"))
+    )

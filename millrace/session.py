@@ -43,6 +43,18 @@ def folder_exists(spark: SparkSession, folder: str) -> bool:
     return files.exists(path)
 
 
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder, if it is there."""
+    files, path = _file_system(spark, folder)
+    files.delete(path, True)
+
+
+def files_below(spark: SparkSession, folder: str) -> set[str]:
+    """Names of the files right below a folder; none if it is not there."""
+    files, path = _file_system(spark, folder)
+    return {f.getPath().getName() for f in files.listStatus(path)} if files.exists(path) else set()
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path, not yet there, that every executor can reach.
 

@@ -53,7 +53,8 @@ def test_layout(job, spark):
     touch(job.source, "a.txt", "abc", "2024-03-01T00:00:00")
     job(1)
     row = read_landed(spark, job.target).first()
-    assert (row.year, row.month, row.day, row.batch) == ("2024", "March", "2024-03-05", "20240305T010000")
+    assert (row.year, row.month, row.day) == ("2024", "March", "2024-03-05")
+    assert row.batch.startswith("20240305T010000-")
     assert (row.name, row.length, bytes(row.content), row.ingest_date) == ("a.txt", 3, b"abc", dt.date(2024, 3, 5))
 
 
@@ -71,13 +72,50 @@ def test_two_runs_on_a_day_and_a_changed_file(job, spark):
     assert read_landed(spark, job.target).count() == 5
 
 
-def test_superseded_versions_without_a_broadcast(job, spark):
+def test_a_run_at_the_same_time_again_keeps_what_is_there(job, spark):
+    for i in range(5):
+        touch(job.source, f"f{i}.txt", str(i), f"2024-03-0{i + 1}T00:00:00")
+    assert [job(1).rows for _ in range(3)] == [5, 1, 1]
+    assert [r[1] for r in shown(job.current())] == [f"f{i}.txt" for i in range(5)]
+
+
+def test_capped_runs_at_one_time(job):
+    for i in range(5):
+        touch(job.source, f"f{i}.txt", str(i), f"2024-03-0{i + 1}T00:00:00")
+    for _ in range(4):
+        job(1, max_files=2)
+    assert [r[1] for r in shown(job.current())] == [f"f{i}.txt" for i in range(5)]
+
+
+def test_two_patterns_at_one_time(job, spark, folder):
+    touch(job.source, "a.txt", "one", "2024-03-01T00:00:00")
+    touch(job.source, "b.bin", "two", "2024-03-02T00:00:00")
+    at = dt.datetime(2024, 3, 5, 1, tzinfo=UTC)
+    for pattern in ("*.txt", "*.bin"):
+        landing.run(spark, str(job.source), job.target, folder(), at, pattern=pattern)
+    assert len(shown(job.current())) == 2
+
+
+def test_a_change_between_runs_of_one_time(job):
     touch(job.source, "a.txt", "one", "2024-03-01T00:00:00")
     job(1)
-    job(2)
-    landed = read_landed(spark, job.target)
-    assert landed.count() == 2
-    assert shown(latest_landed(landed, broadcast_rows=0)) == [("2024-03-05", "a.txt", "one")]
+    touch(job.source, "a.txt", "two", "2024-03-02T00:00:00")
+    job(1)
+    assert shown(job.current()) == [("2024-03-05", "a.txt", "two")]
+
+
+def test_a_file_too_long_is_set_aside(job, spark):
+    touch(job.source, "a.txt", "one", "2024-03-01T00:00:00")
+    touch(job.source, "b.txt", "x" * 100, "2024-03-02T00:00:00")
+    key = "spark.sql.sources.binaryFile.maxLength"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "50")
+    try:
+        result = job(1)
+    finally:
+        spark.conf.set(key, before)
+    assert (result.rows, result.rejected) == (1, 1)
+    assert shown(job.current()) == [("2024-03-05", "a.txt", "one")]
 
 
 def test_another_day_keeps_its_own_folder(job):
