@@ -111,14 +111,15 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> Dat
         F.max("fp").alias("p2"),
         F.min(F.struct(F.xxhash64("fp").alias("order"), "fp")).getField("fp").alias("p3"),
     )
-    members = staged(listed.join(buckets.where("n > 1"), key), "members")
-    # a. members against pivots
-    pivots = members.select("fp", F.explode(F.array("p1", "p2", "p3")).alias("p"))
-    close = pivots.where((F.col("fp") != F.col("p")) & _near("fp", "p", max_bits))
-    classes = components(close.select(F.col("fp").alias("a"), F.col("p").alias("b")))
-    # b. what is left: buckets of several classes and more than the pivots
-    open_ = members.where("n > 2").select(*key, "fp")
-    named = open_.join(classes.withColumnRenamed("node", "fp"), "fp", "left")
+    buckets = staged(buckets.where("n > 2").unionByName(buckets.where((F.col("n") == 2) & _near("p1", "p2", max_bits))), "buckets")
+    members = staged(listed.join(buckets.where("n > 2"), key), "members")
+    # a. members against pivots; of two members, either is one
+    close = buckets.where("n = 2").select(F.col("p1").alias("a"), F.col("p2").alias("b"))
+    for pivot in ("p1", "p2", "p3"):
+        close = close.union(members.where(_near("fp", pivot, max_bits)).select("fp", pivot))
+    classes = components(close)
+    # b. what is left: buckets of several classes
+    named = members.select(*key, "fp").join(classes.withColumnRenamed("node", "fp"), "fp", "left")
     named = staged(named.select(*key, "fp", F.coalesce("root", "fp").alias("class")), "named")
     sizes = named.groupBy(*key, "class").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy(*key).agg(F.sum("n").alias("n"), F.max(F.struct("n", "class")).alias("main"))
