@@ -11,6 +11,8 @@ import datetime as dt
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace import schemas
 from millrace.plans import audit, landing, metering, plays
@@ -54,6 +56,8 @@ def parser() -> argparse.ArgumentParser:
 
     replies = job("replies", "landed hourly replies to the same rollup")
     replies.add_argument("--landed", required=True, help="JSON lines: slice_start, status, body")
+    replies.add_argument("--by-day", action="store_true", help="replies landed below y, m, d folders")
+    replies.add_argument("--rejects", default=None)
 
     for loads in (usage, replies):
         loads.add_argument("--target", required=True)
@@ -109,8 +113,20 @@ def run(spark: SparkSession, options: argparse.Namespace) -> RunResult:
             log_parts=schemas.DAY_PARTS if o.by_day else None,
         )
     if o.job == "replies":
-        replies = spark.read.schema(schemas.SLICE_REPLY).json(o.landed)
-        return audit.run_replies(spark, replies, o.target, o.state, run_ts, default=o.default)
+        schema = schemas.SLICE_REPLY
+        if o.by_day:
+            schema = T.StructType([*schema.fields, *schemas.DAY_PARTITIONS.fields])
+        replies = spark.read.schema(schema).json(o.landed)
+        return audit.run_replies(
+            spark,
+            replies.withColumn("landed_at", F.col("_metadata.file_modification_time")),
+            o.target,
+            o.state,
+            run_ts,
+            default=o.default,
+            rejects_to=o.rejects,
+            parts=schemas.DAY_PARTS if o.by_day else None,
+        )
     if o.job == "plays":
         return plays.run(
             spark,

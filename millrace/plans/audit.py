@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace import schemas
@@ -14,9 +15,9 @@ from millrace.operators.predicates import between_instants, present_and_nonzero
 from millrace.operators.quality import QualityError
 from millrace.operators.rollup import first_break, hours_between, rollup
 from millrace.plans.result import LOADED, NO_DATA, RunResult
-from millrace.session import require_utc
+from millrace.session import delete_folder, require_utc, shared_folder
 from millrace.sinks.state import publish_watermark
-from millrace.sinks.tables import write_days
+from millrace.sinks.tables import write_days, write_snapshot
 from millrace.sources.documents import envelope_rows, has_result
 from millrace.sources.state import read_watermark
 
@@ -143,7 +144,8 @@ def _load(
     high: dt.datetime,
 ) -> RunResult:
     """Write, then publish. ``high`` is the end of the last complete day."""
-    n = write_days(with_day_parts(rolled), target, balance=(high - low).days > 2)
+    covered = [(low + dt.timedelta(days=i)).date() for i in range((high - low).days)]
+    n = write_days(with_day_parts(rolled), target, covered=covered)
     if n == 0:
         return RunResult(NO_DATA)
     publish_watermark(rolled.sparkSession, state, max(watermark, high), form="csv")
@@ -158,11 +160,18 @@ def run_replies(
     run_ts: dt.datetime,
     *,
     default: dt.datetime | None = None,
+    rejects_to: str | None = None,
+    parts: list[str] | None = None,
 ) -> RunResult:
     """The same load from landed hourly replies that are rolled up already.
 
     Takes the unbroken run of good hours from the watermark's day on. The watermark moves
     to the last day boundary inside it, so a day that broke off is replaced when complete.
+    A row has to lie in the hour that was asked for, and each of its cells has to be of its
+    column's type: others are counted as rejected, and kept in ``rejects_to``. An hour with
+    several good replies counts once if they are equal or tell by ``landed_at`` which is last.
+    Replies are opened once, into a staged table that goes when the run ends. ``parts`` names the
+    year, month and day columns of replies that are partitioned by them.
     """
     require_utc(spark)
     watermark = read_watermark(spark, state, form="csv", default=default)
@@ -170,21 +179,78 @@ def run_replies(
     if low >= high:
         return RunResult(NO_DATA)
     due = replies.where(between_instants(F.col("slice_start"), low, high))
+    if parts is not None:
+        due = within_days(due, parts, low, high)
     edge = spark.range(1).select(
         dates.literal(low).alias("low"),
         dates.literal(high - dt.timedelta(hours=1)).alias("high"),
     )
     expected = hours_between(edge, F.col("low"), F.col("high"), "slice_start")
-    stop, n_repeated = (
-        first_break(expected, reply_status(due), "slice_start", "good")
-        .select(F.unix_seconds("stop"), "n_repeated")
-        .first()
-    )
-    if n_repeated:
-        raise QualityError(f"{n_repeated} hours have more than one good reply")
-    end = high if stop is None else dt.datetime.fromtimestamp(stop, dt.timezone.utc)
-    taken = due.where(between_instants(F.col("slice_start"), low, end))
-    return _load(reply_rows(taken), target, state, low, midnight(watermark), midnight(end))
+    folder = shared_folder(spark, "replies-staged")
+    try:
+        opened_replies(due).write.parquet(folder)
+        opened = spark.read.parquet(folder)
+        heads = opened.where("is_head").select("slice_start", "good", "landed_at", "reply", "id")
+        good = last_replies(heads.where("good"))
+        status = heads.select("slice_start", "good").where("NOT good").unionByName(good.select("slice_start", F.lit(True).alias("good")))
+        stop, n_repeated = (
+            first_break(expected, status, "slice_start", "good")
+            .select(F.unix_seconds("stop"), "n_repeated")
+            .first()
+        )
+        if n_repeated:
+            raise QualityError(f"{n_repeated} hours have several good replies, and nothing tells the last")
+        end = high if stop is None else dt.datetime.fromtimestamp(stop, dt.timezone.utc)
+        rows = opened.where("NOT is_head").where(between_instants(F.col("slice_start"), low, end))
+        taken = rows.join(good, "id", "left_semi")
+        sound, bad = (taken.where(f"reason {test} ''") for test in ("=", "<>"))
+        rejected = bad.count()
+        if rejected and rejects_to:
+            write_snapshot(bad.select("slice_start", "reason", "cells"), f"{rejects_to}/run={run_ts:%Y%m%dT%H%M%S}")
+        names = [f.name for f in schemas.USAGE_ROLLUP.fields]
+        result = _load(sound.select(*names), target, state, low, midnight(watermark), midnight(end))
+    finally:
+        delete_folder(spark, folder)
+    return replace(result, rejected=rejected)
+
+
+def opened_replies(replies: DataFrame) -> DataFrame:
+    """One parse of each reply: a head with ``slice_start, good, landed_at, reply, id``, and its rows with a ``reason``.
+
+    ``reply`` is a digest of status and body, which tells equal replies; ``id`` is to be kept in a
+    table. A reply is good with status 200 and at least one result table.
+    """
+    landed = F.col("landed_at") if "landed_at" in replies.columns else F.lit(None).cast("timestamp")
+    parsed = replies.select(
+        "slice_start",
+        "status",
+        landed.alias("landed_at"),
+        F.monotonically_increasing_id().alias("id"),
+        F.sha2(F.concat_ws(" ", F.col("status").cast("string"), F.col("body")), 256).alias("reply"),
+        F.when(F.col("status") == 200, jsontext.parse(F.col("body"), schemas.ENVELOPE)["tables"]).alias("tables"),
+    ).withColumn("good", has_result(F.col("tables")))
+    rows = envelope_rows(parsed, F.col("tables"), schemas.USAGE_ROLLUP, "slice_start", "good", "landed_at", "reply", "id", heads=True)
+    minute = F.col(schemas.USAGE_MINUTE)
+    inside = (minute >= F.col("slice_start")) & (minute < F.col("slice_start") + dates.one_hour())
+    stray = F.when(F.col("cells").isNotNull() & ~F.coalesce(inside, F.lit(False)), F.lit("other hour"))
+    reason = F.concat_ws(", ", F.when(F.size("misfits") > 0, F.concat(F.lit("not of its type: "), F.array_join("misfits", " "))), stray)
+    return rows.select("*", reason.alias("reason"), F.col("cells").isNull().alias("is_head"))
+
+
+def last_replies(good: DataFrame) -> DataFrame:
+    """Of the good replies of an hour the last landed one; all that differ if nothing tells."""
+    last = F.max("landed_at").over(Window.partitionBy("slice_start"))
+    ranked = good.withColumn("last", last).where(F.col("last").isNull() | (F.col("landed_at") == F.col("last")))
+    return ranked.groupBy("slice_start", "reply").agg(F.min("id").alias("id"))
+
+
+def due_slices(replies: DataFrame, low: dt.datetime, high: dt.datetime) -> DataFrame:
+    """``slice_start`` of the hours of ``[low, high)`` that no good reply answers: what to fetch next."""
+    spark = replies.sparkSession
+    edge = spark.range(1).select(dates.literal(low).alias("low"), dates.literal(high - dt.timedelta(hours=1)).alias("high"))
+    expected = hours_between(edge, F.col("low"), F.col("high"), "slice_start")
+    good = reply_status(replies.where(between_instants(F.col("slice_start"), low, high))).where("good")
+    return expected.join(good, "slice_start", "left_anti").select("slice_start")
 
 
 def reply_status(replies: DataFrame) -> DataFrame:

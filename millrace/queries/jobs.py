@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import schemas
@@ -57,24 +57,29 @@ HOURLY_SQL = """
 """
 
 
-def hourly_replies(events: DataFrame) -> DataFrame:
-    """One reply per hour with one row; it failed if most events of the hour are errors."""
+def hourly_replies(events: DataFrame, answered: bool = False) -> DataFrame:
+    """One reply per hour with one row, and one row of the day before, which is not its to give.
+
+    It failed if most events of the hour are errors, unless ``answered``.
+    """
     n = F.count(F.lit(1))
     hours = events.groupBy(F.date_trunc("hour", "ts").alias("slice_start")).agg(
         n.alias("n"),
         F.sum(F.floor("value")).alias("whole"),
-        (F.count_if(F.col("event_type") == "error") * 2 <= n).alias("good"),
+        (F.lit(answered) | (F.count_if(F.col("event_type") == "error") * 2 <= n)).alias("good"),
     )
-    stamp = F.date_format("slice_start", "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    filled = {
-        schemas.USAGE_MINUTE: stamp,
-        "CpuTimeMs": F.col("whole").cast("string"),
-        "DurationMs": F.col("n").cast("string"),
-    }
-    cells = [filled.get(f.name, F.lit(f.name)) for f in schemas.USAGE_ROLLUP.fields]
+
+    def cells(at: Column) -> Column:
+        filled = {
+            schemas.USAGE_MINUTE: F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+            "CpuTimeMs": F.col("whole").cast("string"),
+            "DurationMs": F.col("n").cast("string"),
+        }
+        return F.array(*[filled.get(f.name, F.lit(f.name)) for f in schemas.USAGE_ROLLUP.fields])
+
     result = F.struct(
         F.array(*[F.struct(F.lit(f.name).alias("name")) for f in schemas.USAGE_ROLLUP.fields]).alias("columns"),
-        F.array(F.array(*cells)).alias("rows"),
+        F.array(cells(F.col("slice_start")), cells(F.col("slice_start") - F.expr("INTERVAL 1 DAY"))).alias("rows"),
     )
     return hours.select(
         "slice_start",
@@ -83,6 +88,9 @@ def hourly_replies(events: DataFrame) -> DataFrame:
     )
 
 
+_TEXT_KEYS_SQL = ", ".join(f"'{name}' AS \"{name}\"" for name in schemas.USAGE_KEYS[1:])
+
+
 @query(
     "SRC2 NST10 DQ6 INC1 INC4 INC5 INC6 SNK1 SNK2 STR6",
     f"""
@@ -91,28 +99,26 @@ def hourly_replies(events: DataFrame) -> DataFrame:
         SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31 23:00:00',
             INTERVAL 1 HOUR)) AS hour),
     stops AS (
-        SELECT min(grid.hour) FILTER (NOT coalesce(good, false)) AS stop
+        SELECT min(grid.hour) FILTER (hours.hour IS NULL) AS stop
         FROM grid LEFT JOIN hours ON grid.hour = hours.hour)
-    SELECT hour AS "FormattedTimeGenerated", 'User' AS "User", whole AS "CpuTimeMs", n AS "DurationMs",
-        strftime(hour, '%d') AS d
-    FROM hours, stops WHERE stop IS NULL OR hour < stop
+    SELECT hour AS "FormattedTimeGenerated", {_TEXT_KEYS_SQL}, whole AS "CpuTimeMs", n AS "DurationMs",
+        strftime(hour, '%Y') AS y, strftime(hour, '%m') AS m, strftime(hour, '%d') AS d
+    FROM hours, stops WHERE hour < TIMESTAMP '2024-02-01' AND (stop IS NULL OR hour < stop)
     """,
 )
 def replies_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly replies loaded up to the first that failed or is missing."""
+    """Hourly replies loaded up to the first that failed, then past it when it was answered
+    later. Rows of another hour are set aside, and no earlier day changes."""
     target, state = shared_folder(spark, "usage"), shared_folder(spark, "usage-state")
-    replies = hourly_replies(table(spark, sf_dir, "events"))
+    events = table(spark, sf_dir, "events")
+    failed, answered = hourly_replies(events), hourly_replies(events, answered=True)
     run_ts = dt.datetime(2024, 2, 1, 9, tzinfo=UTC)
     first = dt.datetime(2024, 1, 1, tzinfo=UTC)
-    audit.run_replies(spark, replies, target, state, run_ts, default=first)
-    audit.run_replies(spark, replies, target, state, run_ts, default=first)
-    return tables.read_days(spark, target, schemas.USAGE_ROLLUP).select(
-        F.col(schemas.USAGE_MINUTE).cast("timestamp_ntz").alias(schemas.USAGE_MINUTE),
-        "User",
-        "CpuTimeMs",
-        "DurationMs",
-        "d",
-    )
+    audit.run_replies(spark, failed, target, state, run_ts, default=first)
+    landed = failed.unionByName(answered)
+    audit.run_replies(spark, landed, target, state, run_ts, default=first, rejects_to=shared_folder(spark, "rejects"))
+    rolled = tables.read_days(spark, target, schemas.USAGE_ROLLUP)
+    return rolled.withColumn(schemas.USAGE_MINUTE, F.col(schemas.USAGE_MINUTE).cast("timestamp_ntz"))
 
 
 @query(

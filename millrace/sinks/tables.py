@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace import schemas
 from millrace.operators.keyed import new_rows
-from millrace.session import folder_exists
+from millrace.session import delete_folder, files_below, folder_exists
 
 
 def count_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -26,23 +28,29 @@ def counted(seen: Observation) -> int:
 
 
 def write_days(
-    df: DataFrame, folder: str, parts: list[str] | None = None, *, balance: bool = True
+    df: DataFrame, folder: str, parts: list[str] | None = None, covered: list[dt.date] | None = None
 ) -> int:
     """Replace the day partitions that ``df`` holds, and only those; returns the row count.
 
-    ``balance`` brings each day to few tasks, so a day gets few files, and lets adaptive
-    execution split a day that is far larger than the others over many tasks. For a day or
-    two it would be a shuffle for nothing.
+    ``covered`` lists days of which ``df`` holds every row there is: such a day without a row
+    is emptied as well. Each day is brought to few tasks, so it gets few files, and adaptive
+    execution splits a day that is far larger than the others over many tasks.
     """
     parts = parts or schemas.DAY_PARTS
-    spread = df.hint("rebalance", *[F.col(p) for p in parts]) if balance else df
-    rows, seen = count_rows(spread, "days")
+    spark = df.sparkSession
+    days = {day: f"{folder}/{'/'.join(f'{p}={day:%{f}}' for p, f in zip(parts, 'Ymd'))}" for day in covered or []}
+    before = {day: files_below(spark, path) for day, path in days.items()}
+    rows, seen = count_rows(df.hint("rebalance", *[F.col(p) for p in parts]), "days")
     (
         rows.write.partitionBy(*parts)
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")
         .parquet(folder)
     )
+    for day, names in before.items():
+        # a day that was written has other files now
+        if names and files_below(spark, days[day]) == names:
+            delete_folder(spark, days[day])
     return counted(seen)
 
 
@@ -83,13 +91,16 @@ def append_new(df: DataFrame, folder: str, key: list[str], part: str | None = No
     The table is read for its keys only, within the range of incoming keys: the bounds are
     literals, so Parquet statistics skip what lies outside. With ``part``, a column that
     follows from the key, the table is partitioned by it, and other partitions stay closed.
+    Two appends to one table at the same time do not see each other's keys: run one at a time.
     """
     table = read_table(df.sparkSession, folder, df.schema)
     bounded = [key[0], *([part] if part else [])]
-    edges = df.agg(*[edge(c) for c in bounded for edge in (F.min, F.max)]).first()
+    # as text: a zone-free time would become one of the session's zone on its way to the driver
+    edges = df.agg(*[edge(c).cast("string") for c in bounded for edge in (F.min, F.max)]).first()
     for name, low, high in zip(bounded, edges[::2], edges[1::2]):
         if low is not None:
-            table = table.where(F.col(name).between(F.lit(low), F.lit(high)))
+            kind = df.schema[name].dataType
+            table = table.where(F.col(name).between(F.lit(low).cast(kind), F.lit(high).cast(kind)))
     rows, seen = count_rows(new_rows(df, table, key), "appended")
     writer = rows.write.mode("append")
     (writer.partitionBy(part) if part else writer).parquet(folder)

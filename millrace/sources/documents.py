@@ -31,7 +31,7 @@ def has_result(tables: Column) -> Column:
 
 
 def envelope_rows(
-    envelopes: DataFrame, tables: Column, columns: T.StructType, *keep: str
+    envelopes: DataFrame, tables: Column, columns: T.StructType, *keep: str, heads: bool = False
 ) -> DataFrame:
     """Rows of the first result table, as typed columns.
 
@@ -40,25 +40,33 @@ def envelope_rows(
     The list of rows is a column of its own before it is opened: opened inside a record, the
     whole record would be copied to each of its rows. The outer form is used since the inner
     one makes the optimizer test the list ahead of time, and so parse the body twice.
+
+    With ``heads`` each envelope has a row of its own as well, in which ``cells`` is null, and
+    each row tells the raw ``cells`` and ``misfits``, the columns whose cell did not cast.
     """
     table = F.get(tables, F.lit(0))
     names = F.transform(table["columns"], lambda c: c["name"])
     spots = F.array(*[F.array_position("_names", f.name) - 1 for f in columns.fields])
-    exploded = (
-        envelopes.select(*keep, names.alias("_names"), table["rows"].alias("_rows"))
+    rows = table["rows"]
+    if heads:
+        none = F.array(F.lit(None).cast("array<string>"))
+        rows = F.concat(none, F.filter(F.coalesce(rows, F.array().cast("array<array<string>>")), lambda r: r.isNotNull()))
+    opened = (
+        envelopes.select(*keep, names.alias("_names"), rows.alias("_rows"))
         .select(*keep, spots.cast("array<int>").alias("_spots"), "_rows")
         .select(*keep, "_spots", F.explode_outer("_rows").alias("_cells"))
-        .where(F.col("_cells").isNotNull())
     )
-    cells = [
-        _cell(F.col("_cells"), F.col("_spots")[i], f).alias(f.name)
-        for i, f in enumerate(columns.fields)
-    ]
-    return exploded.select(*keep, *cells)
+    if not heads:
+        opened = opened.where(F.col("_cells").isNotNull())
+    raw = [F.get(F.col("_cells"), F.col("_spots")[i]) for i in range(len(columns.fields))]
+    cells = [_cell(value, f).alias(f.name) for value, f in zip(raw, columns.fields)]
+    if not heads:
+        return opened.select(*keep, *cells)
+    misfits = [F.when(value.isNotNull() & _cell(value, f).isNull(), F.lit(f.name)) for value, f in zip(raw, columns.fields)]
+    return opened.select(*keep, *cells, F.col("_cells").alias("cells"), F.array_compact(F.array(*misfits)).alias("misfits"))
 
 
-def _cell(cells: Column, spot: Column, field: T.StructField) -> Column:
-    value = F.get(cells, spot)
+def _cell(value: Column, field: T.StructField) -> Column:
     if isinstance(field.dataType, T.StringType):
         return value
     return value.try_cast(field.dataType)

@@ -256,8 +256,68 @@ def test_a_reply_with_no_rows_does_not_stop_the_run(spark, folder):
 
 
 def test_two_good_replies_for_an_hour(spark, folder):
+    result, _ = run_replies(spark, folder, [*DAY, reply(4)])
+    assert result.rows == 24
     with pytest.raises(QualityError):
-        run_replies(spark, folder, [*DAY, reply(4)])
+        run_replies(spark, folder, [*DAY, reply(4, n=2)])
+    landed = replies(spark, *DAY, reply(4, n=2)).withColumn("landed_at", F.when(F.size(F.split("body", "00:00Z")) > 2, START).otherwise(START - dt.timedelta(days=1)))
+    result = audit.run_replies(spark, landed, folder(), folder(), RUN, default=START)
+    assert result.rows == 25
+
+
+def cells(at, cpu=1):
+    return [at, *["t"] * 16, cpu, None]
+
+
+def body(*found):
+    return {"tables": [{"columns": [{"name": f.name} for f in schemas.USAGE_ROLLUP.fields], "rows": list(found)}]}
+
+
+def test_rows_are_held_to_their_hour(spark, folder):
+    target, state, rejects = folder(), folder(), folder()
+    first = [*DAY, reply(3, 503, {}, day=2)]
+    audit.run_replies(spark, replies(spark, *first), target, state, RUN, default=START)
+    second = [reply(h, day=2) for h in range(24) if h != 5]
+    odd = reply(5, body=body(cells("2024-01-01T23:59:00Z"), cells("bad"), cells("2024-01-02T05:10:00Z", "x"), cells("2024-01-02T05:20:00Z", 7)), day=2)
+    found = replies(spark, *DAY, *second, odd)
+    result = audit.run_replies(spark, found, target, state, RUN, rejects_to=rejects)
+    assert (result.rows, result.rejected) == (24, 3)
+    got = loaded(spark, target).groupBy("d").count()
+    assert rows(got) == [("01", 24), ("02", 24)]
+    kept = spark.read.parquet(rejects)
+    assert rows(kept.select("reason")) == [
+        ("not of its type: CpuTimeMs",),
+        ("not of its type: FormattedTimeGenerated, other hour",),
+        ("other hour",),
+    ]
+
+
+def test_hours_to_fetch(spark):
+    found = replies(spark, *[r for r in DAY if r[0].hour != 3], reply(3, 503, {}))
+    due = audit.due_slices(found, START, START + dt.timedelta(hours=25))
+    assert [r.slice_start.hour for r in due.orderBy("slice_start").collect()] == [3, 0]
+
+
+def test_a_day_that_lost_its_rows_is_emptied(spark, folder):
+    target, state = folder(), folder()
+    both = [entry("2024-01-01T10:00:00", 1), entry("2024-01-02T10:00:00", 2)]
+    audit.run(spark, log(spark, *both), target, state, dt.datetime(2024, 1, 3, tzinfo=UTC), default=START)
+    later = [both[0], entry("2024-01-03T10:00:00", 3)]
+    audit.run(spark, log(spark, *later), target, state, dt.datetime(2024, 1, 4, tzinfo=UTC), reread_days=2)
+    assert rows(loaded(spark, target).select("d", "CpuTimeMs")) == [("01", 1), ("03", 3)]
+
+
+def test_landed_replies_are_pruned_by_day(spark, folder):
+    landed = folder()
+    days = replies(spark, *DAY, *[reply(h, day=2) for h in range(24)])
+    days.withColumns(audit.dates.day_parts(F.col("slice_start"))).write.partitionBy("y", "m", "d").json(landed)
+    found = spark.read.schema(f"{schemas.SLICE_REPLY.simpleString()[7:-1].replace(':', ' ')}, y string, m string, d string").json(landed)
+    low, high = START + dt.timedelta(days=1), START + dt.timedelta(days=2)
+    pruned = audit.within_days(found, schemas.DAY_PARTS, low, high)
+    assert "concat_ws(-, y" in formatted(audit.opened_replies(pruned)).split("PartitionFilters: ")[1].split("\n")[0]
+    assert plan(audit.opened_replies(pruned)).count("Scan json") == 1
+    result = audit.run_replies(spark, found, folder(), folder(), RUN, default=low, parts=schemas.DAY_PARTS)
+    assert result.rows == 24
 
 
 def test_a_failed_hour_that_was_asked_again(spark, folder):
