@@ -34,6 +34,8 @@ SPACE = "▁"
 UNKNOWN_TEXT = " ⁇ "
 REPLACEMENT = "�"
 
+#: Stands for a control token until all is decoded: it is no text, but bytes do not join across it.
+_NOTHING = "\ud800"
 _RAW_BYTES = re.compile("[\udc80-\udcff]+")
 
 
@@ -55,7 +57,7 @@ class PieceModel:
         for i in range(size):
             piece = library.id_to_piece(i)
             if library.is_control(i):
-                self.text.append("")
+                self.text.append(_NOTHING)
             elif library.is_unknown(i):
                 self.text.append(UNKNOWN_TEXT)
             elif library.is_byte(i):
@@ -133,12 +135,10 @@ class PieceModel:
         """Text of ids in decimal: runs of byte ids become characters, a byte that is no UTF-8 a replacement."""
         each = ids.split()
         text = "".join(map(self.decoded.__getitem__, each))
-        first = next((i for i in each if self.decoded[i]), None)
-        if first is not None and self.marked[int(first)]:
-            text = text[1:]
         if not text.isascii():
-            text = _RAW_BYTES.sub(_characters, text)
-        return text
+            text = _RAW_BYTES.sub(_characters, text).replace(_NOTHING, "")
+        first = next((i for i in each if self.decoded[i] != _NOTHING), None)
+        return text[1:] if first is not None and self.marked[int(first)] else text
 
 
 def _characters(run: re.Match[str]) -> str:
