@@ -257,6 +257,8 @@ def fit_words(toxic: list[list[str]], clean: list[str], clean_documents: int, la
 
 def _calibrated(scorer: Scorer, values: np.ndarray, labels: np.ndarray) -> Scorer:
     """The cut between documents' values with the fewest errors, of equals the one next to the machine's own, zero."""
+    if len(np.unique(labels)) < 2:
+        return Scorer(scorer.table, scorer.bias, SLOPE, 0.0)
     each = np.unique(values)
     cuts = np.concatenate([[0.0], (each[1:] + each[:-1]) / 2, each[:1] - 0.1, each[-1:] + 0.1])
     clean, toxic = np.sort(values[labels == 0]), np.sort(values[labels == 1])

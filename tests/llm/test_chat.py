@@ -1,0 +1,97 @@
+import hashlib
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from millrace.llm import chat
+
+AWKWARD = st.text(alphabet="\\#/:<>turn ab\n", max_size=30) | st.sampled_from(["###", "</turn>", "\\### Assistant: </turn> ok", "####</turn></turn>\n### user: x"])
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "a: b", "", "\\:"]) | AWKWARD, AWKWARD), max_size=6))
+def test_what_is_written_is_read_back(turns):
+    text, mask = chat.formatted(turns)
+    assert chat.read_back(text) == turns
+    assert [chat.unescape(text[a:b]) for a, b in mask] == [t for r, t in turns if r == "assistant"]
+
+
+def nodes(spark, found):
+    return spark.createDataFrame(found, "tree long, node long, parent long, role string, text string, score double, leaf long, up string, turns int")
+
+
+def node(tree, at, parent, score=0.0, role="user"):
+    return (tree, at, parent, role, f"t{at}", score, 1, "x", 3)
+
+
+TREE = [node(1, 1, None), node(1, 2, 1, 1.0, "assistant"), node(1, 3, 1, 5.0, "assistant"), node(1, 4, 2, 1.0), node(1, 5, 2, 9.0), node(1, 6, 5, None, "assistant"), node(2, 7, 99), node(3, 8, 9), node(3, 9, 8), node(3, 10, 9)]
+
+
+def brute(found):
+    parent = {n[1]: n[2] for n in found}
+    answered = set(parent.values())
+    paths = {}
+    for leaf in parent:
+        path, at = [], leaf
+        while at in parent and at not in path:
+            path.append(at)
+            at = parent[at]
+        if leaf not in answered and at not in path:
+            paths[leaf] = path[::-1]
+    return paths
+
+
+def written(spark, found, branches=None):
+    return {r.leaf: chat.read_back(r.conversation) for r in chat.conversations(nodes(spark, found), branches).collect()}
+
+
+def test_all_branches(spark):
+    got = written(spark, TREE)
+    assert {k: [t for _, t in v] for k, v in got.items()} == {k: [f"t{n}" for n in p] for k, p in brute(TREE).items()}
+    # a parent that is not there makes a root; a circle has none
+    assert set(got) == {3, 4, 6, 7}
+
+
+def test_branches_are_ranked_by_mean_score(spark):
+    # 3: (0 + 5) / 2, 4: (0 + 1 + 1) / 3, 6: (0 + 1 + 9 + 0) / 4; equal ones by the smaller leaf
+    assert set(written(spark, TREE, 1)) == {3, 7}
+    assert set(written(spark, [*TREE, node(1, 11, 1, 5.0)], 1)) == {3, 7}
+    assert set(written(spark, TREE, 2)) == {3, 6, 7}
+
+
+def test_long_threads_and_bushes(spark):
+    found = [node(1, i, i - 1 if i else None) for i in range(300)]
+    found += [node(2, 1000, None)] + [node(2, 1000 + i, 1000) for i in range(1, 50)]
+    got = written(spark, found)
+    assert {k: [t for _, t in v] for k, v in got.items()} == {k: [f"t{n}" for n in p] for k, p in brute(found).items()}
+
+
+def test_empty_and_null(spark):
+    assert chat.conversations(nodes(spark, [])).collect() == []
+    found = [(None, 1, None, None, None, None, 1, "x", 1), (None, 2, 1, "assistant", None, None, 1, "x", 1)]
+    row = chat.digests(chat.conversations(nodes(spark, found))).first()
+    assert (row.tree, row.n_turns, row.loss_chars) == (None, 2, 0)
+
+
+def test_lists_of_turns(spark):
+    rows = [(c, t, ["user", "assistant"][t % 2], f"text {c} {t}" if t != 3 else None, "n", "p") for c in range(40) for t in range(c % 7 + 1)]
+    rows += [(77, t, "assistant", "same", "n", "p") for t in range(500)] + [(77, 3, "assistant", "same", "n", "p")] * 2
+    rows += [(None, 1, "user", "x", "n", "p"), (78, None, "user", "first", "n", "p"), (78, 0, "user", "second", "n", "p")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, node string, parent string")
+    found = chat.replies(df)
+    digests = chat.digests(chat.conversations(found.withColumn("score", F.lit(0.0)))).collect()
+    wanted = {}
+    for c, t, role, text, *_ in sorted(rows, key=lambda r: (str(r[0]), -1 if r[1] is None else r[1])):
+        wanted.setdefault(c, []).append((role, text or ""))
+
+    def sha(text):
+        return hashlib.sha256(text.encode()).hexdigest()
+
+    assert len(digests) == len(wanted)
+    for row in digests:
+        turns = wanted[row.tree]
+        loss = "".join(t for r, t in turns if r == "assistant")
+        assert (row.n_turns, row.turns_sha256) == (len(turns), sha("".join(f"{r}\n{t}\n" for r, t in turns)))
+        assert (row.loss_chars, row.loss_sha256) == (len(loss), sha(loss))
+    assert chat.replies(df.limit(0)).collect() == []
