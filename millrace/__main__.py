@@ -71,6 +71,7 @@ def parser() -> argparse.ArgumentParser:
     play.add_argument("--quarantine", default=None, help="set it to go on past bad rows")
     play.add_argument("--expected-day", type=dt.date.fromisoformat, default=None)
     play.add_argument("--multi-line", action="store_true", help="one document per file")
+    play.add_argument("--by-day", action="store_true", help="replies landed below y, m, d folders")
 
     land = job("landing", "new and changed files to a dated table")
     land.add_argument("--folder", required=True)
@@ -138,6 +139,7 @@ def run(spark: SparkSession, options: argparse.Namespace) -> RunResult:
             quarantine=o.quarantine,
             strict=o.quarantine is None,
             multi_line=o.multi_line,
+            parts=schemas.DAY_PARTS if o.by_day else None,
         )
     return landing.run(
         spark, o.folder, o.target, o.state, run_ts, pattern=o.pattern, max_files=o.max_files

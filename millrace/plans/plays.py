@@ -6,13 +6,14 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace import schemas
 from millrace.functions import dates
 from millrace.operators import quality
 from millrace.operators.nested import first
 from millrace.plans.result import LOADED, NO_DATA, RunResult
-from millrace.session import shared_folder
+from millrace.session import delete_folder, shared_folder
 from millrace.sinks.tables import append_new, counted, write_snapshot
 from millrace.sources.documents import CORRUPT, read_documents
 
@@ -21,8 +22,11 @@ KEY = ["played_at"]
 DAY = "timestamp"
 
 
-def read(spark: SparkSession, path: str, *, multi_line: bool = False) -> DataFrame:
-    return read_documents(spark, path, schemas.PLAYS_RESPONSE, multi_line=multi_line)
+def read(spark: SparkSession, path: str, *, multi_line: bool = False, parts: list[str] | None = None) -> DataFrame:
+    schema = schemas.PLAYS_RESPONSE
+    for part in parts or []:
+        schema = T.StructType([*schema.fields, T.StructField(part, T.StringType())])
+    return read_documents(spark, path, schema, multi_line=multi_line)
 
 
 def plays(documents: DataFrame) -> DataFrame:
@@ -47,6 +51,20 @@ def lookback_millis(run_ts: dt.datetime) -> int:
     return int((utc - dt.timedelta(days=1)).timestamp()) * 1000
 
 
+def first_millis(run_ts: dt.datetime, expected_day: dt.date) -> int:
+    """The lookback, or the start of the expected day if that is earlier: a bound that is not part of the run.
+
+    So a run of any time of the day sees its expected day whole.
+    """
+    start = dt.datetime.combine(expected_day, dt.time(), dt.timezone.utc)
+    return min(lookback_millis(run_ts), int(start.timestamp()) * 1000 - 1)
+
+
+def not_yet(expected_day: dt.date) -> Column:
+    """Plays of later days: a later run, which expects them, sees them whole."""
+    return F.coalesce(play_day() > F.lit(expected_day), F.lit(False))
+
+
 def without_items(documents: DataFrame) -> DataFrame:
     """Replies that are no list of plays: an error body, or text that does not parse."""
     return documents.where(F.col("items").isNull())
@@ -73,36 +91,52 @@ def run(
     quarantine: str | None = None,
     strict: bool = True,
     multi_line: bool = False,
+    parts: list[str] | None = None,
 ) -> RunResult:
-    """Check the last 24 hours of plays, then replace the snapshot and extend the history.
-
-    Strict runs stop at the first violated gate with nothing published. Others put faulty
-    rows and all copies of a repeated key into the quarantine, below a folder of the run,
-    and go on with the rest.
-    Replies are parsed once, into a narrow staged table; gates and sinks read that one.
+    """Check the plays of the expected day, then replace the snapshot and extend the history.
+
+    A run looks back 24 hours, and to the start of the expected day. Plays of later days are
+    left to later runs. Equal rows, as overlapping pulls give, are one play. Strict runs stop at
+    the first violated gate with nothing published. Others put faulty rows and all rows of a key
+    that differ into the quarantine, below a folder of the run, and replies without items
+    beside it, and go on with the rest.
+    Replies are parsed once, into a narrow staged table that goes when the run ends; gates and
+    sinks read that one. ``parts`` names the year, month and day columns of replies landed by
+    day: then only the days since the first one that matters are read.
     """
-    documents = read(spark, landed, multi_line=multi_line).drop(CORRUPT)
+    if not strict and quarantine is None:
+        raise ValueError("a run that is not strict needs a quarantine folder")
+    bound = first_millis(run_ts, expected_day)
+    documents = read(spark, landed, multi_line=multi_line, parts=parts)
+    if parts is not None:
+        folder = F.concat_ws("-", *[F.col(p) for p in parts])
+        documents = documents.where(folder >= f"{dt.datetime.fromtimestamp(bound / 1000, dt.timezone.utc):%Y-%m-%d}")
     no_items = Observation("replies")
-    watched = documents.observe(no_items, F.count_if(F.col("items").isNull()).alias("n"))
+    watched = documents.drop(CORRUPT).observe(no_items, F.count_if(F.col("items").isNull()).alias("n"))
     staged = shared_folder(spark, "plays-staged")
-    n_rows = write_snapshot(after(plays(watched), lookback_millis(run_ts)), staged)
-    if counted(no_items):
-        raise quality.QualityError("a reply holds no items: check the API key")
-    if n_rows == 0:
-        return RunResult(NO_DATA)
-    rows = spark.read.schema(schemas.PLAYS).parquet(staged)
-    gates = quality.gates_of(report(rows, expected_day))
-    rejected = 0
-    if strict:
-        gates.enforce()
-    elif gates.violations():
-        if quarantine is None:
-            raise ValueError("a run that is not strict needs a quarantine folder")
-        folder = f"{quarantine}/run={run_ts:%Y%m%dT%H%M%S}"
-        rows, rejected = _set_aside(rows, expected_day, folder, n_rows)
-    n = write_snapshot(rows, snapshot)
-    if history is not None:
-        append_new(spark.read.schema(schemas.PLAYS).parquet(snapshot), history, KEY, DAY)
+    try:
+        due = after(plays(watched), bound).where(~not_yet(expected_day))
+        n_rows = write_snapshot(due, staged)
+        rejected = counted(no_items)
+        if rejected and strict:
+            raise quality.QualityError("a reply holds no items: check the API key")
+        if rejected:
+            bodies = without_items(documents.select("items", CORRUPT)).select(CORRUPT)
+            write_snapshot(bodies, f"{quarantine}-bodies/run={run_ts:%Y%m%dT%H%M%S}")
+        if n_rows == 0:
+            return RunResult(NO_DATA, rejected=rejected)
+        rows = spark.read.schema(schemas.PLAYS).parquet(staged).distinct()
+        gates = quality.gates_of(report(rows, expected_day))
+        if strict:
+            gates.enforce()
+        elif gates.violations():
+            rows, n_faulty = _set_aside(rows, expected_day, f"{quarantine}/run={run_ts:%Y%m%dT%H%M%S}", n_rows)
+            rejected += n_faulty
+        n = write_snapshot(rows, snapshot)
+        if history is not None:
+            append_new(spark.read.schema(schemas.PLAYS).parquet(snapshot), history, KEY, DAY)
+    finally:
+        delete_folder(spark, staged)
     return RunResult(LOADED, rows=n, rejected=rejected)
 
 

@@ -125,7 +125,8 @@ def replies_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SRC1 NST6 NST7 NST8 NST9 STR7 FLT5 INC8 DAT6 DAT10 DQ1 DQ2 DQ3 DQ4 SNK4 SNK5 JOI1",
     f"""
     WITH rows AS (
-        SELECT * FROM ({derive.PLAYS_SQL}) WHERE played_at > '2024-01-19T09:30:15Z'),
+        SELECT DISTINCT * FROM ({derive.PLAYS_SQL})
+        WHERE played_at > '2024-01-19T09:30:15Z' AND timestamp <= '2024-01-20'),
     judged AS (
         SELECT *, concat_ws(', ', CASE WHEN artist_name IS NULL THEN 'null value' END,
             CASE WHEN timestamp <> '2024-01-20' THEN 'other day' END) AS fault
@@ -158,6 +159,36 @@ def plays_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.unionByName(spark.read.parquet(quarantine).drop("run"))
 
 
+@query(
+    "SRC1 NST9 FLT5 INC8 DAT10 DQ2 DQ4 SNK5 JOI1",
+    f"""
+    WITH rows AS (
+        SELECT DISTINCT * FROM ({derive.PLAYS_SQL}) WHERE timestamp BETWEEN '2024-01-08' AND '2024-01-10'),
+    judged AS (
+        SELECT *, CASE WHEN artist_name IS NULL THEN 'null value' ELSE '' END AS fault FROM rows),
+    sound AS (SELECT *, count(*) OVER (PARTITION BY played_at) AS n FROM judged WHERE fault = '')
+    SELECT song_name, artist_name, played_at, timestamp, fault AS reason FROM judged WHERE fault <> ''
+    UNION ALL
+    SELECT song_name, artist_name, played_at, timestamp,
+        CASE WHEN n > 1 THEN 'repeated key' ELSE '' END FROM sound
+    """,
+)
+def plays_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three mornings, each for the day before, with overlapping pulls and a body without items:
+    every play of three days once, in the history or in the quarantine."""
+    landed, target = shared_folder(spark, "plays-in"), shared_folder(spark, "plays-out")
+    history, quarantine = shared_folder(spark, "plays-history"), shared_folder(spark, "plays-quarantine")
+    documents = derive.play_documents(table(spark, sf_dir, "events"))
+    spark.createDataFrame([('{"error": 401}',)], "value string").write.text(landed)
+    for _ in range(2):
+        documents.write.mode("append").json(landed)
+    for day in (8, 9, 10):
+        run_ts = dt.datetime(2024, 1, day + 1, 9, 30, tzinfo=UTC)
+        plays.run(spark, landed, target, run_ts, dt.date(2024, 1, day), history=history, quarantine=quarantine, strict=False)
+    kept = tables.read_table(spark, history, schemas.PLAYS).withColumn("reason", F.lit(""))
+    return kept.unionByName(spark.read.parquet(quarantine).drop("run"))
+
+
 @query(
     "SRC5 SRC6 SRC7 FLT4 AGG2 AGG5 AGG6 DQ1 DQ5 INC1 INC2 INC6 INC7 LIM2 SNK3 SNK7 DAT5 DAT6 STR6 STR9",
     f"""

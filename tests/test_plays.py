@@ -92,22 +92,65 @@ def test_quarantine(spark, landed, folder):
             play("2024-01-02T01:00:00Z", "good"),
             play("2024-01-02T02:00:00Z", "twice"),
             play("2024-01-02T02:00:00Z", "twice"),
+            play("2024-01-02T04:00:00Z", "one"),
+            play("2024-01-02T04:00:00Z", "other"),
             play("2024-01-02T03:00:00Z", None),
             play("2024-01-01T23:00:00Z", "early"),
         )
     )
     result, target = run(spark, source, folder, strict=False, quarantine=quarantine, history=history)
-    assert (result.rows, result.rejected) == (1, 4)
-    assert rows(spark.read.parquet(target).select("song_name")) == [("good",)]
-    assert rows(spark.read.parquet(history).select("song_name")) == [("good",)]
+    assert (result.rows, result.rejected) == (2, 4)
+    assert rows(spark.read.parquet(target).select("song_name")) == [("good",), ("twice",)]
+    assert rows(spark.read.parquet(history).select("song_name")) == [("good",), ("twice",)]
     assert rows(spark.read.parquet(quarantine).select("song_name", "reason")) == [
         (None, "null value"),
         ("early", "other day"),
-        ("twice", "repeated key"),
-        ("twice", "repeated key"),
+        ("one", "repeated key"),
+        ("other", "repeated key"),
     ]
 
 
 def test_quarantine_needs_a_place(spark, landed, folder):
     with pytest.raises(ValueError):
         run(spark, landed(reply(play("2024-01-02T03:00:00Z", None))), folder, strict=False)
+
+
+def test_three_mornings_lose_no_play(spark, landed, folder):
+    history, quarantine = folder(), folder()
+    times = [dt.datetime(2024, 1, 1, tzinfo=UTC) + dt.timedelta(hours=3 * i) for i in range(32)]
+    source = landed(*[reply(*[play(f"{t:%Y-%m-%dT%H:%M:%SZ}", f"s{i}") for i, t in enumerate(times)])] * 2, {"error": 1})
+    for day in (1, 2, 3):
+        at = dt.datetime(2024, 1, day + 1, 9, 30, tzinfo=UTC)
+        result = plays.run(spark, source, folder(), at, at.date() - dt.timedelta(days=1), history=history, quarantine=quarantine, strict=False, multi_line=True)
+        assert (result.rows, result.rejected) == (8, 1)
+    assert sorted(r.song_name for r in spark.read.parquet(history).collect()) == sorted(f"s{i}" for i in range(24))
+
+
+def test_a_lenient_run_goes_past_bad_bodies(spark, landed, folder):
+    quarantine = folder()
+    source = landed(reply(play("2024-01-02T01:00:00Z")), {"error": {"status": 401}}, "{bad")
+    result, _ = run(spark, source, folder, strict=False, quarantine=quarantine)
+    assert (result.rows, result.rejected) == (1, 2)
+    assert spark.read.parquet(f"{quarantine}-bodies").count() == 2
+
+
+def test_landed_replies_are_pruned_by_day(spark, landed, folder, tmp_path):
+    for day in (1, 2):
+        where = tmp_path / "days" / "y=2024" / "m=01" / f"d={day:02d}"
+        where.mkdir(parents=True)
+        body = reply(play(f"2024-01-{day:02d}T08:00:00Z", f"s{day}"))
+        (where / "a.json").write_text(__import__("json").dumps(body))
+    at = dt.datetime(2024, 1, 3, 9, 30, tzinfo=UTC)
+    result = plays.run(spark, str(tmp_path / "days"), folder(), at, dt.date(2024, 1, 2), parts=["y", "m", "d"])
+    assert result.rows == 1
+
+
+def test_staged_rows_go_with_the_run(spark, landed, folder, monkeypatch):
+    made = []
+    real = plays.shared_folder
+    monkeypatch.setattr(plays, "shared_folder", lambda *a: made.append(real(*a)) or made[-1])
+    run(spark, landed(reply(play("2024-01-02T01:00:00Z"))), folder)
+    assert made and not plays.delete_folder(spark, made[0])
+    from millrace.session import folder_exists
+
+    assert not folder_exists(spark, made[0])
