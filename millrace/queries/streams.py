@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace import schemas
 from millrace.plans import metering
 from millrace.queries import derive
 from millrace.queries.registry import query, table
-from millrace.queries.scans import event_files
 from millrace.session import shared_folder
 from millrace.streaming import discovery, keyed, rollup
 
+UTC = dt.timezone.utc
+
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a stream. The pattern lets the table be one file or a folder of them: a
@@ -21,6 +24,15 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
 
 
+def set_times(spark: SparkSession, folder: str, at: dt.datetime) -> None:
+    """Give the files of a folder another time, which makes them other versions."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(path):
+        for found in files.listStatus(path):
+            files.setTimes(found.getPath(), int(at.timestamp() * 1000), -1)
+
+
 def drain(stream: DataFrame, target: str, checkpoint: str) -> None:
     """Append what is available, and wait. A failed query raises here."""
     discovery.append_available(stream, target, checkpoint).awaitTermination()
@@ -29,22 +41,34 @@ def drain(stream: DataFrame, target: str, checkpoint: str) -> None:
 @query(
     "STM1 INC2 INC7 SRC6 SRC7",
     f"""
-    SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n_lines,
+    SELECT strftime(ts, '%Y-%m-%d') AS day,
+        CAST(CASE WHEN CAST(ts AS DATE) = DATE '2024-01-03' THEN 2 ELSE 1 END AS INTEGER) AS versions,
+        count(*) AS n_lines,
         CAST(sum(octet_length(encode({derive.EVENT_LINE_SQL})) + 1) AS BIGINT) AS n_bytes
     FROM events GROUP BY ALL
     """,
 )
 def stream_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files found by a stream that runs twice: the second run finds nothing new."""
-    folder = event_files(spark, sf_dir)
+    """Files found by a stream that runs three times. Between the first two, the files of one day
+    change and those of another come late with an old time; the third finds nothing new."""
+    events, folder = table(spark, sf_dir, "events"), shared_folder(spark, "files")
     target, checkpoint = shared_folder(spark, "landed"), shared_folder(spark, "checkpoint")
+    late = F.to_date("ts") == F.lit(dt.date(2024, 1, 2))
+    derive.write_event_files(events.where(~late), folder)
+    discovery.land_available(spark, folder, target, checkpoint, "*.txt")
+    derive.write_event_files(events.where(late), folder)
+    set_times(spark, f"{folder}/day=2024-01-02", dt.datetime(2024, 1, 2, tzinfo=UTC))
+    set_times(spark, f"{folder}/day=2024-01-03", dt.datetime(2024, 1, 3, tzinfo=UTC))
     for _ in range(2):
-        drain(discovery.new_files(spark, folder, "*.txt"), target, checkpoint)
+        discovery.land_available(spark, folder, target, checkpoint, "*.txt")
     content = F.decode("content", "UTF-8")
     n_lines = F.length(content) - F.length(F.replace(content, F.lit("\n"), F.lit("")))
+    versions = F.count("*").over(Window.partitionBy("path")).cast("int")
+    newest = F.row_number().over(Window.partitionBy("path").orderBy(F.desc("modified_at")))
+    landed = discovery.read_versions(spark, target).withColumns({"versions": versions, "place": newest})
     return (
-        spark.read.parquet(target)
-        .groupBy(derive.file_day(F.col("path")).alias("day"))
+        landed.where("place = 1")
+        .groupBy(derive.file_day(F.col("path")).alias("day"), "versions")
         .agg(F.sum(n_lines).alias("n_lines"), F.sum("length").alias("n_bytes"))
     )
 
@@ -64,16 +88,13 @@ def stream_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "STM2 WIN2 AGG1",
     """
-    SELECT * FROM (
-        SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n,
-            CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total
-        FROM events GROUP BY ALL)
-    WHERE hour + INTERVAL 1 HOUR
-        <= (SELECT date_trunc('milliseconds', max(ts)) FROM events) - INTERVAL 1 HOUR
+    SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n,
+        CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total
+    FROM events GROUP BY ALL
     """,
 )
 def stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly sums of a stream. The hours that the watermark has not passed stay open."""
+    """Hourly sums of a stream, those of the last hours included."""
     target, checkpoint = shared_folder(spark, "hours"), shared_folder(spark, "checkpoint")
     sums = [
         F.count(F.lit(1)).alias("n"),
@@ -81,7 +102,8 @@ def stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     events = events_stream(spark, sf_dir)
     hours = rollup.windowed(events, "ts", "1 hour", ["event_type"], sums, "1 hour")
-    drain(hours, target, checkpoint)
+    for _ in range(2):
+        rollup.update_available(hours, target, checkpoint, "ts", ["event_type"]).awaitTermination()
     return spark.read.parquet(target).select(
         F.col("ts").cast("timestamp_ntz").alias("hour"),
         "event_type",
@@ -92,19 +114,15 @@ def stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "STM2 FLT3 JSN1 JSN2 JSN3 WIN1 AGG1",
-    f"""
-    WITH rolled AS ({derive.USAGE_ROLLUP_SQL})
-    SELECT * FROM rolled WHERE "FormattedTimeGenerated" + INTERVAL 1 MINUTE
-        <= (SELECT max("FormattedTimeGenerated") FROM rolled) - INTERVAL 1 HOUR
-    """,
+    derive.USAGE_ROLLUP_SQL,
 )
 def stream_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 17-key usage rollup as a stream; the last hour stays open."""
+    """The 17-key usage rollup as a stream, the last hour included."""
     target, checkpoint = shared_folder(spark, "usage"), shared_folder(spark, "checkpoint")
     log = derive.usage_log(events_stream(spark, sf_dir))
-    drain(rollup.usage_rollup(log, "1 hour"), target, checkpoint)
-    minute = F.col(schemas.USAGE_MINUTE).cast("timestamp_ntz")
-    return spark.read.parquet(target).withColumn(schemas.USAGE_MINUTE, minute)
+    at, *keys = schemas.USAGE_KEYS
+    rollup.update_available(rollup.usage_rollup(log, "1 hour"), target, checkpoint, at, keys).awaitTermination()
+    return spark.read.parquet(target).drop("day").withColumn(at, F.col(at).cast("timestamp_ntz"))
 
 
 @query(

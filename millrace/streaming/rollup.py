@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from millrace import schemas
 from millrace.plans import audit
+from millrace.session import delete_folder, shared_folder
+from millrace.sinks.tables import read_table
 
 
 def windowed(
@@ -14,9 +20,9 @@ def windowed(
 ) -> DataFrame:
     """Sums per slice and key, under the name of ``at`` the start of the slice.
 
-    A slice comes out once the watermark has passed its end; slices within ``delay`` of the
-    newest row stay open in state. Tasks sum their own rows before the exchange, as in the
-    batch form.
+    Appended, a slice comes out once the watermark has passed its end, and slices within
+    ``delay`` of the newest row stay open in state: ``update_available`` writes those too. Tasks sum
+    their own rows before the exchange, as in the batch form.
     """
     rolled = (
         stream.withColumn(at, F.col(at).cast("timestamp"))
@@ -33,3 +39,45 @@ def usage_rollup(log: DataFrame, delay: str) -> DataFrame:
     keys = [k for k in schemas.USAGE_KEYS if k != schemas.USAGE_MINUTE]
     sums = [F.sum(m).alias(m) for m in schemas.USAGE_SUMS]
     return windowed(audit.minute_rows(log), schemas.USAGE_MINUTE, "1 minute", keys, sums, delay)
+
+
+def update_available(stream: DataFrame, target: str, checkpoint: str, at: str, keys: list[str]) -> StreamingQuery:
+    """Bring a table of slices up to everything available now, open slices included, then stop.
+
+    The table is partitioned by ``day`` of ``at``. Each micro-batch brings the slices that
+    changed, with their whole sums so far; they replace the same slices, and only the days
+    they lie in are written again. A repeated micro-batch changes nothing.
+    """
+
+    def replace(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        changed_to, staged = shared_folder(spark, "changed"), shared_folder(spark, "slices")
+        try:
+            batch.withColumn("day", F.date_format(at, "yyyy-MM-dd")).write.parquet(changed_to)
+            changed = spark.read.parquet(changed_to)
+            if changed.isEmpty():
+                return
+            table = read_table(spark, target, changed.schema)
+            # a row for each day and one for each slice of the batch
+            kept = table.join(changed.select("day").distinct(), "day", "left_semi")
+            same = reduce(and_, [kept[c].eqNullSafe(changed[c]) for c in (at, *keys)])
+            kept = kept.join(changed, same, "left_anti")
+            kept.unionByName(changed).write.parquet(staged)
+            whole = spark.read.schema(changed.schema).parquet(staged)
+            (
+                whole.write.partitionBy("day")
+                .option("partitionOverwriteMode", "dynamic")
+                .mode("overwrite")
+                .parquet(target)
+            )
+        finally:
+            delete_folder(spark, changed_to)
+            delete_folder(spark, staged)
+
+    return (
+        stream.writeStream.foreachBatch(replace)
+        .outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 from collections import Counter
 
 from conftest import rows
@@ -62,3 +63,50 @@ def test_first_row_per_key_over_two_runs(spark, folder):
         drain(keyed.first_rows(stream, ["k"], "ts", "1 day"), target, checkpoint)
     got = Counter(r.k for r in spark.read.parquet(target).collect())
     assert got == {"hot": 1, "cold": 1}
+
+
+def test_changed_and_old_files_land(spark, folder, tmp_path):
+    source, target, checkpoint = tmp_path / "in", folder(), folder()
+    source.mkdir()
+
+    def touch(name, text, days):
+        (source / name).write_text(text)
+        at = dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc).timestamp() + days * 86400
+        os.utime(source / name, (at, at))
+
+    def land():
+        discovery.land_available(spark, str(source), target, checkpoint, "*.txt")
+
+    land()
+    touch("a.txt", "one", 30)
+    touch("b.txt", "two", 31)
+    land()
+    touch("a.txt", "changed", 32)
+    touch("old.txt", "late", 0)
+    for _ in range(3):
+        land()
+    got = discovery.read_versions(spark, target).select("name", F.decode("content", "UTF-8"))
+    assert rows(got) == [("a.txt", "changed"), ("a.txt", "one"), ("b.txt", "two"), ("old.txt", "late")]
+
+
+def test_open_hours_are_written_and_replaced(spark, folder):
+    source, target, checkpoint = folder(), folder(), folder()
+    schema = "k string, ts timestamp_ntz, v bigint"
+    batches = [
+        [("a", "2024-01-01T00:10:00", 1), (None, "2024-01-01T23:50:00", 2)],
+        [("a", "2024-01-01T23:55:00", 4), (None, "2024-01-01T23:51:00", 8), ("b", "2024-01-02T01:00:00", 16)],
+        [],
+    ]
+    for batch in batches:
+        found = [(k, dt.datetime.fromisoformat(at), v) for k, at, v in batch]
+        spark.createDataFrame(found, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        hours = rollup.windowed(stream, "ts", "1 hour", ["k"], [F.sum("v").alias("v")], "1 hour")
+        rollup.update_available(hours, target, checkpoint, "ts", ["k"]).awaitTermination()
+    got = spark.read.parquet(target).select(F.col("ts").cast("string"), "k", "v")
+    assert rows(got) == [
+        ("2024-01-01 00:00:00", "a", 1),
+        ("2024-01-01 23:00:00", None, 10),
+        ("2024-01-01 23:00:00", "a", 4),
+        ("2024-01-02 01:00:00", "b", 16),
+    ]
