@@ -46,6 +46,8 @@ def parser() -> argparse.ArgumentParser:
     meter.add_argument("--zone", default=None, help="true wall-clock hours in this zone")
     meter.add_argument("--resolution", default=metering.HOURLY)
     meter.add_argument("--rejects", default=None)
+    meter.add_argument("--meter", default=None, help="only this metering point")
+    meter.add_argument("--keep-meter", action="store_true", help="the metering point as first column")
     meter.add_argument("--multi-line", action="store_true", help="one document per file")
     meter.add_argument("--compact", action="store_true", help="few even files, for one shuffle")
 
@@ -97,6 +99,8 @@ def run(spark: SparkSession, options: argparse.Namespace) -> RunResult:
             rejects_to=o.rejects,
             multi_line=o.multi_line,
             compact=o.compact,
+            meter=o.meter,
+            keep_meter=o.keep_meter,
         )
     if o.job == "audit":
         if o.by_day:

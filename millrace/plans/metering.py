@@ -21,10 +21,12 @@ EXTRA_POSITION = 25
 HOURLY = "PT1H"
 
 INTERVAL_COLUMNS = ["resolution", "start", "end", "end_day", "start_utc"]
+METER = "meter"
 
 
-def read(spark: SparkSession, path: str, *, multi_line: bool = False) -> DataFrame:
-    return read_documents(spark, path, schemas.METER_READINGS, multi_line=multi_line)
+def read(spark: SparkSession, path: str, *, multi_line: bool = False, meter: bool = False) -> DataFrame:
+    schema = schemas.METER_READINGS_BY_POINT if meter else schemas.METER_READINGS
+    return read_documents(spark, path, schema, multi_line=multi_line)
 
 
 def interval_times() -> list[Column]:
@@ -35,28 +37,33 @@ def interval_times() -> list[Column]:
     ]
 
 
-def points(documents: DataFrame) -> DataFrame:
+def points(documents: DataFrame, *, meter: bool = False) -> DataFrame:
     """One row per point with its interval, whose times are read before it is opened.
 
     Each level first takes what is needed out of the record, then opens the list: column
     pruning does not reach through nested lists by itself, and a list opened inside its
-    record would copy the whole record to each point.
+    record would copy the whole record to each point. With ``meter`` the name of the
+    metering point is a column too.
     """
+    keep = [METER] if meter else []
+    names = [F.col("series.MarketEvaluationPoint.mRID.name").alias(METER)] if meter else []
     return (
         documents.select(F.explode_outer("result").alias("entry"))
         .select(F.col("entry.MyEnergyData_MarketDocument.TimeSeries").alias("series"))
         .select(F.explode_outer("series").alias("series"))
-        .select(F.col("series.Period").alias("period"))
-        .select(F.explode_outer("period").alias("period"))
+        .select(*names, F.col("series.Period").alias("period"))
+        .select(*keep, F.explode_outer("period").alias("period"))
         .select(
+            *keep,
             F.col("period.resolution").alias("resolution"),
             F.col("period.timeInterval.start").alias("start"),
             F.col("period.timeInterval.end").alias("end"),
             F.col("period.Point").alias("point"),
         )
-        .select(*INTERVAL_COLUMNS[:3], *interval_times(), "point")
-        .select(*INTERVAL_COLUMNS, F.explode_outer("point").alias("point"))
+        .select(*keep, *INTERVAL_COLUMNS[:3], *interval_times(), "point")
+        .select(*keep, *INTERVAL_COLUMNS, F.explode_outer("point").alias("point"))
         .select(
+            *keep,
             *INTERVAL_COLUMNS,
             F.col("point.position").alias("position_text"),
             F.col("point.`out_Quantity.quantity`").alias("quantity"),
@@ -139,28 +146,30 @@ def expanded(documents: DataFrame) -> DataFrame:
     return opened.withColumns(point_values(F.col("position_text"), F.col("quantity")))
 
 
-def readings(points: DataFrame) -> DataFrame:
-    """Date of the interval end, ``position - 1`` as time of day, and the number.
+def readings(points: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` columns, date of the interval end, ``position - 1`` as time of day, and the number.
 
     On the day that ends summer time the position 25 is dropped and later hours read one
     late; ``zoned_readings`` is exact there. Rows without a point stay, as nulls.
     """
     return points.where(differs(F.col("position"), EXTRA_POSITION)).select(
+        *keep,
         F.col("end_day").alias("Dato"),
         dates.clock(F.col("position") - 1).alias("Tidspunkt"),
         F.col("kwh").alias("kWh"),
     )
 
 
-def zoned_readings(points: DataFrame, zone: str) -> DataFrame:
+def zoned_readings(points: DataFrame, zone: str, *keep: str) -> DataFrame:
     """Readings at their true wall-clock hour, with the UTC hour that tells the two equal
     hours of a 25-hour day apart."""
     utc = F.col("start_utc") + F.make_dt_interval(hours=(F.col("position") - 1).cast("int"))
     local = dates.at_zone(F.col("utc"), zone)
     return (
-        points.select(utc.alias("utc"), "kwh")
-        .select("utc", local.alias("local"), "kwh")
+        points.select(*keep, utc.alias("utc"), "kwh")
+        .select(*keep, "utc", local.alias("local"), "kwh")
         .select(
+            *keep,
             F.to_date("local").alias("Dato"),
             dates.clock_of(F.col("local")).alias("Tidspunkt"),
             F.col("kwh").alias("kWh"),
@@ -169,23 +178,29 @@ def zoned_readings(points: DataFrame, zone: str) -> DataFrame:
     )
 
 
-def unreadable() -> Column:
+def other_resolution(resolution: str) -> Column:
+    """Whether a point's interval is cut otherwise: its position is then no hour."""
+    return F.coalesce(F.col("resolution") != resolution, F.lit(False))
+
+
+def unreadable(resolution: str = HOURLY) -> Column:
     """Why a point cannot be read as text, ``''`` if it can or if there is no point."""
     clock = dates.clock(F.col("position") - 1)
     used = differs(F.col("position"), EXTRA_POSITION)
     return F.concat_ws(
         ", ",
+        F.when(other_resolution(resolution), F.lit("resolution")),
         F.when(used & F.col("position_text").isNotNull() & clock.isNull(), F.lit("position")),
         F.when(used & F.col("end").isNotNull() & F.col("end_day").isNull(), F.lit("end")),
         F.when(used & F.col("quantity").isNotNull() & F.col("kwh").isNull(), F.lit("quantity")),
     )
 
 
-def rejects(documents: DataFrame) -> DataFrame:
+def rejects(documents: DataFrame, resolution: str = HOURLY, meter: str | None = None) -> DataFrame:
     """``reason, text``: points that cannot be read, and bodies that do not parse."""
-    found = points(documents)
+    found = of_meter(points(documents, meter=meter is not None), meter)
     bad_points = found.select(
-        unreadable().alias("reason"), F.to_json(F.struct(*found.columns)).alias("text")
+        unreadable(resolution).alias("reason"), F.to_json(F.struct(*found.columns)).alias("text")
     ).where("reason <> ''")
     # The test on ``result`` is always true: Spark refuses to read the corrupt column alone.
     read_too = F.coalesce(F.size("result"), F.lit(0)) >= 0
@@ -195,13 +210,20 @@ def rejects(documents: DataFrame) -> DataFrame:
     )
 
 
-def within(readings: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
-    """Readings of an inclusive range of days, as a full reload asks for.
+def of_meter(points: DataFrame, meter: str | None) -> DataFrame:
+    """Points of one metering point; all of them without one."""
+    return points if meter is None else points.where(F.col(METER) == meter)
+
+
+def within(readings: DataFrame, first: dt.date | None, last: dt.date | None) -> DataFrame:
+    """Readings of an inclusive range of days, open where a bound is none, as a full reload asks for.
 
     Rows without a day, as an entry that failed leaves, belong to every reload.
     """
     day = F.col("Dato")
-    return readings.where(day.isNull() | day.between(F.lit(first), F.lit(last)))
+    for bound in ([day >= F.lit(first)] if first else []) + ([day <= F.lit(last)] if last else []):
+        readings = readings.where(day.isNull() | bound)
+    return readings
 
 
 def run(
@@ -212,30 +234,41 @@ def run(
     first: dt.date | None = None,
     last: dt.date | None = None,
     zone: str | None = None,
-    resolution: str | None = None,
+    resolution: str = HOURLY,
     rejects_to: str | None = None,
     multi_line: bool = False,
     compact: bool = False,
+    meter: str | None = None,
+    keep_meter: bool = False,
 ) -> RunResult:
     """Full reload of a date range into a snapshot; ``compact`` as in its sink.
 
-    Rejects are counted while the snapshot is written; a second pass runs only to keep them.
+    ``meter`` asks for one metering point; ``keep_meter`` puts each reading's own before the three
+    columns. Positions are hours, so points of another ``resolution`` are rejected. Rejects
+    are counted while the snapshot is written; a second pass runs only to keep them. Without a
+    reading the snapshot that is there stays.
     """
-    documents = read(spark, landed, multi_line=multi_line)
-    unparsed, unread = Observation("bodies"), Observation("points")
-    sound = documents.observe(
-        unparsed, F.count_if(F.col(CORRUPT).isNotNull()).alias("n")
-    ).where(F.col(CORRUPT).isNull())
-    found = points(sound)
-    if resolution is not None:
-        other = F.col("resolution") != resolution
-        found = found.where(~F.coalesce(other, F.lit(False)))
-    watched = found.observe(unread, F.count_if(unreadable() != "").alias("n"))
-    result = readings(watched) if zone is None else zoned_readings(watched, zone)
-    if first is not None and last is not None:
-        result = within(result, first, last)
-    n = write_snapshot(result, target, compact=compact)
-    n_rejected = counted(unparsed) + counted(unread)
+    by_point = keep_meter or meter is not None
+    documents = read(spark, landed, multi_line=multi_line, meter=by_point)
+    keep = [METER] if keep_meter else []
+
+    def result(found: DataFrame) -> DataFrame:
+        fitting = found.where(~other_resolution(resolution))
+        rows = readings(fitting, *keep) if zone is None else zoned_readings(fitting, zone, *keep)
+        return within(rows, first, last)
+
+    def sound(bodies: DataFrame) -> DataFrame:
+        found = points(bodies.where(F.col(CORRUPT).isNull()), meter=by_point)
+        return of_meter(found, meter)
+
+    if result(sound(documents)).isEmpty():
+        n, n_rejected = 0, rejects(documents, resolution, meter).count()
+    else:
+        unparsed, unread = Observation("bodies"), Observation("points")
+        bodies = documents.observe(unparsed, F.count_if(F.col(CORRUPT).isNotNull()).alias("n"))
+        watched = sound(bodies).observe(unread, F.count_if(unreadable(resolution) != "").alias("n"))
+        n = write_snapshot(result(watched), target, compact=compact)
+        n_rejected = counted(unparsed) + counted(unread)
     if n_rejected and rejects_to:
-        write_snapshot(rejects(documents), rejects_to)
+        write_snapshot(rejects(documents, resolution, meter), rejects_to)
     return RunResult(LOADED if n else NO_DATA, rows=n, rejected=n_rejected)

@@ -57,15 +57,14 @@ METER_RESPONSE = _struct(
 )
 
 # The same response cut down to what the hourly readings need: the JSON parser skips the rest.
-METER_READINGS = _struct(
-    result=T.ArrayType(
-        _struct(
-            MyEnergyData_MarketDocument=_struct(
-                TimeSeries=T.ArrayType(_struct(Period=T.ArrayType(_PERIOD)))
-            )
-        )
-    )
-)
+def _meter_readings(*fields: str) -> T.StructType:
+    series = T.StructType([f for f in _SERIES.fields if f.name in fields])
+    document = _struct(TimeSeries=T.ArrayType(series))
+    return _struct(result=T.ArrayType(_struct(MyEnergyData_MarketDocument=document)))
+
+
+METER_READINGS = _meter_readings("Period")
+METER_READINGS_BY_POINT = _meter_readings("MarketEvaluationPoint", "Period")
 
 # Column names of the usage log and of its per-minute rollup, in output order.
 USAGE_PLAIN_KEYS = [

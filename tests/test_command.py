@@ -19,7 +19,7 @@ def test_metering(spark, landed, folder, capsys):
     assert main(["metering", "--landed", source, "--target", target, "--multi-line", "--last", "2024-01-02"]) == 0
     assert "rows=24" in capsys.readouterr().out
     assert main(["metering", "--landed", source, "--target", target, "--multi-line", "--last", "2024-01-01"]) == 0
-    assert spark.read.parquet(target).count() == 0
+    assert spark.read.parquet(target).count() == 24
 
 
 def test_audit(spark, folder, capsys):

@@ -142,10 +142,10 @@ def test_job(spark, landed, folder):
             spark, source, target, first=DAY(2024, 1, 2), last=DAY(2024, 1, 3),
             resolution="PT1H", rejects_to=bad, multi_line=True,
         )
-        assert (result.status, result.rows, result.rejected) == ("loaded", 26, 1)
+        assert (result.status, result.rows, result.rejected) == ("loaded", 26, 2)
     assert spark.read.parquet(target).columns == ["Dato", "Tidspunkt", "kWh"]
     assert spark.read.parquet(target).count() == 26
-    assert spark.read.parquet(bad).select("reason").first()[0] == "quantity"
+    assert rows(spark.read.parquet(bad).select("reason")) == [("quantity",), ("resolution",)]
 
 
 def test_job_without_data(spark, landed, folder):
@@ -156,6 +156,41 @@ def test_job_without_data(spark, landed, folder):
     assert (result.status, result.rows) == ("no data", 0)
 
 
+def test_a_run_without_readings_leaves_the_snapshot(spark, landed, folder, tmp_path):
+    source, target = landed(response(hours(24))), folder()
+    metering.run(spark, source, target, multi_line=True)
+    (tmp_path / "none").mkdir()
+    empty = metering.run(spark, str(tmp_path / "none"), target, multi_line=True)
+    late = metering.run(spark, source, target, first=DAY(2025, 1, 1), multi_line=True)
+    assert empty.status == late.status == "no data"
+    assert spark.read.parquet(target).count() == 24
+
+
+def test_each_bound_counts_by_itself(spark, landed, folder):
+    source = landed(response(hours(24)), response(hours(3), "2024-01-02T23:00:00Z", "2024-01-03T23:00:00Z"))
+    for bounds, n in (({"first": DAY(2024, 1, 3)}, 3), ({"last": DAY(2024, 1, 2)}, 24), ({}, 27)):
+        assert metering.run(spark, source, folder(), multi_line=True, **bounds).rows == n
+
+
+def test_quarters_are_no_hours(spark, landed, folder):
+    target, bad = folder(), folder()
+    source = landed(response(hours(96), resolution="PT15M"), response(hours(2)))
+    result = metering.run(spark, source, target, rejects_to=bad, multi_line=True)
+    assert (result.rows, result.rejected) == (2, 96)
+    assert spark.read.parquet(bad).count() == 96
+
+
+def test_two_metering_points(spark, landed, folder):
+    other = response(hours(3))
+    other["result"][0]["MyEnergyData_MarketDocument"]["TimeSeries"][0]["MarketEvaluationPoint"]["mRID"]["name"] = "572"
+    source, both, one = landed(response(hours(2)), other), folder(), folder()
+    metering.run(spark, source, both, keep_meter=True, multi_line=True)
+    assert spark.read.parquet(both).columns == ["meter", "Dato", "Tidspunkt", "kWh"]
+    assert rows(spark.read.parquet(both).groupBy("meter").count()) == [("571", 2), ("572", 3)]
+    result = metering.run(spark, source, one, meter="572", multi_line=True)
+    assert result.rows == 3 and spark.read.parquet(one).columns == ["Dato", "Tidspunkt", "kWh"]
+
+
 def test_a_failed_entry_stays_as_a_row_of_nulls(spark, landed, folder):
     target = folder()
     failed = {"result": [{"success": False, "errorText": "no access"}]}
