@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import dates, jsontext
@@ -11,6 +11,7 @@ from millrace.operators.predicates import present_and_nonzero
 from millrace.plans import audit
 from millrace.queries import derive
 from millrace.queries.registry import query, table
+from millrace.session import shared_folder
 from millrace.sinks.tables import count_rows, counted
 from millrace.sources.files import newest_first
 
@@ -100,16 +101,18 @@ def lineitem_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
             (SELECT date_trunc('day', min(ts)) FROM events),
             (SELECT date_trunc('day', max(ts)) + INTERVAL 23 HOUR FROM events),
             INTERVAL 1 HOUR)) AS hour)
-    SELECT grid.hour, grid.hour + INTERVAL 1 HOUR AS hour_end, coalesce(h.n, 0) AS n
+    SELECT grid.hour, grid.hour + INTERVAL 1 HOUR AS hour_end, coalesce(h.n, 0) AS n,
+        coalesce(h.n_errors, 0) AS n_errors
     FROM grid LEFT JOIN (
-        SELECT date_trunc('hour', ts) AS hour, count(*) AS n
-        FROM events WHERE event_type = 'error' GROUP BY ALL) AS h ON grid.hour = h.hour
+        SELECT date_trunc('hour', ts) AS hour, count(*) AS n,
+            count(*) FILTER (event_type = 'error') AS n_errors
+        FROM events GROUP BY ALL) AS h ON grid.hour = h.hour
     """,
 )
 def hour_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Errors per hour, hours without any included."""
-    errors = F.count_if(F.col("event_type") == "error")
-    hourly = derive.written_hours(table(spark, sf_dir, "events"), errors.alias("n"))
+    """Events and errors per hour, hours without any included."""
+    counts = [F.count(F.lit(1)).alias("n"), F.count_if(F.col("event_type") == "error").alias("n_errors")]
+    hourly = derive.written_hours(table(spark, sf_dir, "events"), *counts)
     edges = hourly.agg(
         dates.truncate(F.min("hour"), "day", "timestamp_ntz").alias("low"),
         (dates.truncate(F.max("hour"), "day", "timestamp_ntz") + F.expr("INTERVAL 23 HOUR")).alias("high"),
@@ -119,6 +122,7 @@ def hour_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
         "hour",
         (F.col("hour") + dates.one_hour()).alias("hour_end"),
         F.coalesce("n", F.lit(0)).alias("n"),
+        F.coalesce("n_errors", F.lit(0)).alias("n_errors"),
     )
 
 
@@ -176,12 +180,11 @@ def newest_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "AGG6",
-    "SELECT count(*) AS n_observed FROM events WHERE event_type = 'purchase'",
+    "SELECT count(*) AS n_observed FROM events",
 )
 def observed_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row count taken by the write itself."""
-    bought = table(spark, sf_dir, "events").where("event_type = 'purchase'")
-    watched, seen = count_rows(bought, "bought")
+    watched, seen = count_rows(table(spark, sf_dir, "events"), "events")
     watched.write.format("noop").mode("overwrite").save()
     return spark.createDataFrame([(counted(seen),)], "n_observed bigint")
 
@@ -211,14 +214,24 @@ def _as_listing(events: DataFrame) -> DataFrame:
 @query(
     "SRT1",
     """
-    SELECT '/in/' || lpad(CAST(event_id AS VARCHAR), 12, '0') AS path, ts AS modified_at
+    SELECT '/in/' || lpad(CAST(event_id AS VARCHAR), 12, '0') AS path, ts AS modified_at,
+        row_number() OVER (ORDER BY ts DESC, '/in/' || lpad(CAST(event_id AS VARCHAR), 12, '0')) AS place
     FROM events ORDER BY ts DESC, path
     """,
 )
 def files_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A whole listing from the newest on. The tie-break is part of the range partitioning,
-    so files of one time spread over tasks."""
-    return newest_first(_as_listing(table(spark, sf_dir, "events")))
+    """A whole listing from the newest on, each file with its place in the sorted output. The
+    tie-break is part of the range partitioning, so files of one time spread over tasks."""
+    folder = shared_folder(spark, "listing")
+    sorted_ = newest_first(_as_listing(table(spark, sf_dir, "events")))
+    sorted_.withColumn("spot", F.monotonically_increasing_id()).write.parquet(folder)
+    listed = spark.read.parquet(folder).withColumn("part", F.shiftright("spot", 33))
+    # as many rows as the sort had tasks
+    sizes = listed.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
+    before = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("ahead"))
+    place = F.col("ahead") + F.col("spot").bitwiseAND((1 << 33) - 1) + 1
+    return listed.join(ahead, "part").select("path", "modified_at", place.alias("place"))
 
 
 @query(

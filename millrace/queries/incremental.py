@@ -77,10 +77,11 @@ def unmatched_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
         F.min("l_partkey").alias("l_partkey")
     )
-    still_open = table(spark, sf_dir, "orders").where("o_orderstatus = 'O'").select(
-        F.col("o_orderkey").alias("l_orderkey")
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderstatus").alias("status")
     )
-    return lines.join(still_open, "l_orderkey", "left_anti")
+    still_open = lines.withColumn("status", F.lit("O"))
+    return still_open.join(orders, ["l_orderkey", "status"], "left_anti").drop("status")
 
 
 @query(

@@ -19,20 +19,19 @@ from millrace.sources.documents import envelope_rows, has_result
     "NST1",
     """
     WITH turns AS (
-        SELECT conv_id, turn, [x FOR x IN string_split(text, chr(10)) IF length(x) > 60] AS lines
-        FROM conversations)
+        SELECT conv_id, turn, CASE WHEN text <> '' THEN string_split(text, chr(10)) ELSE [] END AS lines
+        FROM (SELECT conv_id, turn, text FROM conversations
+            UNION ALL SELECT DISTINCT conv_id, -1, '' FROM conversations))
     SELECT conv_id, turn, unnest(lines) AS line FROM turns
     UNION ALL SELECT conv_id, turn, NULL FROM turns WHERE len(lines) = 0
     """,
 )
 def list_to_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long lines of each turn; a turn without any keeps one row."""
-    turns = table(spark, sf_dir, "conversations").select(
-        "conv_id",
-        "turn",
-        F.filter(text.split_every(F.col("text"), "\n"), lambda x: F.length(x) > 60).alias("line"),
-    )
-    return ops.expand_list(turns, "line")
+    """All lines of each turn; an empty turn before each conversation has none, and keeps one row."""
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    silent = said.select("conv_id", F.lit(-1).cast("long").alias("turn"), F.lit("").alias("text")).distinct()
+    lines = F.when(F.col("text") != "", text.split_every(F.col("text"), "\n")).otherwise(F.array().cast("array<string>"))
+    return ops.expand_list(said.unionAll(silent).select("conv_id", "turn", lines.alias("line")), "line")
 
 
 @query(
@@ -133,18 +132,18 @@ def plays_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "NST7",
     """
-    SELECT 'artist' || user_id AS artist, event_type AS song, count(*) AS n
-    FROM events GROUP BY ALL
+    SELECT artist_name AS artist, song_name AS song, count(*) AS n
+    FROM (""" + derive.PLAYS_SQL + """) GROUP BY ALL
     """,
 )
 def path_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fields at the end of a path through records and lists."""
+    """Fields at the end of a path through records and lists, of every play."""
     replies = derive.play_documents(table(spark, sf_dir, "events"))
-    lead = ops.first(F.col("items"))
+    play = F.col("play")
     return (
-        replies.select(
-            ops.first(lead["track"]["album"]["artists"])["name"].alias("artist"),
-            lead["track"]["name"].alias("song"),
+        replies.select(F.explode("items").alias("play")).select(
+            ops.first(play["track"]["album"]["artists"])["name"].alias("artist"),
+            play["track"]["name"].alias("song"),
         )
         .groupBy("artist", "song")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -154,15 +153,17 @@ def path_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "NST8",
     """
-    SELECT doc_id, list_extract(
-        [x FOR x IN string_split(text, chr(10)) IF length(x) > 80], 1) AS line
+    SELECT doc_id, list_extract(string_split(text, chr(10)), 1) AS line,
+        list_extract([x FOR x IN string_split(text, chr(10)) IF length(x) > 80], 1) AS long_line
     FROM documents
     """,
 )
 def first_element(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First long line of each document, null where there is none."""
-    lines = F.filter(text.split_every(F.col("text"), "\n"), lambda x: F.length(x) > 80)
-    return table(spark, sf_dir, "documents").select("doc_id", ops.first(lines).alias("line"))
+    """First line of each document, and its first long line, null where there is none."""
+    lines = text.split_every(F.col("text"), "\n")
+    long_lines = F.filter(lines, lambda x: F.length(x) > 80)
+    firsts = [ops.first(lines).alias("line"), ops.first(long_lines).alias("long_line")]
+    return table(spark, sf_dir, "documents").select("doc_id", *firsts)
 
 
 @query(
