@@ -24,10 +24,11 @@ def one_per_key(df: DataFrame, key: list[str], order: list[str] | None = None) -
 def new_rows(incoming: DataFrame, existing: DataFrame, key: list[str]) -> DataFrame:
     """Incoming rows, one per key, whose key ``existing`` does not hold; null keys are out.
 
-    Both sides are reduced to one row per key first. Their exchanges serve the join too,
-    and no key is heavy on either side.
+    Keys alone are reduced and held against each other first, by hash. Whole rows are moved
+    and sorted only then, and of those only the ones whose key is new are left.
     """
     keyed = incoming
     for name in key:
         keyed = keyed.where(F.col(name).isNotNull())
-    return one_per_key(keyed, key).join(existing.select(*key).distinct(), key, "left_anti")
+    fresh = keyed.select(*key).distinct().join(existing.select(*key).distinct(), key, "left_anti")
+    return one_per_key(keyed.join(fresh, key, "left_semi"), key)

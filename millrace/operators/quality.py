@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.predicates import off_day
+from millrace.session import shared_folder
 
 
 class QualityError(Exception):
@@ -88,12 +89,16 @@ def mark_repeated(
 
     A window or a plain join would bring all copies of a key to one task. Here a key with
     more than ``rows_per_task`` copies is spread over several join keys by the input split
-    its rows come from, which is the same when a lost task runs again. Fewer than 100,000
-    keys can be that hot among ``n_rows`` rows, so their list is broadcast.
+    its rows come from, which is the same when a lost task runs again. Keys are counted once,
+    into a staged table of the repeated ones; fewer than 100,000 can be that hot among
+    ``n_rows`` rows, and whether their list is broadcast is left to its size in bytes.
     Rows with a null key are not marked: they fail the null gate.
     """
     per_task = max(rows_per_task, math.ceil(n_rows / 100_000))
-    counts = duplicate_keys(df, key).withColumn("_spread", F.ceil(F.col("n") / per_task).cast("int"))
+    found = duplicate_keys(df, key).withColumn("_spread", F.ceil(F.col("n") / per_task).cast("int"))
+    folder = shared_folder(df.sparkSession, "repeated-keys")
+    found.write.parquet(folder)
+    counts = df.sparkSession.read.schema(found.schema).parquet(folder)
     hot = counts.where(F.col("_spread") > 1).select(*key, "_spread")
     marks = counts.select(
         *key,
@@ -101,7 +106,7 @@ def mark_repeated(
         F.lit(True).alias(name),
     )
     salt = F.coalesce(F.pmod(F.spark_partition_id(), F.col("_spread")), F.lit(0))
-    salted = df.join(F.broadcast(hot), key, "left").withColumn("_salt", salt)
+    salted = df.join(hot, key, "left").withColumn("_salt", salt)
     marked = salted.join(marks, [*key, "_salt"], "left")
     return marked.select(*df.columns, F.coalesce(name, F.lit(False)).alias(name))
 

@@ -160,7 +160,7 @@ def dated(spark, *pairs):
 def test_write_days_replaces_only_its_days(spark, folder):
     where = folder()
     assert tables.write_days(dated(spark, (1, "01"), (2, "02"), (3, "02")), where) == 3
-    assert tables.write_days(dated(spark, (9, "02")), where, balance=False) == 1
+    assert tables.write_days(dated(spark, (9, "02")), where) == 1
     assert tables.write_days(dated(spark), where) == 0
     got = tables.read_days(spark, where, DAYS)
     assert rows(got) == [(1, "2024", "01", "01"), (9, "2024", "01", "02")]
