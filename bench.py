@@ -42,8 +42,12 @@ HEADLINE = [
     "metering_job",
     "audit_job",
     "plays_job",
+    "replies_job",
+    "keyed_append_roundtrip",
     "landing_roundtrip",
     "stream_rollup",
+    "stream_usage",
+    "stream_readings",
     "stream_keyed",
 ]
 
