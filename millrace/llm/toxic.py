@@ -32,6 +32,7 @@ from millrace.llm.common import prepare, staged
 
 #: Labelled documents that training takes at most, clean and toxic ones, and words of them on the driver.
 DOCUMENTS, CANDIDATES, CLEAN_WORDS = (6000, 1500), 300_000, 200_000
+SAMPLE_PARTS = 8
 #: Landmarks of each kind, rounds of training, weight of a skipped character, characters skipped at most.
 LANDMARKS, ROUNDS, DECAY, SKIPS = 96, 4, 0.6, 3
 #: Words that explain the label of one toxic document, at most.
@@ -40,7 +41,8 @@ COVER = 8
 RIDGE = 1e-3
 #: Steepness of the step from a document's value to its probability: the machine's margin is 1.
 SLOPE = 4.0
-#: Words whose scores a worker keeps.
+#: Words that are laid out side by side, and words whose scores a worker keeps.
+AT_ONCE = 8192
 CACHE = 150_000
 
 _LENGTH = 4
@@ -127,13 +129,14 @@ class Scorer:
 
     def words(self, words: list[str]) -> np.ndarray:
         """The machine's output for each word."""
-        if not words:
-            return np.zeros(0)
-        codes, starts = _coded(words)
-        total = np.zeros(len(codes), np.float32)
-        for found, weight in _subsequences(codes):
-            total += np.float32(weight) * self.table[found]
-        return np.add.reduceat(total, starts).astype(float) * _norms(codes, starts) + self.bias
+        out = np.zeros(len(words))
+        for at in range(0, len(words), AT_ONCE):
+            codes, starts = _coded(words[at : at + AT_ONCE])
+            total = np.zeros(len(codes), np.float32)
+            for found, weight in _subsequences(codes):
+                total += np.float32(weight) * self.table[found]
+            out[at : at + AT_ONCE] = np.add.reduceat(total, starts) * _norms(codes, starts) + self.bias
+        return out
 
     def probability(self, value: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * value + self.shift, -500, 500)))
@@ -142,13 +145,13 @@ class Scorer:
 def _kernel(words: list[str], index: np.ndarray, features: np.ndarray) -> np.ndarray:
     """Kernel values of words and landmarks; ``features``: landmarks by the subsequences of ``index``."""
     out = np.zeros((len(words), features.shape[1]))
-    for at in range(0, len(words), 2000):
-        part = words[at : at + 2000]
+    for at in range(0, len(words), AT_ONCE // 16):
+        part = words[at : at + AT_ONCE // 16]
         codes, starts = _coded(part)
         total = np.zeros((len(codes), features.shape[1]), np.float32)
         for found, weight in _subsequences(codes):
             total += np.float32(weight) * features[index[found]]
-        out[at : at + 2000] = np.add.reduceat(total, starts, axis=0) * _norms(codes, starts)[:, None]
+        out[at : at + len(part)] = np.add.reduceat(total, starts, axis=0) * _norms(codes, starts)[:, None]
     return out
 
 
@@ -169,16 +172,20 @@ def _landmark_features(landmarks: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Weights and bias of least weighted squared hinge loss, by Newton steps."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    ridge = np.full(x.shape[1], RIDGE)
+    ridge = np.full(x.shape[1] + 1, RIDGE)
     ridge[-1] = 1e-6
-    w = np.zeros(x.shape[1])
+    w = np.zeros(x.shape[1] + 1)
     for _ in range(25):
-        short = 1 - y * (x @ w)
-        active = short > 0
-        xa = x[active] * weight[active, None]
-        gradient = ridge * w - xa.T @ (y[active] * short[active])
-        step = np.linalg.solve(np.diag(ridge) + xa.T @ x[active], gradient)
+        gradient, hessian = ridge * w, np.diag(ridge)
+        for at in range(0, len(x), AT_ONCE):
+            rows = slice(at, at + AT_ONCE)
+            short = 1 - y[rows] * (x[rows] @ w[:-1] + w[-1])
+            active = short > 0
+            part = np.hstack([x[rows][active], np.ones((active.sum(), 1))])
+            scaled = part * weight[rows][active, None]
+            gradient -= scaled.T @ (y[rows][active] * short[active])
+            hessian += scaled.T @ part
+        step = np.linalg.solve(hessian, gradient)
         w = w - step
         if np.abs(step).max() < 1e-6:
             break
@@ -283,9 +290,7 @@ def _worst_column(df: DataFrame, scorer: Scorer, text: str | Column, probability
                 if len(cache) > CACHE:
                     cache.clear()
                 new = list(set().union(*each).difference(cache))
-                for first in range(0, len(new), 10_000):
-                    part = new[first : first + 10_000]
-                    cache.update(zip(part, model.words(part).tolist(), strict=True))
+                cache.update(zip(new, model.words(new).tolist(), strict=True))
                 found += [max(map(cache.__getitem__, words), default=model.bias) for words in each]
             values = np.array(found, float)
             yield pa.array(model.probability(values) if probability else values, pa.float64())
@@ -306,7 +311,9 @@ def train(docs: DataFrame, labels: DataFrame, documents: tuple[int, int] = DOCUM
     ranked = [known.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents[c]) for c in (0, 1)]
     wanted = F.broadcast(ranked[0].union(ranked[1]))  # two numbers for each of a bounded count of rows
     rows = docs.where(F.col("text").isNotNull()).join(wanted, "doc_id")
-    rows = staged(rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("long").alias("toxic"), "text"), "labelled")
+    rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("long").alias("toxic"), "text")
+    # a bounded sample: few files, however many tasks the scan has
+    rows = staged(rows.repartition(SAMPLE_PARTS), "labelled")
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -320,10 +327,13 @@ def train(docs: DataFrame, labels: DataFrame, documents: tuple[int, int] = DOCUM
     words = staged(rows.mapInArrow(listed, "doc_id long, toxic long, word string"), "words")
     clean = words.where("toxic = 0").groupBy("word").count()
     candidates = words.where("toxic = 1").join(clean.select("word"), "word", "left_anti")
-    candidates = candidates.orderBy(F.xxhash64("word", "doc_id"), "word").limit(CANDIDATES).toPandas()
-    clean = clean.orderBy(F.desc("count"), F.xxhash64("word"), "word").limit(CLEAN_WORDS).toPandas()
-    bags = candidates.sort_values(["doc_id", "word"]).groupby("doc_id")["word"].agg(list)
-    scorer = fit_words(bags.tolist(), sorted(clean["word"]), rows.where("toxic = 0").count())
+    candidates = candidates.orderBy(F.xxhash64("word", "doc_id"), "word").limit(CANDIDATES).select("doc_id", "word").toArrow()
+    clean = clean.orderBy(F.desc("count"), F.xxhash64("word"), "word").limit(CLEAN_WORDS).select("word").toArrow()
+    bags: dict[int, list[str]] = {}
+    for doc_id, word in zip(candidates["doc_id"].to_pylist(), candidates["word"].to_pylist(), strict=True):
+        bags.setdefault(doc_id, []).append(word)
+    toxic = [sorted(bags[doc_id]) for doc_id in sorted(bags)]
+    scorer = fit_words(toxic, sorted(clean["word"].to_pylist()), rows.where("toxic = 0").count())
     found = rows.select("toxic", _worst_column(rows, scorer, "text", False).alias("value")).toPandas()
     return _calibrated(scorer, found["value"].to_numpy(float), found["toxic"].to_numpy(float))
 
