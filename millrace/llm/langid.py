@@ -13,6 +13,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -31,7 +32,7 @@ DOCUMENTS, WORDS = 1500, 120_000
 #: probability of a letter that no piece has, and letters at which longer words are cut.
 ROUNDS, SHARED, UNKNOWN, LONGEST = 4, 0.02, 1e-6, 40
 #: Words that a worker keeps.
-CACHE = 200_000
+CACHE = 400_000
 
 UNDETERMINED = "und"
 _LETTERS = re.compile(rf"[^\W\d_]{{1,{LONGEST}}}").findall
@@ -44,17 +45,21 @@ def words_of(text: str | None) -> list[str]:
 
 
 class Vocabulary:
-    """Pieces of a model and the automaton that finds them; piece 0 is any single letter."""
+    """Pieces of a model, the automaton that finds them, a table for those of one letter; piece 0 is any letter."""
 
     def __init__(self, data: bytes):
         library = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.matches = ahocorasick.Automaton()
+        self.letters = np.zeros(0x110000, np.int32)
         self.size = 1
         for i in range(library.get_piece_size()):
             if not (library.is_control(i) or library.is_unknown(i) or library.is_byte(i)):
                 piece = library.id_to_piece(i)
                 if piece == piece.lower() and "\n" not in piece:
-                    self.matches.add_word(piece, (self.size, len(piece)))
+                    if len(piece) == 1:
+                        self.letters[ord(piece)] = self.size
+                    else:
+                        self.matches.add_word(piece, self.size << 8 | len(piece))
                     self.size += 1
         self.matches.make_automaton()
 
@@ -63,7 +68,10 @@ class Vocabulary:
 
 
 class Lattice:
-    """Pieces in all words: nodes between letters, an arc for each place of a piece, in order of their ends."""
+    """Pieces in all words: nodes between letters, an arc for each place of a piece, in order of their depth.
+
+    Besides those, an arc goes over each single letter, for its own piece and for piece 0.
+    """
 
     def __init__(self, vocabulary: Vocabulary, words: list[str]):
         text = "".join([f"▁{w}\n" for w in words])
@@ -71,38 +79,56 @@ class Lattice:
         self.first = np.cumsum(sizes) - sizes
         self.last = self.first + sizes - 1
         self.nodes = len(text) + 1
-        found = [(at, piece, size) for at, (piece, size) in vocabulary.matches.iter(text)]
-        matched = np.array(found, np.int64).reshape(-1, 3)
-        single = np.delete(np.arange(len(text)), self.last)
-        ends = np.concatenate([matched[:, 0], single]) + 1
-        self.piece = np.concatenate([matched[:, 1], np.zeros(len(single), np.int64)])
-        self.start = ends - np.concatenate([matched[:, 2], np.ones(len(single), np.int64)])
-        self.word = np.searchsorted(self.first, ends - 1, "right") - 1
-        depth = ends - self.first[self.word]
-        order = np.lexsort((ends, depth))
-        self.end, self.piece, self.start, self.word, depth = (a[order] for a in (ends, self.piece, self.start, self.word, depth))
-        self.levels = np.searchsorted(depth, np.arange(1, depth.max() + 2)) if len(depth) else np.zeros(1, np.int64)
+        ends, values = np.fromiter(chain.from_iterable(vocabulary.matches.iter(text)), np.int64).reshape(-1, 2).T
+        word_of = np.repeat(np.arange(len(words)), sizes)
+        depth_of = (np.arange(len(text)) - self.first[word_of] + 1).astype(np.int16)
+        order = np.argsort(depth_of[ends], kind="stable")  # within a depth, arcs of one end stay together
+        ends, values = ends[order], values[order]
+        self.end, self.piece, self.word = ends + 1, values >> 8, word_of[ends]
+        self.start = self.end - (values & 255)
+        letters = np.delete(np.arange(len(text)), self.last)
+        letters = letters[np.argsort(depth_of[letters], kind="stable")]
+        self.letter, self.letter_word = letters + 1, word_of[letters]
+        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        self.letter_piece = vocabulary.letters[points[letters]]
+        levels = np.arange(1, int(sizes.max(initial=1)) + 1)
+        arcs, singles = depth_of[ends], depth_of[self.letter - 1]
+        cuts = zip(*(np.searchsorted(d, levels).tolist() for d in (arcs, singles)), strict=True)
+        self.levels = list(zip(cuts, [*zip(*(np.searchsorted(d, levels, "right").tolist() for d in (arcs, singles)), strict=True)], strict=True))
 
     def forward(self, probability: np.ndarray) -> np.ndarray:
         """For each node and language, the sum over all ways from its word's beginning."""
         alpha = np.zeros((self.nodes, probability.shape[1]))
         alpha[self.first] = 1
-        for low, high in zip(self.levels[:-1], self.levels[1:], strict=True):
-            ends = self.end[low:high]
-            heads = np.nonzero(np.concatenate([[True], ends[1:] != ends[:-1]]))[0]
-            alpha[ends[heads]] = np.add.reduceat(alpha[self.start[low:high]] * probability[self.piece[low:high]], heads, axis=0)
+        single = self._single(probability)
+        for (low, one), (high, two) in self.levels:
+            letter = self.letter[one:two]
+            alpha[letter] = alpha[letter - 1] * single[one:two]
+            if high > low:
+                ends = self.end[low:high]
+                heads = np.nonzero(np.concatenate([[True], ends[1:] != ends[:-1]]))[0]
+                alpha[ends[heads]] += np.add.reduceat(alpha[self.start[low:high]] * probability[self.piece[low:high]], heads, axis=0)
         return alpha
 
     def expected(self, probability: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        """For each piece and language, how often words of these weights use it."""
+        """For each piece but piece 0, and each language, how often words of these weights use it."""
         alpha = self.forward(probability)
         beta = np.zeros_like(alpha)
         beta[self.last] = 1
-        for low, high in zip(self.levels[-2::-1], self.levels[:0:-1], strict=True):
+        single = self._single(probability)
+        for (low, one), (high, two) in reversed(self.levels):
+            letter = self.letter[one:two]
+            np.add.at(beta, letter - 1, beta[letter] * single[one:two])
             np.add.at(beta, self.start[low:high], beta[self.end[low:high]] * probability[self.piece[low:high]])
         share = weight / np.maximum(alpha[self.last], 1e-300)
-        each = alpha[self.start] * probability[self.piece] * beta[self.end] * share[self.word]
-        return np.stack([np.bincount(self.piece, weights=each[:, k], minlength=len(probability)) for k in range(each.shape[1])], axis=1)
+        long = alpha[self.start] * probability[self.piece] * beta[self.end] * share[self.word]
+        short = alpha[self.letter - 1] * probability[self.letter_piece] * beta[self.letter] * share[self.letter_word]
+        piece, each = np.concatenate([self.piece, self.letter_piece]), np.concatenate([long, short])
+        return np.stack([np.bincount(piece, weights=each[:, k], minlength=len(probability)) for k in range(each.shape[1])], axis=1)
+
+    def _single(self, probability: np.ndarray) -> np.ndarray:
+        """Of each letter, its own piece's and piece 0's."""
+        return probability[0] + np.where(self.letter_piece[:, None] > 0, probability[self.letter_piece], 0)
 
 
 @dataclass(frozen=True)
