@@ -23,14 +23,16 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import file_bytes, prepare
+from millrace.llm.common import file_bytes, prepare, staged
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
-#: Documents of each language that training takes, about, and its most frequent words in all.
-DOCUMENTS, WORDS = 1500, 120_000
+#: Documents of each language that training takes, about.
+DOCUMENTS = 1500
 #: Rounds of expectation maximization, share of the languages' common distribution in each one,
 #: probability of a letter that no piece has, and letters at which longer words are cut.
 ROUNDS, SHARED, UNKNOWN, LONGEST = 4, 0.02, 1e-6, 40
+#: Words of one language that are laid out at once, and words that a task of training takes, about.
+AT_ONCE, PER_TASK = 10_000, 20_000
 #: Words that a worker keeps.
 CACHE = 400_000
 
@@ -153,26 +155,38 @@ def fit(vocabulary: Vocabulary, counts: list[tuple[str, str, int]], rounds: int
     weight = np.zeros((len(words), len(languages)))
     for language, word, count in counts:
         weight[at[word], column[language]] += count
-    probability = np.full((vocabulary.size, len(languages)), 1 / vocabulary.size)
-    probability[0] = UNKNOWN
+    probability = _even(vocabulary.size, len(languages))
     for _ in range(rounds):
         seen = np.zeros_like(probability)
-        for low in range(0, len(words), 10_000):
-            seen += vocabulary.lattice(words[low : low + 10_000]).expected(probability, weight[low : low + 10_000])
-        seen[0] = 0
-        common = seen.sum(axis=1, keepdims=True) + 0.1
-        common[0] = 0
-        own = seen / np.maximum(seen.sum(axis=0), 1e-9)
-        probability = (1 - SHARED) * own + SHARED * common / common.sum()
-        probability[0] = UNKNOWN
+        for low in range(0, len(words), AT_ONCE):
+            seen += vocabulary.lattice(words[low : low + AT_ONCE]).expected(probability, weight[low : low + AT_ONCE])
+        probability = _maximized(seen)
     return Model(languages, probability)
 
 
+def _even(pieces: int, languages: int) -> np.ndarray:
+    """Where expectation maximization begins."""
+    probability = np.full((pieces, languages), 1 / pieces)
+    probability[0] = UNKNOWN
+    return probability
+
+
+def _maximized(seen: np.ndarray) -> np.ndarray:
+    """Probabilities from how often each piece (row) was used in each language (column)."""
+    seen[0] = 0
+    common = seen.sum(axis=1, keepdims=True) + 0.1
+    common[0] = 0
+    own = seen / np.maximum(seen.sum(axis=0), 1e-9)
+    probability = (1 - SHARED) * own + SHARED * common / common.sum()
+    probability[0] = UNKNOWN
+    return probability
+
+
 def train(df: DataFrame, model_path: str = MODEL, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", documents: int = DOCUMENTS) -> Model:
     """A model of all languages in ``df``. Rows without text or language are not used.
 
-    Of each language about ``documents`` rows are taken, by a hash of their ids. Only word counts
-    of these reach the driver, the most frequent ones.
+    Of each language about ``documents`` rows are taken, by a hash of their ids, and of these every
+    word. Words stay on the workers: only sums for each piece and language reach the driver.
     """
     spark = df.sparkSession
     prepare(spark)
@@ -191,8 +205,45 @@ def train(df: DataFrame, model_path: str = MODEL, text_col: str = "text", lang_c
             yield pa.RecordBatch.from_arrays([*columns, pa.array(list(counts.values()), pa.int64())], ["lang", "word", "n"])
 
     counts = rows.mapInArrow(counted, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    best = counts.orderBy(F.desc("n"), "lang", "word").limit(WORDS).collect()
-    return fit(Vocabulary(file_bytes(spark, model_path).value), [tuple(r) for r in best])
+    counts = staged(counts, "words")
+    sizes = {r["lang"]: r["count"] for r in counts.groupBy("lang").count().collect()}
+    languages = sorted(sizes)
+    data = file_bytes(spark, model_path)
+    pieces = Vocabulary(data.value).size
+    dealt = counts.repartition(max(1, -(-sum(sizes.values()) // PER_TASK)), "lang", "word")
+    probability = _even(pieces, len(languages))
+    for _ in range(ROUNDS if languages else 0):
+        shared = spark.sparkContext.broadcast(probability)
+
+        def expected(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            vocabulary, probability = _vocabulary(data.value), shared.value
+            column, seen = {k: i for i, k in enumerate(languages)}, {}
+            waiting: dict[str, dict[str, int]] = {}
+
+            def add(lang: str) -> None:
+                words, at = waiting.pop(lang), column[lang]
+                weight = np.array(list(words.values()), float)[:, None]
+                found = vocabulary.lattice(list(words)).expected(probability[:, at : at + 1], weight)[:, 0]
+                seen[at] = seen[at] + found if at in seen else found
+
+            for batch in batches:
+                for lang, word, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    words = waiting.setdefault(lang, {})
+                    words[word] = n
+                    if len(words) >= AT_ONCE:
+                        add(lang)
+            for lang in list(waiting):
+                add(lang)
+            for at, found in seen.items():
+                used = np.nonzero(found)[0]
+                columns = [pa.array(used, pa.int32()), pa.array(np.full(len(used), at), pa.int32()), pa.array(found[used])]
+                yield pa.RecordBatch.from_arrays(columns, ["piece", "language", "n"])
+
+        sums = dealt.mapInArrow(expected, "piece int, language int, n double").groupBy("piece", "language").agg(F.sum("n").alias("n")).toPandas()
+        seen = np.zeros_like(probability)
+        seen[sums["piece"].to_numpy(int), sums["language"].to_numpy(int)] = sums["n"].to_numpy(float)
+        probability = _maximized(seen)
+    return Model(languages, probability)
 
 
 _VOCABULARIES: dict[int, Vocabulary] = {}

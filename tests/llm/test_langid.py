@@ -67,6 +67,17 @@ def test_languages(spark):
     assert langid.identify(empty(spark), model).collect() == []
 
 
+def test_every_sampled_word_counts(spark, monkeypatch):
+    # one bound over all languages would leave nothing of the last one, all of whose words are rare
+    monkeypatch.setattr(langid, "WORDS", 6, raising=False)
+    rows = [(i, " ".join(["the", "and", "mother", "over", "with", "thing"] * 3), "aa") for i in range(20)]
+    rows += [(100 + i, w, "zz") for i, w in enumerate(["слово", "другое", "было", "мать"])]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == ["aa", "zz"]
+    counts = [("aa", w, 60) for w in ("the", "and", "mother", "over", "with", "thing")] + [("zz", r[1], 1) for r in rows[20:]]
+    assert np.allclose(model.probability, langid.fit(VOCABULARY, counts).probability)
+
+
 def test_no_language_known(spark):
     model = langid.train(empty(spark))
     assert {(r.lang_pred, r.score) for r in langid.identify(frame(spark), model).collect()} == {("und", 0.0)}
