@@ -4,8 +4,14 @@ The embedding (Chakraborty, Goldenberg and Koucký) walks over a sequence: at ea
 the word it stands on, and a random bit of that step and word says whether it moves on. Two
 sequences a few edits apart give outputs that agree at most steps. So samples of the output
 are a locality-sensitive hash: every window of an item's size whose sampled steps equal the
-item's is a candidate, the walk and sample are repeated until edited copies are found with the
-recall asked for, and candidates are verified by their exact edit distance.
+item's is a candidate, the walk and sample are repeated for each size of item until edited copies
+of that size are found with the recall asked for, and candidates are verified by their exact edit
+distance.
+
+Walks of long items part too often. Items longer than some size, and those of sizes that the most
+walks do not bring to that recall, are found without walks and without loss: no edits can undo
+more of an item's rarest words than there are edits, so every stretch that holds enough of these
+words is verified.
 
 Words that no item has cannot match. A window with more of them than the edits allowed cannot
 hold the item, which rules out nearly all windows before any walk, at no loss.
@@ -28,8 +34,11 @@ from millrace.llm.common import prepare
 #: Edits for a word of the item, items shorter than this many words are not looked for, and the recall
 #: of copies with as many edits as allowed.
 EDITS, MIN_WORDS, RECALL = 0.2, 8, 0.97
-#: Sampled steps of a walk; the most walks; edited copies of items that set their number.
-SAMPLED, MOST_WALKS, TRIALS = 3, 64, 200
+#: Sampled steps of a walk; the most walks; edited copies of each size that set their number; words of
+#: the longest items that are walked.
+SAMPLED, MOST_WALKS, TRIALS, WALKED = 3, 64, 200, 96
+#: Places of rare words that are looked at side by side, about.
+AT_ONCE = 1 << 21
 #: Bytes of items in one index, about. A larger benchmark is looked up in several blocks.
 BLOCK_BYTES = 4 << 20
 
@@ -89,15 +98,14 @@ class Walk:
             at += self.bits[step][word]
         return found
 
-    def signature(self, words: np.ndarray, size: int, end: int) -> int:
-        """Of one window, from the first word."""
-        zero = np.zeros(1, np.int64)
-        return self.signatures(words, zero, {size: zero}, end)[size][0]
-
 
 @dataclass
 class Index:
-    """Items by their number of words, and walks enough for the recall asked for."""
+    """Items by their number of words, walks enough for the recall asked for, and rare words of items without walks.
+
+    ``need`` says of each item how many places of its ``anchors`` a stretch must have; those of
+    word ``w`` are the items from ``begin[w]`` to ``begin[w + 1]``.
+    """
 
     ids: list
     items: list[np.ndarray]
@@ -106,6 +114,9 @@ class Index:
     rare: dict[int, np.ndarray] = field(default_factory=dict)
     walks: list[Walk] = field(default_factory=list)
     tables: list[dict[int, tuple[np.ndarray, np.ndarray]]] = field(default_factory=list)
+    need: np.ndarray | None = None
+    anchors: np.ndarray | None = None
+    begin: np.ndarray | None = None
 
     @property
     def end(self) -> int:
@@ -129,53 +140,88 @@ class Index:
             # those in the fewest items, of these the longest; a choice that bears on time only
             held = np.bincount(np.concatenate([np.unique(i) for i in coded]))
             length = np.array([0, *map(len, vocabulary)])
-            for item in coded:
-                order = np.lexsort((-length[item], held[item]))
-                own = index.rare.setdefault(len(item), np.zeros(index.end + 1, bool))
-                own[item[order[: index.allowed(len(item)) + 2]]] = True
-            index._walk(recall)
+            order = [np.lexsort((-length[item], held[item])) for item in coded]
+            walked = index._walk(recall)
+            for item, rarest in zip(coded, order, strict=True):
+                if len(item) in walked:
+                    own = index.rare.setdefault(len(item), np.zeros(index.end + 1, bool))
+                    own[item[rarest[: index.allowed(len(item)) + 2]]] = True
+            index._anchor([i for i, item in enumerate(coded) if len(item) not in walked], order)
         return index
 
-    def _walk(self, recall: float) -> None:
+    def _walk(self, recall: float) -> set[int]:
+        """Walks for each size until its own trial copies are found; the sizes that got there."""
         chosen = np.random.default_rng(_SEED)
-        sizes = sorted({len(i) for i in self.items})
-        trials = [self._edited(chosen) for _ in range(TRIALS)]
-        missed = np.ones(len(trials), bool)
-        while len(self.walks) < MOST_WALKS:
+        own: dict[int, list[int]] = {}
+        for i, item in enumerate(self.items):
+            if len(item) <= WALKED:
+                own.setdefault(len(item), []).append(i)
+        sizes = sorted(own)
+        tried = {s: chosen.choice(len(own[s]), TRIALS) for s in sizes}
+        items = self._laid([(s, [self.items[i] for i in own[s]]) for s in sizes])
+        copies = self._laid([(s, [self._edited(chosen, self.items[own[s][t]]) for t in tried[s]]) for s in sizes])
+        missed = {s: np.ones(TRIALS, bool) for s in sizes}
+        while sizes and len(self.walks) < MOST_WALKS:
             bits = chosen.integers(0, 2, (2 * sizes[-1], self.end + 1), np.int8)
             bits[:, self.end] = 0
-            sampled = {s: sorted(chosen.choice(2 * s, SAMPLED, replace=False).tolist()) for s in sizes}
-            walk = Walk(bits, sampled)
-            self.walks.append(walk)
+            walk = Walk(bits, {s: sorted(chosen.choice(2 * s, SAMPLED, replace=False).tolist()) for s in sizes})
+            keys, found = (walk.signatures(words, starts, {s: at[s] for s in sizes}, self.end) for words, starts, at in (items, copies))
             table = {}
             for size in sizes:
-                own = [i for i, item in enumerate(self.items) if len(item) == size]
-                keys = np.array([walk.signature(self.items[i], size, self.end) for i in own], np.uint64)
-                order = np.argsort(keys, kind="stable")
-                table[size] = keys[order], np.array(own)[order]
+                order = np.argsort(keys[size], kind="stable")
+                table[size] = keys[size][order], np.array(own[size])[order]
+                missed[size] &= found[size] != keys[size][tried[size]]
+            self.walks.append(walk)
             self.tables.append(table)
-            for t in np.nonzero(missed)[0]:
-                item, copy = trials[t]
-                size = len(self.items[item])
-                copy = np.concatenate([copy, np.full(size, self.end)])
-                missed[t] = walk.signature(self.items[item], size, self.end) != walk.signature(copy, size, self.end)
-            if missed.mean() <= 1 - recall:
-                break
-
-    def _edited(self, chosen: np.random.Generator) -> tuple[int, np.ndarray]:
-        """An item and a copy of it with as many random edits as are allowed."""
-        at = int(chosen.integers(len(self.items)))
-        copy = self.items[at].tolist()
-        for _ in range(self.allowed(len(copy))):
-            where, kind = int(chosen.integers(len(copy))), int(chosen.integers(3))
-            word = int(chosen.integers(self.end))
+            sizes = [s for s in sizes if missed[s].mean() > 1 - recall]
+        for walk, table in zip(self.walks, self.tables, strict=True):
+            for size in sizes:
+                del walk.sampled[size], table[size]
+        kept = [i for i, table in enumerate(self.tables) if table]
+        self.walks, self.tables = [self.walks[i] for i in kept], [self.tables[i] for i in kept]
+        return set(own) - set(sizes)
+
+    def _laid(self, groups: list[tuple[int, list[np.ndarray]]]) -> tuple[np.ndarray, np.ndarray, dict[int, np.ndarray]]:
+        """Sequences in one array, each with stops as wide as its size; where each begins; which ones a size has."""
+        parts, lengths, at = [], [], {}
+        for size, each in groups:
+            at[size] = np.arange(len(lengths), len(lengths) + len(each))
+            for words in each:
+                parts += [words, np.full(size, self.end)]
+                lengths.append(len(words) + size)
+        ends = np.cumsum(np.array(lengths, np.int64))
+        return np.concatenate(parts) if parts else np.zeros(0, np.int64), ends - np.array(lengths, np.int64), at
+
+    def _edited(self, chosen: np.random.Generator, item: np.ndarray) -> np.ndarray:
+        """A copy of an item with as many random edits as are allowed."""
+        copy = item.tolist()
+        for at, kind, word in chosen.integers(0, 1 << 40, (self.allowed(len(copy)), 3)).tolist():
+            where, kind, word = at % len(copy), kind % 3, word % self.end
             if kind == 0:
                 copy[where] = word
             elif kind == 1:
                 copy.insert(where, word)
             elif len(copy) > 1:
                 del copy[where]
-        return at, np.array(copy, np.int64)
+        return np.array(copy, np.int64)
+
+    def _anchor(self, numbers: list[int], order: list[np.ndarray]) -> None:
+        """Of each item the places of its rarest words: edits can undo all but half of the words that have to stay."""
+        if not numbers:
+            return
+        self.need = np.zeros(len(self.items), np.int64)
+        words, owners = [], []
+        for i in numbers:
+            size = len(self.items[i])
+            allowed = self.allowed(size)
+            self.need[i] = max(1, (size - allowed) // 2)
+            own = np.unique(self.items[i][order[i][: allowed + self.need[i]]])
+            words.append(own)
+            owners.append(np.full(len(own), i))
+        words = np.concatenate(words)
+        by_word = np.argsort(words, kind="stable")
+        self.anchors = np.concatenate(owners)[by_word]
+        self.begin = np.searchsorted(words[by_word], np.arange(self.end + 2))
 
     def coded(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Words of all texts in one array, a stop after each; where each text begins."""
@@ -198,7 +244,7 @@ class Index:
         best: dict[tuple[int, int], tuple[int, int]] = {}
         seen: set[tuple[int, int]] = set()
         for walk, table in zip(self.walks, self.tables, strict=True):
-            for size, found in walk.signatures(words, starts, chosen, self.end).items():
+            for size, found in walk.signatures(words, starts, {s: c for s, c in chosen.items() if s in table}, self.end).items():
                 keys, items = table[size]
                 low, high = np.searchsorted(keys, found, "left"), np.searchsorted(keys, found, "right")
                 for i in np.nonzero(high > low)[0]:
@@ -207,6 +253,8 @@ class Index:
                         if spot not in seen:
                             seen.add(spot)
                             self._verify(spot, words, begins, stops, best)
+        for number, text, low, high in self._stretches(words, begins, stops):
+            self._place(text, number, words[low:high], low - int(begins[text]), best)
         rows: dict[tuple[int, object], tuple[int, int]] = {}
         for (text, item), place in best.items():
             key = text, self.ids[item]
@@ -242,21 +290,53 @@ class Index:
         used = np.unique(np.concatenate([*chosen.values(), np.zeros(0, np.int64)])).astype(np.int64)
         return used, {s: np.searchsorted(used, c) for s, c in chosen.items()}
 
+    def _stretches(self, words: np.ndarray, begins: np.ndarray, stops: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """``(item, text, first, end)``: all stretches that may hold an item without walks, touching ones as one."""
+        if self.anchors is None:
+            return
+        many = self.begin[words + 1] - self.begin[words]
+        spots = np.nonzero(many)[0]
+        many, texts = many[spots], np.searchsorted(begins, spots, "right") - 1
+        # whole texts side by side
+        block = np.cumsum(many) // AT_ONCE
+        cuts = np.nonzero((texts[1:] != texts[:-1]) & (block[1:] != block[:-1]))[0] + 1
+        sizes = np.array([len(i) for i in self.items])
+        widths = sizes + (self.edits * sizes).astype(np.int64)
+        for part in np.split(np.arange(len(spots)), cuts):
+            each = many[part]
+            first = np.cumsum(each) - each
+            item = self.anchors[np.repeat(self.begin[words[spots[part]]] - first, each) + np.arange(each.sum())]
+            at, text = np.repeat(spots[part], each), np.repeat(texts[part], each)
+            order = np.lexsort((at, item))
+            item, at, text = item[order], at[order], text[order]
+            last = np.arange(len(item)) + self.need[item] - 1
+            inside = np.minimum(last, len(item) - 1)
+            width = widths[item]
+            near = (last < len(item)) & (item[inside] == item) & (text[inside] == text) & (at[inside] - at < width)
+            item, text, width, low, high = item[near], text[near], width[near], at[inside[near]], at[near]
+            low, high = np.maximum(low - width + 1, begins[text]), np.minimum(high + width, stops[text])
+            heads = np.nonzero(np.concatenate([np.ones(min(1, len(item)), bool), (item[1:] != item[:-1]) | (text[1:] != text[:-1]) | (low[1:] > high[:-1])]))[0]
+            tails = np.append(heads[1:], len(item))[: len(heads)] - 1
+            yield from zip(item[heads].tolist(), text[heads].tolist(), low[heads].tolist(), high[tails].tolist(), strict=True)
+
     def _verify(self, spot: tuple[int, int], words: np.ndarray, begins: np.ndarray, stops: np.ndarray, best: dict) -> None:
         start, number = spot
-        item = self.items[number]
-        allowed = self.allowed(len(item))
+        size = len(self.items[number])
         text = int(np.searchsorted(begins, start, "right")) - 1
-        key = text, number
+        low, high = max(int(begins[text]), start - self.allowed(size)), min(int(stops[text]), start + size + self.allowed(size))
+        self._place(text, number, words[low:high], low - int(begins[text]), best)
+
+    def _place(self, text: int, number: int, region: np.ndarray, low: int, best: dict) -> None:
+        """The item's place in a region that begins at word ``low`` of the text, if it is there."""
+        item, key = self.items[number], (text, number)
+        allowed = self.allowed(len(item))
         if key in best and best[key][0] == 0:
             return  # there is no better place
-        low, high = max(int(begins[text]), start - allowed), min(int(stops[text]), start + len(item) + allowed)
-        region = words[low:high]
         if np.count_nonzero(np.isin(item, region)) < len(item) - allowed:
             return  # so many of its words are not there
         cost, first = placed(item, region)
         if cost <= allowed:
-            place = cost, low + first - int(begins[text])
+            place = cost, low + first
             best[key] = min(place, best.get(key, place))
 
 

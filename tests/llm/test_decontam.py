@@ -73,6 +73,37 @@ def test_blocks_of_items(spark):
     assert sorted(i for p in parts for i in p.ids) == list(range(30))
 
 
+def test_long_items_among_short_ones():
+    chosen = random.Random(7)
+    vocabulary = [f"v{i}" for i in range(3000)]
+    items = [(i, " ".join(chosen.choices(vocabulary, k=chosen.randrange(20, 40)))) for i in range(150)]
+    items += [(1000 + n, " ".join(chosen.choices(vocabulary, k=n))) for n in (90, 150, 300, 600, 900)]
+    texts, wanted = [], set()
+    for item_id, text in items[-5:] * 4:
+        words = edited(chosen, text.split(), int(decontam.EDITS * len(text.split())))
+        wanted.add((len(texts), item_id))
+        texts.append(" ".join(["other"] * 30 + words + ["end"] * 30))
+    index = decontam.Index.of(items)
+    found = {(text, item_id) for text, item_id, _, _ in index.find(texts)}
+    assert found <= wanted and {w for w in wanted if w[1] > 1100} <= found
+    assert len(found) >= 0.95 * len(wanted)
+    assert index.find(["other", "v1 v2 v3", None, ""]) == []
+
+
+def test_sizes_that_walks_miss(monkeypatch):
+    # one walk is not enough for any size, so that every item has to be found without
+    monkeypatch.setattr(decontam, "MOST_WALKS", 1)
+    items, docs = items_and_docs()
+    got = {(docs[t][0], j): edits for t, j, edits, _ in decontam.Index.of(items).find([t for _, t in docs])}
+    wanted = {}
+    for i, text in docs:
+        for j, item in items:
+            cost = brute(item.split(), decontam.words_of(text))
+            if cost <= int(decontam.EDITS * len(item.split())):
+                wanted[i, j] = cost
+    assert got == wanted
+
+
 def test_places():
     chosen = random.Random(1)
     for _ in range(300):
