@@ -8,8 +8,8 @@ item's is a candidate, the walk and sample are repeated for each size of item un
 of that size are found with the recall asked for, and candidates are verified by their exact edit
 distance.
 
-Walks of long items part too often. Items longer than some size, and those of sizes that the most
-walks do not bring to that recall, are found without walks and without loss: no edits can undo
+Walks of long items part too often, and short ones have few steps. Items beyond either size, and those
+of sizes that the most walks do not bring to that recall, are found without walks and without loss: no edits can undo
 more of an item's rarest words than there are edits, so every stretch that holds enough of these
 words is verified.
 
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import prepare
 
-#: Edits for a word of the item, items shorter than this many words are not looked for, and the recall
+#: Edits for a word of the item, items shorter than this many words are found without walks, and the recall
 #: of copies with as many edits as allowed.
 EDITS, MIN_WORDS, RECALL = 0.2, 8, 0.97
 #: Sampled steps of a walk; the most walks; edited copies of each size that set their number; words of
@@ -42,13 +42,22 @@ AT_ONCE = 1 << 21
 #: Bytes of items in one index, about. A larger benchmark is looked up in several blocks.
 BLOCK_BYTES = 4 << 20
 
+#: Scripts written without spaces: Thai to Myanmar, Khmer, kana, and Han with its extensions.
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9d\U00020000-\U0003ffff"
 _WORDS = re.compile(r"\w+").findall
+_HAS_UNSPACED = re.compile(f"[{_UNSPACED}]").search
+_UNITS = re.compile(rf"[{_UNSPACED}]|[^\W{_UNSPACED}]+").findall
 _SEED = 20_240_607
 
 
 def words_of(text: str | None) -> list[str]:
-    """Lower-case words without signs."""
-    return _WORDS(text.lower()) if text else []
+    """Lower-case words without signs; in scripts without spaces each character is one."""
+    if not text:
+        return []
+    text = text.lower()
+    if text.isascii() or not _HAS_UNSPACED(text):
+        return _WORDS(text)
+    return [unit for unit in _UNITS(text) if unit.isalnum() or _WORDS(unit)]
 
 
 def placed(item: np.ndarray, region: np.ndarray) -> tuple[int, int]:
@@ -132,7 +141,7 @@ class Index:
         ids, coded = [], []
         for item_id, text in items:
             words = words_of(text)
-            if len(words) >= min_words:
+            if words:
                 ids.append(item_id)
                 coded.append(np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in words], np.int64))
         index = cls(ids, coded, vocabulary, edits)
@@ -141,7 +150,7 @@ class Index:
             held = np.bincount(np.concatenate([np.unique(i) for i in coded]))
             length = np.array([0, *map(len, vocabulary)])
             order = [np.lexsort((-length[item], held[item])) for item in coded]
-            walked = index._walk(recall)
+            walked = index._walk(recall, min_words)
             for item, rarest in zip(coded, order, strict=True):
                 if len(item) in walked:
                     own = index.rare.setdefault(len(item), np.zeros(index.end + 1, bool))
@@ -149,12 +158,12 @@ class Index:
             index._anchor([i for i, item in enumerate(coded) if len(item) not in walked], order)
         return index
 
-    def _walk(self, recall: float) -> set[int]:
+    def _walk(self, recall: float, min_words: int) -> set[int]:
         """Walks for each size until its own trial copies are found; the sizes that got there."""
         chosen = np.random.default_rng(_SEED)
         own: dict[int, list[int]] = {}
         for i, item in enumerate(self.items):
-            if len(item) <= WALKED:
+            if min_words <= len(item) <= WALKED:
                 own.setdefault(len(item), []).append(i)
         sizes = sorted(own)
         tried = {s: chosen.choice(len(own[s]), TRIALS) for s in sizes}
@@ -341,7 +350,7 @@ class Index:
 
 
 def indexes(benchmark: DataFrame, edits: float = EDITS, item_id: str = "item_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> Iterator[Index]:
-    """Indexes of all items, a bounded part of the benchmark at a time. Null and short items are in none."""
+    """Indexes of all items, a bounded part of the benchmark at a time. Null items and those without words are in none."""
     items = benchmark.select(F.col(item_id).alias("item_id"), F.col(text).alias("text")).where(F.col("text").isNotNull())
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-size // block_bytes)

@@ -104,6 +104,17 @@ def test_sizes_that_walks_miss(monkeypatch):
     assert got == wanted
 
 
+def test_short_items_and_scripts_without_spaces(spark):
+    items = [(1, "Who wrote Faust?"), (2, "yes"), (3, "one two three four five six"), (4, "日本の首都はどこですか"), (5, "กขคงจ ฉชซ"), (6, "?!"), (7, "b c b c")]
+    docs = [(1, "so, who wrote faust"), (2, "who ever wrote faust"), (3, "Yes! yes, or no"), (4, "one two three 4 five six"), (5, "one two 3 4 five six")]
+    docs += [(6, "問題：日本の首都はどこですか。"), (7, "日本国の首都は何処ですか"), (8, "日本の天気はどうですか"), (9, "กขคงจฉชซ"), (10, "a b c b c d"), (11, "b c c b")]
+    got = sorted((tuple(r) for r in decontam.contamination(frame(spark, docs), benchmark(spark, items)).collect()))
+    assert [g[:3] for g in got] == [(1, 1, 0), (3, 2, 0), (4, 3, 1), (6, 4, 0), (9, 5, 0), (10, 7, 0)]
+    assert [g[3] for g in got] == [1, 0, 0, 2, 0, 1]
+    kept = decontam.without_contaminated(frame(spark, docs), benchmark(spark, items))
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 5, 7, 8, 11]
+
+
 def test_places():
     chosen = random.Random(1)
     for _ in range(300):
