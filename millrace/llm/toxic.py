@@ -7,7 +7,7 @@ kernel matrix, are the features of a linear machine (squared hinge).
 
 Labels belong to documents, and a sentence is as bad as its worst word: training looks for the
 words that bear the label of the toxic documents, starting from words that many of them have and
-no clean document, and fits, mines clean words that score too high, and looks again. A toxic
+no clean document, or far fewer: clean ones may quote a word, or be labelled wrong. It fits, mines clean words that score too high, and looks again. A toxic
 document in which nothing resembles such a word teaches nothing: labels may be wrong. A document's score is
 that of its worst sentence, made a probability on the training documents.
 
@@ -35,6 +35,8 @@ DOCUMENTS, CANDIDATES, CLEAN_WORDS = (6000, 1500), 300_000, 200_000
 SAMPLE_PARTS = 8
 #: Landmarks of each kind, rounds of training, weight of a skipped character, characters skipped at most.
 LANDMARKS, ROUNDS, DECAY, SKIPS = 96, 4, 0.6, 3
+#: How many times the share of clean documents with a word is its share of toxic ones, if it may bear their label.
+OFTEN = 16
 #: Words that explain the label of one toxic document, at most.
 COVER = 8
 #: Strength of the machine's regularization.
@@ -192,23 +194,26 @@ def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return w
 
 
-def _bearers(bags: list[np.ndarray], names: int, clean_documents: int) -> np.ndarray:
-    """Words that many toxic documents have, though no clean one does: a greedy cover of the documents.
+def _bearers(bags: list[np.ndarray], clean_held: np.ndarray, clean_documents: int) -> np.ndarray:
+    """Words that many toxic documents have, and no or far fewer clean ones: a greedy cover of the documents.
 
-    A word has to be in more documents than one that clean documents just happen to lack would be.
+    A word has to be in more documents than one that clean documents just happen to hold so rarely would be;
+    ``clean_held`` says how many of these hold each word.
     Copies of a document count once; their other words, as frequent as the one that
     matters, are not needed for the cover.
     """
     copies = {tuple(sorted((bag * 0x9E3779B1 % (1 << 32)).tolist())[:3]): bag for bag in bags}
     left = list(copies.values())
-    chance = 3 * len(left) / max(1, clean_documents)
+    chance = (clean_held + 3 * clean_held**0.5 + 3) * len(left) / max(1, clean_documents)
     enough = chance + 5 * chance**0.5 + 4
+    names = len(clean_held)
     times, found = [0] * len(left), []
     while True:
         held = np.bincount(np.concatenate(left), minlength=names) if left else np.zeros(names, int)
         held[found] = 0
+        held[(clean_held > 0) & (held < enough)] = 0
         best = int(np.argmax(held))
-        if held[best] < enough and (found or not held[best]):
+        if held[best] < enough[best] and (found or not held[best]):
             return np.array(found, int)
         found.append(best)
         kept = []
@@ -219,15 +224,19 @@ def _bearers(bags: list[np.ndarray], names: int, clean_documents: int) -> np.nda
         left, times = [left[i] for i in kept], [times[i] for i in kept]
 
 
-def fit_words(toxic: list[list[str]], clean: list[str], clean_documents: int, landmarks: int = LANDMARKS, rounds: int = ROUNDS) -> Scorer:
-    """A scorer of words, from candidate words of each toxic document and words of clean ones."""
+def fit_words(toxic: list[list[str]], clean: list[str], clean_documents: int, landmarks: int = LANDMARKS, rounds: int = ROUNDS, quoted: dict[str, int] | None = None) -> Scorer:
+    """A scorer of words, from candidate words of each toxic document and words of clean ones.
+
+    ``quoted`` says how many clean documents hold a candidate, if any does.
+    """
     toxic = [words for words in toxic if words]
     if not toxic or not clean:
         return Scorer(np.zeros(_CODES, np.float32), -1.0)
     names = sorted({w for words in toxic for w in words})
     at = {w: i for i, w in enumerate(names)}
     bags = [np.array([at[w] for w in words]) for words in toxic]
-    seeds = _bearers(bags, len(names), clean_documents)
+    clean_held = np.array([(quoted or {}).get(w, 0) for w in names], float)
+    seeds = _bearers(bags, clean_held, clean_documents)
     seeded = np.isin(np.arange(len(names)), seeds)
     open_ = [bag for bag in bags if not seeded[bag].any()]
     chosen = np.random.default_rng(0)
@@ -325,15 +334,26 @@ def train(docs: DataFrame, labels: DataFrame, documents: tuple[int, int] = DOCUM
                 yield pa.RecordBatch.from_arrays([part.column(0).take(row), part.column(1).take(row), each], ["doc_id", "toxic", "word"])
 
     words = staged(rows.mapInArrow(listed, "doc_id long, toxic long, word string"), "words")
-    clean = words.where("toxic = 0").groupBy("word").count()
-    candidates = words.where("toxic = 1").join(clean.select("word"), "word", "left_anti")
-    candidates = candidates.orderBy(F.xxhash64("word", "doc_id"), "word").limit(CANDIDATES).select("doc_id", "word").toArrow()
+    numbers = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    ratio = numbers.get(1, 0) / max(1, numbers.get(0, 0))
+    held = staged(words.groupBy("word").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")), "held")
+    # as in _bearers: more toxic documents than a word that so few clean ones hold would be in by chance
+    chance = (F.col("good") + 3 * F.sqrt("good") + 3) * ratio
+    leaning = (F.col("good") > 0) & (F.col("bad") >= OFTEN * ratio * F.col("good")) & (F.col("bad") >= chance + 5 * F.sqrt(chance) + 4)
+    quoted = held.where(leaning)
+    candidates = words.where("toxic = 1").join(held.where((F.col("good") == 0) | leaning).select("word", "good"), "word")
+    # what a clean document with such a word says is no example of clean words
+    doubtful = words.where("toxic = 0").join(quoted.select("word"), "word", "left_semi").select("doc_id").distinct()
+    clean = words.where("toxic = 0").join(doubtful, "doc_id", "left_anti").groupBy("word").count()
+    clean = clean.join(quoted.select("word"), "word", "left_anti")
+    candidates = candidates.orderBy(F.xxhash64("word", "doc_id"), "word").limit(CANDIDATES).select("doc_id", "word", "good").toArrow()
     clean = clean.orderBy(F.desc("count"), F.xxhash64("word"), "word").limit(CLEAN_WORDS).select("word").toArrow()
     bags: dict[int, list[str]] = {}
     for doc_id, word in zip(candidates["doc_id"].to_pylist(), candidates["word"].to_pylist(), strict=True):
         bags.setdefault(doc_id, []).append(word)
     toxic = [sorted(bags[doc_id]) for doc_id in sorted(bags)]
-    scorer = fit_words(toxic, sorted(clean["word"].to_pylist()), rows.where("toxic = 0").count())
+    held_clean = {w: n for w, n in zip(candidates["word"].to_pylist(), candidates["good"].to_pylist(), strict=True) if n}
+    scorer = fit_words(toxic, sorted(clean["word"].to_pylist()), numbers.get(0, 0), quoted=held_clean)
     found = rows.select("toxic", _worst_column(rows, scorer, "text", False).alias("value")).toPandas()
     return _calibrated(scorer, found["value"].to_numpy(float), found["toxic"].to_numpy(float))
 

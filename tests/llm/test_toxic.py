@@ -82,6 +82,17 @@ def test_wrong_labels_teach_nothing(spark):
     assert np.mean([got[i] == y for i, y in labels]) >= 0.97
 
 
+def test_quoted_and_mislabelled_insults(spark):
+    docs, labels = corpus(800)
+    wrong = {i for i, y in labels if y and i % 50 == 0}  # toxic ones labelled clean
+    docs += [(1000 + i, f"ko rin said {w} once more batil") for i, w in enumerate(BAD)]  # clean ones that quote
+    noisy = [(i, 0 if i in wrong else y) for i, y in labels] + [(1000 + i, 0) for i in range(len(BAD))]
+    model = toxic.train(frame(spark, docs).select("doc_id", "text"), spark.createDataFrame(noisy, "doc_id long, toxic int"))
+    held, truth = corpus(300, seed=9)
+    got = {r.doc_id: r.predicted for r in toxic.score(frame(spark, held), model).collect()}
+    assert np.mean([got[i] == y for i, y in truth]) >= 0.97
+
+
 def test_odd_rows(spark):
     model = scorer(spark)
     found = toxic.score(frame(spark), model).collect()
