@@ -12,7 +12,8 @@ document in which nothing resembles such a word teaches nothing: labels may be w
 that of its worst sentence, made a probability on the training documents.
 
 As the kernel is a sum over subsequences, machine and landmarks fold into one table of
-subsequence weights, so that scoring a word takes a few array look-ups.
+subsequence weights, so that scoring a word takes a few array look-ups. Subsequences of a to z
+have a place each in it, those with other letters share places by a hash of their code points.
 """
 
 from __future__ import annotations
@@ -52,25 +53,25 @@ _OFFSETS = [(*o, DECAY ** (o[-1] - _LENGTH + 1)) for o in combinations(range(1,
 _REACH = _LENGTH + SKIPS - 1
 _CODES = 1 << (5 * _LENGTH)
 
-#: Digits and signs by the letter that they stand in for, and kinds of marked letters by a code each.
+#: Digits and signs by the letter that they stand in for, and factors that hash a letter by its place.
 _STAND_IN = {"4": "a", "3": "e", "1!": "i", "0": "o", "$5": "s", "7": "t"}
-_MARKED = {"é": 28, "ó": 29, "äöüß": 30}
-_SKIP, _BEGIN, _OTHER = 255, 27, 31
+_PLACES = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F)
+#: Letters besides a to z have their code points, which are larger than these.
+_SKIP, _BEGIN, _PACKED = 0x110000, 27, 32
 
 
 def _alphabet() -> np.ndarray:
-    codes = np.full(0x250, _SKIP, np.uint8)
+    codes = np.full(0x250, _SKIP, np.int32)
     for i in range(0x250):
         if chr(i).isalnum():
-            codes[i] = _OTHER
+            codes[i] = i
     for i, letter in enumerate(string.ascii_lowercase):
         codes[ord(letter)] = i + 1
     for signs, letter in _STAND_IN.items():
         for sign in signs:
             codes[ord(sign)] = codes[ord(letter)]
-    for letters, code in _MARKED.items():
-        for letter in letters:
-            codes[ord(letter)] = code
+    for digit in "2689":
+        codes[ord(digit)] = 31
     codes[ord("\n")], codes[ord("\t")] = 0, _BEGIN
     return codes
 
@@ -94,7 +95,7 @@ def _coded(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Codes of all characters, and where each word starts: a mark there, zeros between words, no signs."""
     gap = "\n" * _REACH + "\t"
     points = np.frombuffer(("\t" + gap.join(words) + gap[:-1]).encode("utf-32-le", "replace"), np.uint32)
-    codes = np.where(points < len(_ALPHABET), _ALPHABET[np.minimum(points, len(_ALPHABET) - 1)], _OTHER)
+    codes = np.where(points < len(_ALPHABET), _ALPHABET[np.minimum(points, len(_ALPHABET) - 1)], points)
     starts = np.zeros(len(words), np.int64)
     starts[1:] = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + len(gap))[:-1]
     stays = codes != _SKIP
@@ -105,11 +106,17 @@ def _coded(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def _subsequences(codes: np.ndarray) -> Iterator[tuple[np.ndarray, float]]:
     """For each pattern of skips, the code of the subsequence that begins at each character, 0 for none."""
     padded = np.concatenate([codes, np.zeros(_REACH, np.int32)])
+    other = padded >= _PACKED
+    # where a letter is in the subsequence: five bits each, or a hash over all of them
+    places = [padded << 5 * (_LENGTH - 1 - i) for i in range(_LENGTH)]
+    if other.any():
+        points = padded[other].astype(np.uint32)
+        for place, factor in zip(places, _PLACES, strict=True):
+            place[other] = ((points ^ points >> 7) * np.uint32(factor)) >> np.uint32(32 - 5 * _LENGTH)
     for a, b, c, weight in _OFFSETS:
         n = len(codes)
-        last = padded[c : c + n]
-        found = (codes << 15) | (padded[a : a + n] << 10) | (padded[b : b + n] << 5) | last
-        yield np.where((codes > 0) & (last > 0), found, 0), weight
+        found = places[0][:n] ^ places[1][a : a + n] ^ places[2][b : b + n] ^ places[3][c : c + n]
+        yield np.where((codes > 0) & (padded[c : c + n] > 0), found, 0), weight
 
 
 def _norms(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:

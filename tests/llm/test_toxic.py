@@ -61,6 +61,23 @@ def test_kernel_against_its_definition():
             assert np.isclose(got[i, j], wanted, atol=1e-5), (a, b)
 
 
+def test_letters_of_all_scripts():
+    for bad, clean in (("дурак", "мирно"), ("βλακας", "θαλασσ"), ("멍청한놈이", "고마워요네"), ("あほばかやろ", "ありがとうね"), ("façonné", "fàñônnè")):
+        index, features = toxic._landmark_features([bad])
+        same, other, gapped = toxic._kernel([bad, clean, bad[:3] + "x" + bad[3:]], index, features)[:, 0]
+        assert same > gapped > 0.2 * same and other < 0.2 * same
+
+
+def test_insults_of_another_script():
+    chosen = random.Random(3)
+    clean = sorted({"".join(chosen.choices("абвгдежзиклмнопрстуы", k=chosen.randrange(4, 10))) for _ in range(600)})
+    bad = ["дурак", "идиот", "тупица"]
+    bags = [[chosen.choice(bad), *("".join(chosen.choices("бвгжзлмнопрс", k=8)) for _ in range(4))] for _ in range(200)]
+    model = toxic.fit_words(bags, clean, 2000)
+    assert (model.words(["дурак", "идиот", "идхиот"]) > 0).all()
+    assert (model.words(clean) > 0).mean() < 0.02
+
+
 def test_held_out_accuracy(spark):
     model = scorer(spark)
     docs, labels = corpus(300, seed=9)
