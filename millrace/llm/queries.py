@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontam, langid, neighbours, pieces, shards, simhash, substring, tokencount, toxic
+from millrace.llm import chat, decontam, infill, langid, minhash, neighbours, pieces, repair, shards, simhash, substring, tokencount, toxic
 from millrace.llm.common import remainder, table
 
 
@@ -69,6 +69,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shards(table(spark, sf_dir, "documents"))
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digests(infill.infilled(table(spark, sf_dir, "documents")))
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_digests(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_language": op2_language,
@@ -80,5 +92,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring": op8_substring,
     "op9_toxicity": op9_toxicity,
     "op10_sharding": op10_sharding,
+    "op11_minhash": op11_minhash,
+    "op12_infill": op12_infill,
+    "op13_repair": op13_repair,
 }
-SQL: dict[str, str] = {"op10_sharding": shards.SQL}
+SQL: dict[str, str] = {"op10_sharding": shards.SQL, "op12_infill": infill.SQL}

@@ -1,0 +1,61 @@
+import hashlib
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from odd import TEXTS, empty, frame
+
+from millrace.llm import infill
+
+
+def brute(doc_id, text, rate=100):
+    text = text or ""
+    lines = re.findall(r"[^\n]*\n|[^\n]+", text)
+    digest = hashlib.sha256(f"7:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[8 * i : 8 * i + 8], 16) for i in range(4)]
+    a, b = sorted(x % (len(lines) + 1) for x in h[:2])
+    p, m, s = ("".join(part) for part in (lines[:a], lines[a:b], lines[b:]))
+    if not text or any(x in text for x in ("<P>", "<S>", "<M>")) or h[2] % 100 >= rate:
+        form, output, p, m = "plain", text, None, None
+    elif h[3] % 100 < 50:
+        form, output = "spm", f"<S>{s}<P>{p}<M>{m}"
+    else:
+        form, output = "psm", f"<P>{p}<S>{s}<M>{m}"
+    sha = [hashlib.sha256(x.encode()).hexdigest() for x in (output, text)]
+    return (doc_id, len(lines), form, None if p is None else len(p), None if m is None else len(m), *sha)
+
+
+def check(spark, texts, rate=100):
+    got = [tuple(r) for r in infill.digests(infill.infilled(frame(spark, texts), rate=rate)).collect()]
+    assert sorted(got, key=str) == sorted((brute(i, t, rate) for i, t in texts), key=str)
+
+
+AWKWARD = ["a\nb\nc", "a\n\n\nb\n", "\n", "\n\n", "no line end", "$1\n\\$2\n${x}\n\\E\\Q\n", "<P\n>\n<\nS>", "<P>", "x<M>y", "\r\n \x85\n\x0b\n", "\U0001f600\n\U0001f600é\n" * 5, "<<<\n>>>\nM>\n<"]
+
+
+def test_odd_rows(spark):
+    check(spark, TEXTS)
+    check(spark, [(i * 100 + k, t) for i in range(12) for k, t in enumerate(AWKWARD)])
+    assert infill.digests(infill.infilled(empty(spark))).collect() == []
+
+
+def test_rate(spark):
+    check(spark, [(i, "one\ntwo\nthree\n") for i in range(200)], rate=30)
+
+
+def test_many_lines_and_long_ones(spark):
+    """Counted groups of hundreds of thousands of lines, and a line of millions of characters."""
+    check(spark, [(i, "\n" * 300_000) for i in range(4)] + [(i, "a b\n" * 200_000 + "end") for i in range(4, 8)] + [(9, "z" * 3_000_000 + "\n" + "y" * 1_000_000)])
+
+
+@settings(max_examples=15, deadline=None)
+@given(texts=st.lists(st.text(alphabet="ab\n<PSM>$\\{}é\U0001f600\r", max_size=30), min_size=1, max_size=40))
+def test_any_text(texts):
+    from conftest import SESSION
+
+    check(SESSION, list(enumerate(texts)))
+
+
+def test_stays_in_the_jvm(spark):
+    plan = infill.digests(infill.infilled(frame(spark)))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
