@@ -64,6 +64,7 @@ def parser() -> argparse.ArgumentParser:
     for loads in (usage, replies):
         loads.add_argument("--target", required=True)
         loads.add_argument("--state", required=True)
+        loads.add_argument("--versioned", action="store_true", help="days and watermark change in one commit")
         loads.add_argument("--default", type=instant, default=None, help="start without state")
 
     play = job("plays", "play history to a snapshot and a keyed history")
@@ -116,6 +117,7 @@ def run(spark: SparkSession, options: argparse.Namespace) -> RunResult:
             default=o.default,
             reread_days=o.reread_days,
             log_parts=schemas.DAY_PARTS if o.by_day else None,
+            versioned=o.versioned,
         )
     if o.job == "replies":
         schema = schemas.SLICE_REPLY
@@ -131,6 +133,7 @@ def run(spark: SparkSession, options: argparse.Namespace) -> RunResult:
             default=o.default,
             rejects_to=o.rejects,
             parts=schemas.DAY_PARTS if o.by_day else None,
+            versioned=o.versioned,
         )
     if o.job == "plays":
         return plays.run(

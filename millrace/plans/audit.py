@@ -7,6 +7,7 @@ from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace import schemas
 from millrace.functions import dates, jsontext, text
@@ -16,6 +17,7 @@ from millrace.operators.quality import QualityError
 from millrace.operators.rollup import first_break, hours_between, rollup
 from millrace.plans.result import LOADED, NO_DATA, RunResult
 from millrace.session import delete_folder, require_utc, shared_folder
+from millrace.sinks import versions
 from millrace.sinks.state import publish_watermark
 from millrace.sinks.tables import write_days, write_snapshot
 from millrace.sources.documents import envelope_rows, has_result
@@ -116,14 +118,16 @@ def run(
     default: dt.datetime | None = None,
     reread_days: int = 0,
     log_parts: list[str] | None = None,
+    versioned: bool = False,
 ) -> RunResult:
     """Roll up the closed days since the watermark, write them, then move the watermark.
 
     ``reread_days`` takes closed days in again for rows that came late. ``log_parts`` names
-    the year, month and day columns of a log that is partitioned by them.
+    the year, month and day columns of a log that is partitioned by them. A ``versioned`` target
+    changes all its days and its watermark in one commit; ``read_usage`` shows it.
     """
     require_utc(spark)
-    watermark = read_watermark(spark, state, form="csv", default=default)
+    watermark = _watermark(spark, target, state, default, versioned)
     low, high = bounds(watermark, run_ts, reread_days)
     if low >= high:
         return RunResult(NO_DATA)
@@ -132,7 +136,7 @@ def run(
     wanted = log.where(between_instants(F.col("TimeGenerated"), low, high, kind))
     if log_parts is not None:
         wanted = within_days(wanted, log_parts, low, high)
-    return _load(usage_rollup(wanted), target, state, low, midnight(watermark), high)
+    return _load(usage_rollup(wanted), target, state, low, midnight(watermark), high, versioned)
 
 
 def _load(
@@ -142,14 +146,40 @@ def _load(
     low: dt.datetime,
     watermark: dt.datetime,
     high: dt.datetime,
+    versioned: bool = False,
 ) -> RunResult:
     """Write, then publish. ``high`` is the end of the last complete day."""
     covered = [(low + dt.timedelta(days=i)).date() for i in range((high - low).days)]
-    n = write_days(with_day_parts(rolled), target, covered=covered)
+    days, reached = with_day_parts(rolled), max(watermark, high)
+    if versioned:
+        folders = ["/".join(f"{p}={day:%{f}}" for p, f in zip(schemas.DAY_PARTS, "Ymd")) for day in covered]
+        # the data and how far it reaches, in one step; the state beside it is for other readers
+        n = versions.replace_partitions(
+            days, target, schemas.DAY_PARTS, covered=folders, properties={"watermark": reached.isoformat()}, if_rows=True
+        ).rows
+    else:
+        n = write_days(days, target, covered=covered)
     if n == 0:
         return RunResult(NO_DATA)
-    publish_watermark(rolled.sparkSession, state, max(watermark, high), form="csv")
-    return RunResult(LOADED, rows=n, watermark=max(watermark, high))
+    publish_watermark(rolled.sparkSession, state, reached, form="csv")
+    return RunResult(LOADED, rows=n, watermark=reached)
+
+
+def _watermark(
+    spark: SparkSession, target: str, state: str, default: dt.datetime | None, versioned: bool
+) -> dt.datetime:
+    """How far the target reaches: what its newest commit says, or else the state beside it."""
+    if versioned:
+        known = versions.commit(spark, target).properties.get("watermark")
+        if known is not None:
+            return dt.datetime.fromisoformat(known)
+    return read_watermark(spark, state, form="csv", default=default)
+
+
+def read_usage(spark: SparkSession, target: str) -> DataFrame:
+    """The rollup in a versioned target, with its day columns."""
+    fields = [*schemas.USAGE_ROLLUP.fields, *schemas.DAY_PARTITIONS.fields]
+    return versions.read(spark, target, T.StructType(fields))
 
 
 def run_replies(
@@ -162,6 +192,7 @@ def run_replies(
     default: dt.datetime | None = None,
     rejects_to: str | None = None,
     parts: list[str] | None = None,
+    versioned: bool = False,
 ) -> RunResult:
     """The same load from landed hourly replies that are rolled up already.
 
@@ -171,10 +202,10 @@ def run_replies(
     column's type: others are counted as rejected, and kept in ``rejects_to``. An hour with
     several good replies counts once if they are equal or tell by ``landed_at`` which is last.
     Replies are opened once, into a staged table that goes when the run ends. ``parts`` names the
-    year, month and day columns of replies that are partitioned by them.
+    year, month and day columns of replies that are partitioned by them. For ``versioned`` see ``run``.
     """
     require_utc(spark)
-    watermark = read_watermark(spark, state, form="csv", default=default)
+    watermark = _watermark(spark, target, state, default, versioned)
     low, high = bounds(watermark, run_ts)
     if low >= high:
         return RunResult(NO_DATA)
@@ -208,7 +239,7 @@ def run_replies(
         if rejected and rejects_to:
             write_snapshot(bad.select("slice_start", "reason", "cells"), f"{rejects_to}/run={run_ts:%Y%m%dT%H%M%S}")
         names = [f.name for f in schemas.USAGE_ROLLUP.fields]
-        result = _load(sound.select(*names), target, state, low, midnight(watermark), midnight(end))
+        result = _load(sound.select(*names), target, state, low, midnight(watermark), midnight(end), versioned)
     finally:
         delete_folder(spark, folder)
     return replace(result, rejected=rejected)

@@ -12,6 +12,7 @@ from millrace.queries import (  # noqa: F401
     scans,
     sinks,
     streams,
+    versioned,
 )
 from millrace.queries.registry import QUERIES
 

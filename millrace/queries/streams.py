@@ -104,7 +104,7 @@ def stream_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     hours = rollup.windowed(events, "ts", "1 hour", ["event_type"], sums, "1 hour")
     for _ in range(2):
         rollup.update_available(hours, target, checkpoint, "ts", ["event_type"]).awaitTermination()
-    return spark.read.parquet(target).select(
+    return rollup.read_slices(spark, hours, target).select(
         F.col("ts").cast("timestamp_ntz").alias("hour"),
         "event_type",
         "n",
@@ -121,8 +121,9 @@ def stream_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, checkpoint = shared_folder(spark, "usage"), shared_folder(spark, "checkpoint")
     log = derive.usage_log(events_stream(spark, sf_dir))
     at, *keys = schemas.USAGE_KEYS
-    rollup.update_available(rollup.usage_rollup(log, "1 hour"), target, checkpoint, at, keys).awaitTermination()
-    return spark.read.parquet(target).drop("day").withColumn(at, F.col(at).cast("timestamp_ntz"))
+    rolled = rollup.usage_rollup(log, "1 hour")
+    rollup.update_available(rolled, target, checkpoint, at, keys).awaitTermination()
+    return rollup.read_slices(spark, rolled, target).withColumn(at, F.col(at).cast("timestamp_ntz"))
 
 
 @query(

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 _UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00", "UTC+0", "GMT+0"}
@@ -55,6 +57,49 @@ def files_below(spark: SparkSession, folder: str) -> set[str]:
     return {f.getPath().getName() for f in files.listStatus(path)} if files.exists(path) else set()
 
 
+def folder_times(spark: SparkSession, pattern: str) -> dict[str, dt.datetime]:
+    """Paths that match a pattern, with the times they were last changed."""
+    files, path = _file_system(spark, pattern)
+    found = files.globStatus(path) or []
+    return {f.getPath().toString(): dt.datetime.fromtimestamp(f.getModificationTime() / 1000, dt.timezone.utc) for f in found}
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    files, path = _file_system(spark, path)
+    stream = files.open(path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def add_file(spark: SparkSession, folder: str, name: str, text: str) -> bool:
+    """Add a small file that is whole from the moment it is seen; false if its name is taken.
+
+    Written under another name, then renamed: of several who try, one succeeds.
+    """
+    files, path = _file_system(spark, folder)
+    files.mkdirs(path)
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    part, whole = hadoop.Path(folder, f".{name}-{uuid.uuid4().hex}"), hadoop.Path(folder, name)
+    stream = files.create(part, False)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+    context = hadoop.FileContext.getFileContext(files.makeQualified(whole).toUri(), conf)
+    modes = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    try:
+        context.rename(files.makeQualified(part), files.makeQualified(whole), modes)
+    except Py4JJavaError as error:
+        files.delete(part, False)
+        if "FileAlreadyExistsException" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path, not yet there, that every executor can reach.
 

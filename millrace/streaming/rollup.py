@@ -5,14 +5,15 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace import schemas
 from millrace.plans import audit
 from millrace.session import delete_folder, shared_folder
-from millrace.sinks.tables import read_table
+from millrace.sinks import versions
 
 
 def windowed(
@@ -41,38 +42,40 @@ def usage_rollup(log: DataFrame, delay: str) -> DataFrame:
     return windowed(audit.minute_rows(log), schemas.USAGE_MINUTE, "1 minute", keys, sums, delay)
 
 
-def update_available(stream: DataFrame, target: str, checkpoint: str, at: str, keys: list[str]) -> StreamingQuery:
-    """Bring a table of slices up to everything available now, open slices included, then stop.
+def update_available(
+    stream: DataFrame, target: str, checkpoint: str, at: str, keys: list[str], writer: str | None = None
+) -> StreamingQuery:
+    """Bring a versioned table of slices up to everything available now, open slices included, then stop.
 
-    The table is partitioned by ``day`` of ``at``. Each micro-batch brings the slices that
-    changed, with their whole sums so far; they replace the same slices, and only the days
-    they lie in are written again. A repeated micro-batch changes nothing.
+    The table is partitioned by ``day`` of ``at``; ``read_slices`` shows it. Each micro-batch
+    brings the slices that changed, with their whole sums so far; they replace the same slices in
+    one commit, and only the days they lie in are written again. A micro-batch that stops
+    before its commit left nothing behind, and one that comes again after it changes nothing:
+    it is known by ``writer``, the checkpoint's path if not said.
     """
+    writer = writer or checkpoint
 
     def replace(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        changed_to, staged = shared_folder(spark, "changed"), shared_folder(spark, "slices")
+        base = versions.commit(spark, target)
+        if base.has(writer, number):
+            # its state may not have been kept, so it is worked out again
+            batch.write.format("noop").mode("overwrite").save()
+            return
+        changed_to = shared_folder(spark, "changed")
         try:
             batch.withColumn("day", F.date_format(at, "yyyy-MM-dd")).write.parquet(changed_to)
             changed = spark.read.parquet(changed_to)
-            if changed.isEmpty():
+            # a row for each day of the batch: no more than the manifest has
+            days = [f"day={row.day}" for row in changed.select("day").distinct().collect()]
+            if not days:
                 return
-            table = read_table(spark, target, changed.schema)
-            # a row for each day and one for each slice of the batch
-            kept = table.join(changed.select("day").distinct(), "day", "left_semi")
+            kept = versions.read(spark, target, changed.schema, base, days)
             same = reduce(and_, [kept[c].eqNullSafe(changed[c]) for c in (at, *keys)])
-            kept = kept.join(changed, same, "left_anti")
-            kept.unionByName(changed).write.parquet(staged)
-            whole = spark.read.schema(changed.schema).parquet(staged)
-            (
-                whole.write.partitionBy("day")
-                .option("partitionOverwriteMode", "dynamic")
-                .mode("overwrite")
-                .parquet(target)
-            )
+            whole = kept.join(changed, same, "left_anti").unionByName(changed)
+            versions.replace_partitions(whole, target, ["day"], base=base, writer=writer, batch=number)
         finally:
             delete_folder(spark, changed_to)
-            delete_folder(spark, staged)
 
     return (
         stream.writeStream.foreachBatch(replace)
@@ -81,3 +84,9 @@ def update_available(stream: DataFrame, target: str, checkpoint: str, at: str, k
         .trigger(availableNow=True)
         .start()
     )
+
+
+def read_slices(spark: SparkSession, stream: DataFrame, target: str) -> DataFrame:
+    """The table that ``update_available`` keeps of this stream, without its ``day``."""
+    day = T.StructField("day", T.StringType())
+    return versions.read(spark, target, T.StructType([*stream.schema.fields, day])).drop("day")

@@ -1,0 +1,143 @@
+import datetime as dt
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from millrace.sinks import versions
+from millrace.streaming import rollup
+
+SCHEMA = T.StructType.fromDDL("k string, v bigint, day string")
+
+
+class Stopped(Exception):
+    """What a crash looks like from here."""
+
+
+def put(spark, target, data, **more):
+    return versions.replace_partitions(spark.createDataFrame(data, SCHEMA), target, ["day"], **more)
+
+
+def test_only_named_days_change(spark, folder):
+    target = folder()
+    assert rows(versions.read(spark, target, SCHEMA)) == []
+    put(spark, target, [("a", 1, "01"), ("b", 2, "02"), (None, 3, None)])
+    second = put(spark, target, [("c", 4, "02")], covered=["day=01", "day=03"], properties={"watermark": "x"})
+    assert rows(versions.read(spark, target, SCHEMA)) == [(None, 3, None), ("c", 4, "02")]
+    assert second.number == 2 and second.rows == 1 and second.properties == {"watermark": "x"}
+    assert rows(versions.read(spark, target, SCHEMA, versions.commit(spark, target, 1))) == [(None, 3, None), ("a", 1, "01"), ("b", 2, "02")]
+    assert versions.set_properties(spark, target, {"y": "z"}).properties == {"watermark": "x", "y": "z"}
+
+
+def test_a_run_that_stops_before_its_commit_leaves_the_table(spark, folder, monkeypatch):
+    target = folder()
+    put(spark, target, [("a", 1, "01")])
+    monkeypatch.setattr(versions, "publish", lambda *a: (_ for _ in ()).throw(Stopped()))
+    with pytest.raises(Stopped):
+        put(spark, target, [("a", 9, "01"), ("b", 9, "02")])
+    monkeypatch.undo()
+    assert rows(versions.read(spark, target, SCHEMA)) == [("a", 1, "01")]
+    put(spark, target, [("a", 2, "01")])
+    assert rows(versions.read(spark, target, SCHEMA)) == [("a", 2, "01")]
+
+
+def test_a_reader_sees_one_commit(spark, folder):
+    target = folder()
+    put(spark, target, [(str(i), i, f"{i % 5:02d}") for i in range(50)])
+    before = versions.read(spark, target, SCHEMA)
+    put(spark, target, [("new", 0, f"{i:02d}") for i in range(5)])
+    assert before.count() == 50 and versions.read(spark, target, SCHEMA).count() == 5
+
+
+def test_a_batch_counts_once(spark, folder):
+    target = folder()
+    for _ in range(2):
+        put(spark, target, [("a", 1, "01")], writer="w", batch=0)
+    put(spark, target, [("a", 2, "01")], writer="other", batch=0)
+    put(spark, target, [("a", 1, "01")], writer="w", batch=0)
+    assert rows(versions.read(spark, target, SCHEMA)) == [("a", 2, "01")]
+    assert versions.numbers(spark, target) == [1, 2]
+
+
+def test_two_writers(spark, folder):
+    """Both start from the same commit: other days go together, the same day does not."""
+    target = folder()
+    put(spark, target, [("a", 1, "01"), ("b", 1, "02")])
+    base = versions.commit(spark, target)
+    put(spark, target, [("a", 2, "01")], base=base)
+    put(spark, target, [("b", 2, "02")], base=base)
+    assert rows(versions.read(spark, target, SCHEMA)) == [("a", 2, "01"), ("b", 2, "02")]
+    with pytest.raises(versions.ConflictError):
+        put(spark, target, [("a", 3, "01")], base=base)
+    assert rows(versions.read(spark, target, SCHEMA)) == [("a", 2, "01"), ("b", 2, "02")]
+
+
+def test_a_number_is_given_once(spark, folder):
+    target = folder()
+    new = versions.Commit(number=1, properties={"x": "1"})
+    assert versions.publish(spark, target, new) and not versions.publish(spark, target, new)
+    assert versions.commit(spark, target) == new
+
+
+def test_vacuum(spark, folder, monkeypatch):
+    target = folder()
+    for i in range(4):
+        put(spark, target, [("a", i, "01"), *([("b", i, "02")] if i == 0 else [])])
+    monkeypatch.setattr(versions, "publish", lambda *a: (_ for _ in ()).throw(Stopped()))
+    with pytest.raises(Stopped):
+        put(spark, target, [("a", 9, "01")])
+    monkeypatch.undo()
+    assert versions.vacuum(spark, target, 1) == 0  # all too young
+    assert versions.vacuum(spark, target, 1, keep=2, older_than=dt.timedelta(seconds=-5)) == 3
+    assert rows(versions.read(spark, target, SCHEMA)) == [("a", 3, "01"), ("b", 0, "02")]
+    assert rows(versions.read(spark, target, SCHEMA, versions.commit(spark, target, 3))) == [("a", 2, "01"), ("b", 0, "02")]
+    assert versions.numbers(spark, target) == [3, 4]
+
+
+BATCHES = [
+    [("a", "2024-01-01T00:10:00", 1), (None, "2024-01-01T23:50:00", 2)],
+    [("a", "2024-01-01T23:55:00", 4), (None, "2024-01-01T23:51:00", 8), ("b", "2024-01-02T01:00:00", 16)],
+    [("a", "2024-01-02T01:30:00", 32)],
+]
+SLICES = [
+    ("2024-01-01 00:00:00", "a", 1),
+    ("2024-01-01 23:00:00", None, 10),
+    ("2024-01-01 23:00:00", "a", 4),
+    ("2024-01-02 01:00:00", "a", 32),
+    ("2024-01-02 01:00:00", "b", 16),
+]
+
+
+@pytest.mark.parametrize("after_commit", [False, True])
+def test_a_stopped_micro_batch_comes_again(spark, folder, monkeypatch, after_commit):
+    """Stopped before its commit, or after it and before the stream knows: each slice is there once."""
+    source, target, checkpoint = folder(), folder(), folder()
+    schema = "k string, ts timestamp_ntz, v bigint"
+    hours = None
+
+    def run():
+        nonlocal hours
+        stream = spark.readStream.schema(schema).parquet(source)
+        hours = rollup.windowed(stream, "ts", "1 hour", ["k"], [F.sum("v").alias("v")], "1 hour")
+        rollup.update_available(hours, target, checkpoint, "ts", ["k"]).awaitTermination()
+
+    real = versions.publish
+
+    def stops(*arguments):
+        if after_commit:
+            real(*arguments)
+        raise Stopped("here")
+
+    for number, batch in enumerate(BATCHES):
+        found = [(k, dt.datetime.fromisoformat(at), v) for k, at, v in batch]
+        spark.createDataFrame(found, schema).coalesce(1).write.mode("append").parquet(source)
+        monkeypatch.setattr(versions, "publish", stops)
+        with pytest.raises(Exception, match="here"):
+            run()
+        monkeypatch.undo()
+        known = rows(rollup.read_slices(spark, hours, target).select("v"))
+        assert bool(known) == (number > 0 or after_commit)
+        run()
+    got = rollup.read_slices(spark, hours, target).select(F.col("ts").cast("string"), "k", "v")
+    assert rows(got) == SLICES
