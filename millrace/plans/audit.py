@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace import schemas
-from millrace.functions import dates, jsontext, text
+from millrace.functions import dates, jsontext, text, variant
 from millrace.operators.nested import first
 from millrace.operators.predicates import between_instants, present_and_nonzero
 from millrace.operators.quality import QualityError
@@ -40,6 +40,27 @@ def json_keys(identity: Column, context: Column) -> dict[str, Column]:
     }
 
 
+def dynamic_keys(identity: Column, context: Column) -> dict[str, Column]:
+    """The same keys from columns that are kept as VARIANT, each by its path."""
+    source = "$.Sources[0]"
+    return {
+        "Roles": text.join_texts(variant.at(identity, "$.effectiveClaims.roles", "array<string>"), ROLE_MARK),
+        "DatasetId": text.text_or_empty(variant.at(context, "$.DatasetId")),
+        "ReportId": text.text_or_empty(variant.at(context, f"{source}.ReportId")),
+        "VisualId": text.text_or_empty(variant.at(context, f"{source}.VisualId")),
+        "ConsumptionMethod": text.text_or_empty(variant.at(context, f"{source}.HostProperties.ConsumptionMethod")),
+        "UserSession": text.text_or_empty(variant.at(context, f"{source}.HostProperties.UserSession")),
+    }
+
+
+def dynamic_log(log: DataFrame) -> DataFrame:
+    """The log with its two JSON columns as VARIANT, unknown keys and malformed texts included.
+
+    To be landed once; ``minute_rows`` reads the paths it needs from it and parses nothing.
+    """
+    return variant.kept_whole(log, schemas.USAGE_DYNAMIC)
+
+
 def timed(log: DataFrame) -> DataFrame:
     """The log with its time as a timestamp, also where it was kept as text."""
     if log.schema["TimeGenerated"].dataType.simpleString() != "string":
@@ -48,16 +69,20 @@ def timed(log: DataFrame) -> DataFrame:
 
 
 def minute_rows(log: DataFrame) -> DataFrame:
-    """Log rows with a CPU time, cut to the minute, with their JSON keys."""
+    """Log rows with a CPU time, cut to the minute, with their JSON keys: from text, or from VARIANT."""
     log = timed(log)
     kind = log.schema["TimeGenerated"].dataType
-    parsed = log.where(present_and_nonzero(F.col("CpuTimeMs"))).withColumns(
-        {
-            "_identity": jsontext.parse(F.col("Identity"), schemas.IDENTITY),
-            "_context": jsontext.parse(F.col("ApplicationContext"), schemas.APPLICATION_CONTEXT),
-        }
-    )
-    keys = json_keys(F.col("_identity"), F.col("_context"))
+    parsed = log.where(present_and_nonzero(F.col("CpuTimeMs")))
+    if isinstance(log.schema["Identity"].dataType, T.VariantType):
+        keys = dynamic_keys(F.col("Identity"), F.col("ApplicationContext"))
+    else:
+        parsed = parsed.withColumns(
+            {
+                "_identity": jsontext.parse(F.col("Identity"), schemas.IDENTITY),
+                "_context": jsontext.parse(F.col("ApplicationContext"), schemas.APPLICATION_CONTEXT),
+            }
+        )
+        keys = json_keys(F.col("_identity"), F.col("_context"))
     return parsed.select(
         dates.truncate(F.col("TimeGenerated"), "minute", kind.simpleString()).alias(
             schemas.USAGE_MINUTE

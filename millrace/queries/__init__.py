@@ -3,6 +3,7 @@
 from millrace.queries import (  # noqa: F401
     aggregates,
     columns,
+    dynamic,
     filters,
     incremental,
     jobs,

@@ -109,6 +109,12 @@ USAGE_ROLLUP = T.StructType(
     ]
 )
 DAY_PARTITIONS = T.StructType([T.StructField(name, STRING) for name in DAY_PARTS])
+#: Columns of the usage log that hold JSON, and the log as it is landed with them as VARIANT.
+USAGE_DYNAMIC = ["Identity", "ApplicationContext"]
+USAGE_LOG_DYNAMIC = T.StructType(
+    [T.StructField(f.name, T.VariantType() if f.name in USAGE_DYNAMIC else f.dataType) for f in USAGE_LOG.fields]
+    + [T.StructField("malformed", T.MapType(STRING, STRING))]
+)
 
 IDENTITY = _struct(effectiveClaims=_struct(roles=T.ArrayType(STRING)))
 APPLICATION_CONTEXT = _struct(
