@@ -9,7 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.predicates import off_day
-from millrace.session import shared_folder
+
+
+#: Keys that are given out as heavy, and keys that their sketch keeps track of.
+HEAVY, TRACKED = 1000, 16384
 
 
 class QualityError(Exception):
@@ -25,9 +28,9 @@ def null_cells(columns: list[str]) -> Column:
 
 
 def quality_report(
-    df: DataFrame, key: list[str], columns: list[str], day: Column, expected_day: Column
+    df: DataFrame, key: list[str], columns: list[str], day: Column, expected_day: Column, *, hot: bool = False
 ) -> DataFrame:
-    """``n_rows, n_dup, n_null, n_offday`` in one row.
+    """``n_rows, n_dup, n_null, n_offday`` in one row; with ``hot`` the heavy keys too.
 
     A null key counts as a value of its own, hence the struct: ``count(DISTINCT c)``
     would skip it. Copies of a key are dropped by each task before the exchange.
@@ -37,6 +40,7 @@ def quality_report(
         (F.count(F.lit(1)) - F.count_distinct(F.struct(*key))).alias("n_dup"),
         F.coalesce(F.sum(null_cells(columns).cast("bigint")), F.lit(0)).alias("n_null"),
         F.count_if(off_day(day, expected_day)).alias("n_offday"),
+        *([heavy(key).alias("hot")] if hot else []),
     )
 
 
@@ -46,6 +50,7 @@ class Gates:
     n_dup: int
     n_null: int
     n_offday: int
+    hot: dict[int, int] | None = None
 
     @property
     def empty(self) -> bool:
@@ -69,7 +74,10 @@ class Gates:
 
 def gates_of(report: DataFrame) -> Gates:
     """The one-row report on the driver."""
-    return Gates(**report.first().asDict())
+    figures = report.first().asDict()
+    if "hot" in figures:
+        figures["hot"] = _counts(figures["hot"])
+    return Gates(**figures)
 
 
 def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
@@ -77,6 +85,35 @@ def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
+def heavy(key: list[str]) -> Column:
+    """Aggregate: hash and row count of the keys that hold the most rows, by a sketch of bounded size.
+
+    It can be taken in the same pass as the other figures. A key with a thousandth of all rows is
+    always there; counts may be off by a five-thousandth of the rows.
+    """
+    return F.call_function("approx_top_k", F.xxhash64(*key), F.lit(HEAVY), F.lit(TRACKED))
+
+
+def heavy_keys(df: DataFrame, key: list[str]) -> dict[int, int]:
+    """The same on the driver: ``HEAVY`` entries at most."""
+    return _counts(df.agg(heavy(key).alias("found")).first().found)
+
+
+def _counts(found: list) -> dict[int, int]:
+    return {row["item"]: row["count"] for row in found}
+
+
+def heavy_counts(df: DataFrame, key: list[str], at_least: int) -> DataFrame:
+    """Keys with that many rows, and their exact count ``n``; at least a thousandth of all rows.
+
+    The sketch names the keys that may be; only their rows are counted.
+    """
+    spark, counts = df.sparkSession, heavy_keys(df, key)
+    named = F.broadcast(spark.createDataFrame([(h,) for h in counts], "_hash bigint"))
+    rows = df.select(*key, F.xxhash64(*key).alias("_hash")).join(named, "_hash", "left_semi")
+    return rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= at_least)
+
+
 def mark_repeated(
     df: DataFrame,
     key: list[str],
@@ -84,29 +121,33 @@ def mark_repeated(
     *,
     name: str = "repeated",
     rows_per_task: int = 1_000_000,
+    hot: dict[int, int] | None = None,
 ) -> DataFrame:
     """Every row, with a flag that tells whether another row has the same key.
 
     A window or a plain join would bring all copies of a key to one task. Here a key with
     more than ``rows_per_task`` copies is spread over several join keys by the input split
-    its rows come from, which is the same when a lost task runs again. Keys are counted once,
-    into a staged table of the repeated ones; fewer than 100,000 can be that hot among
-    ``n_rows`` rows, and whether their list is broadcast is left to its size in bytes.
+    its rows come from, which is the same when a lost task runs again. ``hot`` names such keys
+    before any join (``heavy_keys``, taken here if not given): at most a thousand, whatever the
+    size of the table, so each row finds its spread without an exchange.
     Rows with a null key are not marked: they fail the null gate.
     """
-    per_task = max(rows_per_task, math.ceil(n_rows / 100_000))
-    found = duplicate_keys(df, key).withColumn("_spread", F.ceil(F.col("n") / per_task).cast("int"))
-    folder = shared_folder(df.sparkSession, "repeated-keys")
-    found.write.parquet(folder)
-    counts = df.sparkSession.read.schema(found.schema).parquet(folder)
-    hot = counts.where(F.col("_spread") > 1).select(*key, "_spread")
-    marks = counts.select(
+    spark, per_task = df.sparkSession, max(rows_per_task, math.ceil(n_rows / HEAVY))
+    counts = heavy_keys(df, key) if hot is None else hot
+    spreads = [(h, math.ceil(2 * n / per_task)) for h, n in counts.items() if 2 * n > per_task]
+    # bounded by HEAVY rows of two numbers
+    spread_of = F.broadcast(spark.createDataFrame(spreads, "_hash bigint, _spread int"))
+    hashed = F.xxhash64(*key)
+    found = duplicate_keys(df, key).withColumn("_hash", hashed).join(spread_of, "_hash", "left")
+    marks = found.select(
         *key,
-        F.explode(F.sequence(F.lit(0), F.col("_spread") - 1)).alias("_salt"),
+        F.explode(F.sequence(F.lit(0), F.coalesce("_spread", F.lit(1)) - 1)).alias("_salt"),
         F.lit(True).alias(name),
     )
-    salt = F.coalesce(F.pmod(F.spark_partition_id(), F.col("_spread")), F.lit(0))
-    salted = df.join(hot, key, "left").withColumn("_salt", salt)
+    # the split is told before any join, which would deal the rows out anew
+    split = df.withColumns({"_split": F.spark_partition_id(), "_hash": hashed})
+    salt = F.coalesce(F.pmod("_split", "_spread"), F.lit(0))
+    salted = split.join(spread_of, "_hash", "left").withColumn("_salt", salt)
     marked = salted.join(marks, [*key, "_salt"], "left")
     return marked.select(*df.columns, F.coalesce(name, F.lit(False)).alias(name))
 

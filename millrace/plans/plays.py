@@ -76,7 +76,7 @@ def play_day() -> Column:
 
 def report(plays: DataFrame, expected_day: dt.date) -> DataFrame:
     return quality.quality_report(
-        plays, KEY, schemas.PLAY_COLUMNS, play_day(), F.lit(expected_day)
+        plays, KEY, schemas.PLAY_COLUMNS, play_day(), F.lit(expected_day), hot=True
     )
 
 
@@ -130,7 +130,7 @@ def run(
         if strict:
             gates.enforce()
         elif gates.violations():
-            rows, n_faulty = _set_aside(rows, expected_day, f"{quarantine}/run={run_ts:%Y%m%dT%H%M%S}", n_rows)
+            rows, n_faulty = _set_aside(rows, expected_day, f"{quarantine}/run={run_ts:%Y%m%dT%H%M%S}", n_rows, gates.hot)
             rejected += n_faulty
         n = write_snapshot(rows, snapshot)
         if history is not None:
@@ -141,10 +141,10 @@ def run(
 
 
 def _set_aside(
-    rows: DataFrame, expected_day: dt.date, folder: str, n_rows: int
+    rows: DataFrame, expected_day: dt.date, folder: str, n_rows: int, hot: dict[int, int] | None
 ) -> tuple[DataFrame, int]:
     fault = quality.faults(schemas.PLAY_COLUMNS, play_day(), F.lit(expected_day))
-    sound = quality.mark_repeated(rows.where(fault == ""), KEY, n_rows)
+    sound = quality.mark_repeated(rows.where(fault == ""), KEY, n_rows, hot=hot)
     faulty = rows.withColumn("reason", fault).where("reason <> ''")
     repeated = sound.where("repeated").select(
         *schemas.PLAY_COLUMNS, F.lit("repeated key").alias("reason")

@@ -81,6 +81,19 @@ def repeated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.where("repeated").drop("repeated")
 
 
+@query(
+    "DQ2 AGG3",
+    """
+    SELECT event_type, user_id, count(*) AS n FROM events GROUP BY ALL
+    HAVING count(*) >= (SELECT count(*) // 700 FROM events)
+    """,
+)
+def heavy_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys with more than one row in 700, named by a sketch and then counted."""
+    events = table(spark, sf_dir, "events")
+    return ops.heavy_counts(events, ["event_type", "user_id"], events.count() // 700)
+
+
 @query(
     "DQ3 DQ4",
     f"""

@@ -178,6 +178,30 @@ def test_hot_key_is_spread_over_tasks(spark):
     assert marked.where("repeated").count() == 1000
 
 
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_a_hot_key_is_spread_at_every_broadcast_threshold(spark, threshold):
+    """One key of 200,000 rows: no task of the result holds much more than its share."""
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        df = spark.range(0, 200_000, 1, 32).select(F.when(F.col("id") % 10 > 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
+        marked = quality.mark_repeated(df, ["k"], 200_000, rows_per_task=10_000)
+        sizes = [r["count"] for r in marked.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 200_000 and max(sizes) <= 5 * 6250
+        assert marked.where("repeated").count() == 180_000
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+
+
+def test_heavy_keys(spark):
+    data = spark.range(0, 100_000, 1, 8).select(F.when(F.col("id") % 5 == 0, "a").when(F.col("id") % 200 == 1, "b").otherwise(F.col("id").cast("string")).alias("k"))
+    assert rows(quality.heavy_counts(data, ["k"], 500)) == [("a", 20_000), ("b", 500)]
+    assert rows(quality.heavy_counts(data.limit(0), ["k"], 1)) == []
+
+
 def test_one_per_key_is_the_same_whatever_the_order(spark):
     data = [(1, "b", None), (1, "a", 5), (2, None, 1), (2, "z", 0), (3, "q", None)]
     want = [(1, "a", 5), (2, None, 1), (3, "q", None)]
