@@ -13,7 +13,7 @@ from millrace.queries import derive
 from millrace.queries.jobs import HOURLY_SQL, hourly_replies
 from millrace.queries.registry import query, table
 from millrace.session import shared_folder
-from millrace.sinks import versions
+from millrace.sinks import reload, sums, versions
 from millrace.streaming import late, prefix
 
 UTC = dt.timezone.utc
@@ -144,3 +144,77 @@ def stream_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix.read_released(spark, target).select(
         hour, F.col("CpuTimeMs").alias("cpu"), F.col("DurationMs").alias("duration"), "since"
     )
+
+
+@query(
+    "AGG1 INC4 INC6 SNK1 WIN2",
+    """
+    SELECT seen, date_trunc('hour', ts) AS hour, event_type, count(*) AS n,
+        CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total
+    FROM events, (VALUES ('deltas'), ('compacted'), ('late')) AS s(seen)
+    WHERE seen = 'late' OR event_id % 5 <> 0 GROUP BY ALL
+    """,
+)
+def merged_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly sums from four deltas, the same after compaction, and with late rows added to it."""
+    target, events = shared_folder(spark, "sums"), table(spark, sf_dir, "events")
+    rows = events.select(
+        "event_id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"), "event_type",
+        F.lit(1).cast("long").alias("n"), F.col("value").cast("decimal(18,2)").cast("decimal(28,2)").alias("total"),
+    )
+    schema, names = rows.drop("event_id").schema, ["n", "total"]
+
+    def add(batch: int) -> None:
+        found = rows.where(F.col("event_id") % 5 == batch).drop("event_id")
+        sums.add_delta(found, target, "hour", ["event_type"], names, writer="hours", batch=5 - batch)
+
+    def seen(label: str) -> DataFrame:
+        return sums.read_sums(spark, target, schema, names).withColumn("seen", F.lit(label))
+
+    for batch in (4, 3, 2, 1, 1):
+        add(batch)
+    views = [seen("deltas")]
+    sums.compact(spark, target, schema, names)
+    views.append(seen("compacted"))
+    add(0)
+    views.append(seen("late"))
+    return views[0].unionByName(views[1]).unionByName(views[2])
+
+
+@query(
+    "INC9 SNK4",
+    """
+    WITH old AS (SELECT event_id, user_id, CAST(value AS DECIMAL(18,2)) AS value, strftime(ts, '%Y-%m-%d') AS day
+        FROM events WHERE CAST(ts AS DATE) <> DATE '2024-01-09'),
+    new AS (SELECT event_id, user_id, CAST(value AS DECIMAL(18,2))
+            + CASE WHEN CAST(ts AS DATE) = DATE '2024-01-05' AND event_id % 2 = 0 THEN 1 ELSE 0 END AS value,
+            strftime(ts, '%Y-%m-%d') AS day
+        FROM events WHERE CAST(ts AS DATE) <> DATE '2024-01-07' AND (CAST(ts AS DATE) <> DATE '2024-01-05' OR event_id % 3 > 0)),
+    differ AS (
+        SELECT event_id, user_id, value, day, CAST(sum(n) AS BIGINT) AS n
+        FROM (SELECT *, -1 AS n FROM old UNION ALL SELECT *, 1 AS n FROM new) GROUP BY ALL HAVING sum(n) <> 0)
+    SELECT CASE WHEN min(n) OVER w > 0 THEN 'added' WHEN max(n) OVER w < 0 THEN 'removed' ELSE 'changed' END AS change,
+        n, event_id, user_id, CAST(value AS DECIMAL(20,2)) AS value, day, 3 AS days
+    FROM differ WINDOW w AS (PARTITION BY event_id)
+    """,
+)
+def reload_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full reload in which one day changed, one went and one is new: its table of changes, and
+    how many days were written. A third reload of the same rows writes nothing."""
+    target, events = shared_folder(spark, "reload"), table(spark, sf_dir, "events")
+    day, value = F.date_format("ts", "yyyy-MM-dd"), F.col("value").cast("decimal(18,2)")
+
+    def rows(kept: str, more: str) -> DataFrame:
+        changed = (value + F.when(F.expr(more), 1).otherwise(0)).cast("decimal(20,2)")
+        return events.withColumn("day", day).where(kept).select("event_id", "user_id", changed.alias("value"), "day")
+
+    old = rows("day <> '2024-01-09'", "false")
+    new = rows("day <> '2024-01-07' AND (day <> '2024-01-05' OR event_id % 3 > 0)", "day = '2024-01-05' AND event_id % 2 = 0")
+    reload.reload_partitions(old, target, "day")
+    found = reload.reload_partitions(new, target, "day")
+    again = reload.reload_partitions(new, target, "day")
+    written = [p for p in found.after.partitions if found.before.partitions.get(p) != found.after.partitions[p]]
+    days = len(found.partitions) if not again.partitions else -1
+    if not set(written) <= set(found.partitions):
+        days = -1
+    return reload.changes(new, target, ["event_id"], found).withColumn("days", F.lit(days))
