@@ -116,3 +116,22 @@ def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A five-row preview in a stated order."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     return orders.orderBy(F.desc("o_orderdate"), "o_orderkey").limit(5)
+
+
+@query(
+    "SNK5 JOI1",
+    """
+    SELECT md5(CAST(event_id AS VARCHAR)) AS event_key, user_id, event_id % 1000 = 7 AS late FROM events
+    UNION ALL SELECT 'new' || event_id, user_id, true FROM events WHERE event_id % 1000 = 7
+    """,
+)
+def random_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A history of random keys, to which a few rows come, half of them known: they are looked up
+    by literals and Bloom filters, and nothing of the history is moved."""
+    folder, events = shared_folder(spark, "history"), table(spark, sf_dir, "events")
+    key, late = F.md5(F.col("event_id").cast("string")), F.expr("event_id % 1000 = 7")
+    known = events.select(key.alias("event_key"), "user_id", late.alias("late"))
+    new = events.where(late).select(F.concat(F.lit("new"), "event_id").alias("event_key"), "user_id", F.lit(True).alias("late"))
+    tables.append_new(known, folder, ["event_key"])
+    tables.append_new(new.unionByName(known.where("late")), folder, ["event_key"])
+    return tables.read_table(spark, folder, known.schema)

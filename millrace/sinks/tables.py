@@ -9,8 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace import schemas
-from millrace.operators.keyed import new_rows
-from millrace.session import delete_folder, files_below, folder_exists
+from millrace.operators.keyed import one_per_key
+from millrace.session import delete_folder, files_below, folder_exists, shared_folder
+
+
+#: Incoming keys that are looked up as literals, and types that have Bloom filters.
+LITERALS = 64
+BLOOM_KINDS = (T.StringType, T.IntegerType, T.LongType)
 
 
 def count_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -88,20 +93,56 @@ def read_table(spark: SparkSession, folder: str, schema: T.StructType) -> DataFr
 def append_new(df: DataFrame, folder: str, key: list[str], part: str | None = None) -> int:
     """Append the rows whose key the table lacks; returns how many.
 
-    The table is read for its keys only, within the range of incoming keys: the bounds are
-    literals, so Parquet statistics skip what lies outside. With ``part``, a column that
+    Incoming keys are written down first, so that their number and size are known. The table is
+    read for its keys only, within the range of incoming keys: the bounds are literals, so
+    Parquet statistics skip what lies outside; a few keys are literals themselves, and Bloom
+    filters in the files skip row groups that hold none of them, however random the keys. What
+    is read meets the incoming keys in a semi join, which moves none of the table's keys where
+    the incoming ones are small enough to be sent around. With ``part``, a column that
     follows from the key, the table is partitioned by it, and other partitions stay closed.
     Two appends to one table at the same time do not see each other's keys: run one at a time.
     """
-    table = read_table(df.sparkSession, folder, df.schema)
-    bounded = [key[0], *([part] if part else [])]
+    spark, staged = df.sparkSession, shared_folder(df.sparkSession, "incoming-keys")
+    bounded = list(dict.fromkeys([*key, *([part] if part else [])]))
+    try:
+        keyed = df
+        for name in key:
+            keyed = keyed.where(F.col(name).isNotNull())
+        keyed.select(*bounded).distinct().write.parquet(staged)
+        keys = spark.read.schema(df.select(*bounded).schema).parquet(staged)
+        table = near_keys(read_table(spark, folder, df.schema), keys, key, part)
+        known = table.select(*key).join(keys, key, "left_semi").distinct()
+        fresh = keys.select(*key).distinct().join(known, key, "left_anti")
+        rows, seen = count_rows(one_per_key(keyed.join(fresh, key, "left_semi"), key), "appended")
+        writer = rows.write.mode("append").options(**bloom_options(df.schema, key))
+        (writer.partitionBy(part) if part else writer).parquet(folder)
+    finally:
+        delete_folder(spark, staged)
+    return counted(seen)
+
+
+def near_keys(table: DataFrame, keys: DataFrame, key: list[str], part: str | None = None) -> DataFrame:
+    """The rows of a table that statistics, Bloom filters and folders cannot tell from those of the keys."""
     # as text: a zone-free time would become one of the session's zone on its way to the driver
-    edges = df.agg(*[edge(c).cast("string") for c in bounded for edge in (F.min, F.max)]).first()
+    bounded = [key[0], *([part] if part else [])]
+    figures = [edge(c).cast("string") for c in bounded for edge in (F.min, F.max)]
+    n, *edges = keys.agg(F.count(F.lit(1)), *figures).first()
     for name, low, high in zip(bounded, edges[::2], edges[1::2]):
         if low is not None:
-            kind = df.schema[name].dataType
+            kind = keys.schema[name].dataType
             table = table.where(F.col(name).between(F.lit(low).cast(kind), F.lit(high).cast(kind)))
-    rows, seen = count_rows(new_rows(df, table, key), "appended")
-    writer = rows.write.mode("append")
-    (writer.partitionBy(part) if part else writer).parquet(folder)
-    return counted(seen)
+    if 0 < n <= LITERALS and isinstance(keys.schema[key[0]].dataType, BLOOM_KINDS):
+        values = sorted(r[0] for r in keys.select(key[0]).distinct().collect())
+        table = table.where(F.col(key[0]).isin(values))
+    return table
+
+
+def bloom_options(schema: T.StructType, key: list[str]) -> dict[str, str]:
+    """Writer options for a Bloom filter on the first key column, in each row group."""
+    if not isinstance(schema[key[0]].dataType, BLOOM_KINDS):
+        return {}
+    return {
+        f"parquet.bloom.filter.enabled#{key[0]}": "true",
+        f"parquet.bloom.filter.fpp#{key[0]}": "0.001",
+        "parquet.bloom.filter.adaptive.enabled": "true",
+    }

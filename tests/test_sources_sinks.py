@@ -248,3 +248,39 @@ def test_a_broken_table_is_not_taken_for_an_absent_one(spark, tmp_path):
     (tmp_path / "x.parquet").write_text("junk")
     with pytest.raises((PySparkException, Py4JJavaError)):
         tables.read_table(spark, str(tmp_path), DAYS).collect()
+
+
+def scanned(df):
+    """Rows that the scan of an executed plan without exchanges gave out."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+@pytest.mark.parametrize("kind", ["string", "bigint"])
+def test_random_keys_are_looked_up_in_few_row_groups(spark, folder, kind):
+    """Twenty files of random keys: statistics skip none of them, Bloom filters nearly all."""
+    where = folder()
+    key = F.sha2(F.col("id").cast("string"), 256) if kind == "string" else F.xxhash64("id")
+    rows_ = spark.range(0, 100_000, 1, 20).select(key.cast(kind).alias("k"), "id")
+    rows_.repartition(20).write.options(**tables.bloom_options(rows_.schema, ["k"])).parquet(where)
+    table = tables.read_table(spark, where, rows_.schema)
+    assert table.count() == 100_000
+    wanted = rows_.where("id IN (17, 4711)").unionByName(spark.range(200_000, 200_001).select(key.cast(kind).alias("k"), "id"))
+    found = tables.near_keys(table, wanted.select("k"), ["k"])
+    assert 2 <= scanned(found) <= 15_100
+    assert scanned(table) == 100_000
+    assert tables.append_new(wanted, where, ["k"]) == 1
+    assert tables.append_new(rows_, where, ["k"]) == 0
+
+
+def test_incoming_keys_go_to_the_table(spark, folder):
+    """The table's keys meet a small set of keys where they are: only matches are moved."""
+    where = folder()
+    rows_ = spark.range(0, 50_000, 1, 4).select(F.sha2(F.col("id").cast("string"), 256).alias("k"), "id")
+    tables.append_new(rows_, where, ["k"])
+    keys = folder()
+    rows_.where("id % 100 = 0").select("k").write.parquet(keys)
+    keys = spark.read.parquet(keys)
+    table = tables.near_keys(tables.read_table(spark, where, rows_.schema), keys, ["k"])
+    assert "BroadcastHashJoin" in formatted(table.select("k").join(keys, ["k"], "left_semi"))
