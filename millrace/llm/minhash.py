@@ -7,10 +7,12 @@ makes the estimate less variable than with independent ranks. A step later than
 that stands cannot change anything, so a document stops there: long ones after one step.
 
 Equal sets are one node. Nodes that agree in a whole band meet in a bucket. Pairs are never
-listed there: each member is compared with the two pivots of its bucket, the smallest and the
-largest node, which most buckets of one group share. Only buckets that still hold several
-classes are compared on: their members outside the largest class with all those of another
-class, in blocks of a bounded size. Every link is confirmed on the full sets.
+listed there: each member is compared with one pivot of its bucket, the member that meets most
+others in all its buckets, which is close to what a group of copies was made from. Nodes of
+buckets that still hold several classes are compared on, by a prefix filter that loses no
+pair: of two similar sets, the rarest elements of the one and of the other share one, if as
+many are taken as may be missing. So a copy with too many changes of its own meets nobody.
+Every link is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -32,6 +34,10 @@ WORDS, PERCENT = 5, 85
 BANDS, PLACES = 24, 5
 #: Members that one block compares with as many; pairs that one copy of a pivot's set meets.
 BLOCK = 2048
+#: Nodes whose ids and keys, some 64 bytes each, are sent to every task.
+BROADCAST = 1 << 17
+#: Sizes of sets whose ratio is below this are one class of sizes.
+SIZES = 1.03
 #: Shingles whose offers are made at once.
 AT_ONCE = 1 << 15
 
@@ -122,17 +128,6 @@ def _sketch(words: int, bands: int, places: int) -> Column:
     return sketch
 
 
-def _set_column(words: int) -> Column:
-    @F.arrow_udf("struct<key: binary, hashes: binary>")
-    def sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            found = [shingle_set(t.as_py(), words) for t in texts]
-            keys = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in found], pa.binary())
-            yield pa.StructArray.from_arrays([keys, pa.array([s.tobytes() for s in found], pa.binary())], ["key", "hashes"])
-
-    return sets
-
-
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """Whether two sorted sets have that similarity, in whole numbers."""
     low, high = sorted((len(a), len(b)))
@@ -160,6 +155,7 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int, block: int) -> DataF
     hot = hot.select("b", F.ceil(F.col("n") / block).cast("int").alias("copies"))
     part = F.coalesce(F.pmod(F.xxhash64("a"), F.col("copies")), F.lit(0)).cast("int").alias("part")
     pairs = pairs.join(hot, "b", "left").select("a", "b", part)
+    sets = sets.select("node", "hashes")
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("left")), "a")
     parts = F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1)
     right = sets.withColumnRenamed("node", "b").join(hot, "b", "left").select("b", F.col("hashes").alias("right"), F.explode(parts).alias("part"))
@@ -167,6 +163,95 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int, block: int) -> DataF
     return staged(found.where(_confirmed(percent)("left", "right")).select("a", "b"), "links")
 
 
+def _sets(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """``node, n, hashes`` of the wanted nodes, from the text of the row that they are named after."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, found = [], []
+            for node, key, text in zip(*batch.columns, strict=True):
+                hashes = shingle_set(text.as_py(), words)
+                # other rows may have the same id
+                if xxhash.xxh3_128_digest(hashes.tobytes()) == key.as_py():
+                    nodes.append(node.as_py())
+                    found.append(hashes)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes, pa.int64()), pa.array([len(h) for h in found], pa.int64()), pa.array([h.tobytes() for h in found], pa.binary())], ["node", "n", "hashes"]
+            )
+
+    wanted = staged(wanted.select("node", "key", F.col("first").alias("doc_id")), "wanted")
+    # few enough to go to every task: then no text is moved
+    few = F.broadcast(wanted) if wanted.count() <= BROADCAST else wanted
+    found = rows.join(few, "doc_id").select("node", "key", "text").mapInArrow(sets, "node long, n long, hashes binary")
+    return staged(found.dropDuplicates(["node"]), "sets")
+
+
+def _overlap(n: Column, m: Column, percent: int) -> Column:
+    """Elements that similar sets of these sizes share at least."""
+    return F.ceil(percent * (n + m) / (100 + percent))
+
+
+def _prefixes(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``key, side, node, class, n, place``: where nodes that may be similar meet, for all such pairs.
+
+    So in any order of all elements, the first common one of two similar sets is at a place that
+    leaves as many as they must share, in the one as in the other. Rare elements come first; those
+    that one node alone has count for its places and meet nobody. Sizes go by classes, as more
+    have to be taken for partners of other sizes: a key is for one pair of classes, and its sides
+    are the two (2 where both are the same).
+    """
+
+    def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, hashes in zip(*batch.columns, strict=True):
+                found = np.frombuffer(hashes.as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), node.as_py(), np.int64)), pa.array(found)], ["node", "element"])
+
+    given = rest.join(sets, "node").select("node", "hashes").mapInArrow(elements, "node long, element long")
+    given = staged(given, "elements")
+    shared = given.groupBy("element").agg(F.count("*").alias("times")).where("times > 1")
+    known = given.join(shared, "element").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("times", "element"))).alias("common"))
+    known = known.join(rest, "node").join(sets.select("node", "n"), "node")
+
+    def size_class(size: Column) -> Column:
+        return F.floor(F.log(size) / np.log(SIZES)).cast("int")
+
+    own, n = size_class(F.col("n")), F.col("n")
+    lowest, highest = size_class(F.ceil(n * percent / 100)), size_class(F.floor(n * 100 / percent))
+    known = known.select("*", own.alias("own"), (n - F.size("common")).alias("alone"), F.explode(F.sequence(lowest, highest)).alias("other"))
+    # the smallest partner of its class; a hair less, as powers are rounded
+    least = F.greatest(F.ceil(F.pow(F.lit(SIZES), F.col("other")) * (1 - 1e-9)), F.ceil(n * percent / 100))
+    taken = (n - _overlap(n, least, percent) + 1 - F.col("alone")).cast("int")
+    known = known.where(taken > 0).select("node", "class", "n", "own", "other", "alone", F.posexplode(F.slice("common", F.lit(1), taken)).alias("at", "e"))
+    side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
+    key = F.xxhash64("e.element", F.least("own", "other"), F.greatest("own", "other"))
+    return known.select(key.alias("key"), side.alias("side"), "node", "class", "n", (F.col("alone") + F.col("at")).alias("place"))
+
+
+def _across(rows: DataFrame, percent: int, block: int) -> DataFrame:
+    """Pairs that meet on two sides of a key, from two classes: rows outside its largest class with all others.
+
+    A pair may come out several times. It is left out where its elements behind the place are too few.
+    """
+    rows = staged(rows, "meeting")
+    sizes = rows.groupBy("key", "class").agg(F.count("*").alias("n"), F.min("side").alias("low"), F.max("side").alias("high"))
+    mixed = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "class")).alias("main"), F.min("low").alias("low"), F.max("high").alias("high"))
+    mixed = mixed.where((F.col("n") > F.col("main.n")) & ((F.col("low") < F.col("high")) | (F.col("low") == 2)))
+    all_blocks, own_blocks = F.ceil(F.col("n") / block).cast("long"), F.ceil((F.col("n") - F.col("main.n")) / block).cast("long")
+    mixed = mixed.select("key", F.col("main.class").alias("main"), all_blocks.alias("all_blocks"), own_blocks.alias("own_blocks"))
+    rows = rows.join(mixed, "key")
+    own, other = F.pmod(F.xxhash64("node"), F.col("own_blocks")), F.pmod(F.xxhash64("node"), F.col("all_blocks"))
+    facing = F.when(F.col("side") == 2, 2).otherwise(1 - F.col("side")).alias("side")
+    left = rows.where(F.col("class") != F.col("main")).select(
+        "key", facing, F.col("node").alias("a"), F.col("class").alias("c"), F.col("n").alias("s"), F.col("place").alias("p"), own.alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("all_blocks") - 1)).alias("j")
+    )
+    right = rows.select(
+        "key", "side", F.col("node").alias("b"), F.col("class").alias("d"), F.col("n").alias("t"), F.col("place").alias("q"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("own_blocks") - 1)).alias("i"), other.alias("j")
+    )
+    enough = F.least(F.col("s") - F.col("p"), F.col("t") - F.col("q")) >= _overlap(F.col("s"), F.col("t"), percent)
+    return left.join(right, ["key", "side", "i", "j"]).where((F.col("c") != F.col("d")) & enough).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 def near_duplicates(
     df: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, places: int = PLACES, block: int = BLOCK
 ) -> DataFrame:
@@ -188,29 +273,21 @@ def near_duplicates(
     nodes = known.groupBy("key").agg(F.min("doc_id").alias("first"), F.any_value("n").alias("n"), F.any_value("bands").alias("bands"))
     nodes = staged(nodes.select(F.monotonically_increasing_id().alias("node"), "key", "first", "n", "bands"), "nodes")
     listed = nodes.select("node", F.explode("bands").alias("bucket"))
-    buckets = listed.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("low"), F.max("node").alias("high")).where("size > 1")
+    buckets = listed.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     members = staged(listed.join(buckets, "bucket"), "members")
-    met = members.select("node").distinct().join(nodes, "node").select("node", "key", F.col("first").alias("doc_id"))
-    texts = rows.join(met, "doc_id").select("node", F.col("key").alias("wanted"), _set_column(words)("text").alias("s"))
-    sets = texts.where(F.col("s.key") == F.col("wanted")).select("node", F.col("s.hashes").alias("hashes"))
-    sets = staged(sets.dropDuplicates(["node"]), "sets")
+    sets = _sets(rows, nodes.join(members.select("node").distinct(), "node"), words)
     # a. members against the pivots of their buckets
-    pairs = members.select(F.col("node").alias("a"), F.col("low").alias("b")).union(members.where("size > 2").select("node", "high")).where("a <> b")
-    linked = _links(pairs, sets, percent, block)
-    classes = components(linked)
-    # b. buckets that still hold several classes; of three members all pairs were compared
-    named = members.where("size > 3").select("bucket", "node").join(classes, "node", "left")
-    named = staged(named.select("bucket", "node", F.coalesce("root", "node").alias("class")), "named")
-    sizes = named.groupBy("bucket", "class").agg(F.count("*").alias("n"))
-    mixed = sizes.groupBy("bucket").agg(F.sum("n").alias("n"), F.max(F.struct("n", "class")).alias("main")).where(F.col("n") > F.col("main.n"))
-    all_blocks, own_blocks = F.ceil(F.col("n") / block).cast("int"), F.ceil((F.col("n") - F.col("main.n")) / block).cast("int")
-    mixed = mixed.select("bucket", F.col("main.class").alias("main"), all_blocks.alias("all_blocks"), own_blocks.alias("own_blocks"))
-    rest = named.join(mixed, "bucket").join(nodes.select("node", F.col("n").alias("size")), "node")
-    own, other = F.pmod(F.xxhash64("node"), F.col("own_blocks")), F.pmod(F.xxhash64("node"), F.col("all_blocks"))
-    left = rest.where(F.col("class") != F.col("main")).select("bucket", F.col("node").alias("a"), F.col("class").alias("c"), F.col("size").alias("s"), own.alias("i"), F.explode(F.sequence(F.lit(0), F.col("all_blocks") - 1)).alias("j"))
-    right = rest.select("bucket", F.col("node").alias("b"), F.col("class").alias("d"), F.col("size").alias("t"), F.explode(F.sequence(F.lit(0), F.col("own_blocks") - 1)).alias("i"), other.alias("j"))
-    alike = (F.col("c") != F.col("d")) & (100 * F.least("s", "t") >= percent * F.greatest("s", "t"))
-    more = left.join(right, ["bucket", "i", "j"]).where(alike).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    weights = members.groupBy("node").agg(F.sum("size").alias("weight"))
+    weighed = members.join(weights, "node")
+    pivots = weighed.groupBy("bucket").agg(F.max_by("node", F.col("weight") * 4096 + F.pmod(F.xxhash64("node"), F.lit(4096))).alias("pivot"))
+    pairs = members.join(pivots, "bucket").where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+    classes = components(_links(pairs, sets, percent, block))
+    # b. buckets that still hold several classes; a bucket of two was compared in full
+    named = members.where("size > 2").select("bucket", "node").join(classes, "node", "left")
+    named = named.select("bucket", "node", F.coalesce("root", "node").alias("class"))
+    mixed = named.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
+    rest = staged(named.join(mixed, "bucket", "left_semi").select("node", "class").distinct(), "rest")
+    more = _across(_prefixes(rest, sets, percent), percent, block)
     classes = components(classes.select(F.col("node").alias("a"), F.col("root").alias("b")).union(_links(more, sets, percent, block)))
     rooted = nodes.join(classes, "node", "left").select("key", "first", F.coalesce("root", "node").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))

@@ -120,3 +120,27 @@ def test_bands_find_similar_sets():
         keys = minhash.band_keys(minhash.signatures([items[:200], items[15:]], minhash.BANDS * minhash.PLACES), minhash.BANDS)
         found += (keys[0] == keys[1]).any()
     assert found == 300
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_the_prefix_filter_loses_no_pair(spark, seed):
+    """All pairs at or above the threshold among sets of many sizes, each a class of its own."""
+    chosen, sets = random.Random(seed), []
+    for size in (4, 5, 20, 41, 90):
+        base = chosen.sample(range(1 << 40), size)
+        for _ in range(25):
+            changed = set(base) - set(chosen.sample(base, chosen.randrange(1 + size // 6)))
+            sets.append(np.array(sorted(changed | {chosen.randrange(1 << 40) for _ in range(chosen.randrange(1 + size // 8))}), np.uint64))
+    frame_ = spark.createDataFrame([(i, len(s), bytearray(s.tobytes())) for i, s in enumerate(sets)], "node long, n long, hashes binary")
+    rest = frame_.selectExpr("node", "node AS class")
+    got = {(r.a, r.b) for r in minhash._across(minhash._prefixes(rest, frame_, 85), 85, 7).collect()}
+    want = {(i, j) for j in range(len(sets)) for i in range(j) if minhash.similar(sets[i], sets[j], 85)}
+    assert want and want <= got and len(got) < len(sets) ** 2 / 4
+
+
+def test_changed_copies_do_not_meet(spark):
+    """Copies of one text, each with more changes of its own than may be: no pair is compared."""
+    base = list(range(100))
+    sets = [np.array(sorted(base[: 100 - 20] + [1000 * (i + 1) + k for k in range(20)]), np.uint64) for i in range(200)]
+    frame_ = spark.createDataFrame([(i, len(s), bytearray(s.tobytes())) for i, s in enumerate(sets)], "node long, n long, hashes binary")
+    assert minhash._prefixes(frame_.selectExpr("node", "node AS class"), frame_, 85).count() == 0
