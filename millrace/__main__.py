@@ -82,6 +82,7 @@ def parser() -> argparse.ArgumentParser:
     land.add_argument("--state", required=True)
     land.add_argument("--pattern", default=None)
     land.add_argument("--max-files", type=int, default=None)
+    land.add_argument("--addressed", action="store_true", help="store each content once, under its SHA-256")
     return main
 
 
@@ -149,7 +150,7 @@ def run(spark: SparkSession, options: argparse.Namespace) -> RunResult:
             parts=schemas.DAY_PARTS if o.by_day else None,
         )
     return landing.run(
-        spark, o.folder, o.target, o.state, run_ts, pattern=o.pattern, max_files=o.max_files
+        spark, o.folder, o.target, o.state, run_ts, pattern=o.pattern, max_files=o.max_files, addressed=o.addressed
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.dates import literal
 from millrace.plans.result import INCOMPLETE, LOADED, NO_DATA, RunResult
+from millrace.sinks import contents
 from millrace.sinks.landing import land_files
 from millrace.sinks.state import publish_watermark
 from millrace.sources import files as source
@@ -40,11 +41,13 @@ def run(
     *,
     pattern: str | None = None,
     max_files: int | None = None,
+    addressed: bool = False,
 ) -> RunResult:
     """List, land, compare counts, then move the watermark to the newest landed file.
 
     Files longer than the session's ``spark.sql.sources.binaryFile.maxLength`` cannot be read
-    as one row: they are counted as rejected, and the others land.
+    as one row: they are counted as rejected, and the others land. ``addressed`` stores each
+    content once, under its digest.
     """
     watermark = read_watermark(spark, state, form="text", default=DEFAULT)
     files = source.read_files(spark, folder, pattern)
@@ -64,7 +67,7 @@ def run(
     )
     if listed == 0:
         return RunResult(NO_DATA, rejected=rejected)
-    landed = land_files(due, target, run_ts)
+    landed = (contents.land if addressed else land_files)(due, target, run_ts)
     if landed != listed:
         return RunResult(INCOMPLETE, rows=landed, rejected=rejected)
     moved = dt.datetime.fromtimestamp(newest, dt.timezone.utc)

@@ -13,7 +13,7 @@ from millrace.queries import derive
 from millrace.queries.registry import query, table
 from millrace.queries.scans import event_files
 from millrace.session import shared_folder
-from millrace.sinks import tables
+from millrace.sinks import contents, tables
 from millrace.sinks.landing import latest_landed, read_landed
 
 UTC = dt.timezone.utc
@@ -267,3 +267,45 @@ def landing_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .agg(F.sum(n_lines).alias("n_lines"), F.sum("length").alias("n_bytes"))
     )
+
+
+@query(
+    "SNK3 SRC7 SRC6 INC7 DQ5 AGG6",
+    f"""
+    SELECT strftime(ts, '%Y-%m-%d') AS day, f.folder, count(*) AS n_lines,
+        CAST(sum(octet_length(encode({derive.EVENT_LINE_SQL})) + 1) AS BIGINT) AS n_bytes,
+        (SELECT count(DISTINCT CAST(ts AS DATE)) + 1 FROM events) AS n_contents
+    FROM events, (VALUES ('a'), ('b')) AS f(folder)
+    WHERE f.folder = 'a' OR CAST(ts AS DATE) < DATE '2024-01-11' GROUP BY ALL
+    """,
+)
+def landing_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two folders that share their first ten days, landed by three runs, of which the second finds
+    one file changed and the third changed back: each content is stored once."""
+    events, folder = table(spark, sf_dir, "events"), shared_folder(spark, "files")
+    target, state = shared_folder(spark, "landed"), shared_folder(spark, "landed-state")
+    line = F.concat_ws(";", "event_id", "user_id", "event_type", "props").alias("value")
+
+    def write(rows: DataFrame, name: str) -> None:
+        days = rows.select(line, "event_id", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+        days = days.repartition("day").sortWithinPartitions("day", "event_id").drop("event_id")
+        days.write.partitionBy("day").mode("overwrite").option("partitionOverwriteMode", "dynamic").text(f"{folder}/{name}")
+
+    one = events.where("CAST(ts AS DATE) = DATE '2024-01-05'")
+    write(events, "a")
+    write(events.where("CAST(ts AS DATE) < DATE '2024-01-11'"), "b")
+    for hour, changed in ((9, None), (10, one.limit(1)), (11, one)):
+        if changed is not None:
+            write(changed, "b")
+        landing.run(spark, folder, target, state, dt.datetime(2024, 3, 5, hour, tzinfo=UTC), pattern="*.txt", addressed=True)
+    content = F.decode("content", "UTF-8")
+    n_lines = F.length(content) - F.length(F.replace(content, F.lit("\n"), F.lit("")))
+    place = F.regexp_extract("path", "/([ab])/day=[0-9-]+/", 1)
+    # a rewritten file has another name: the newest of each folder and day counts
+    newest = contents.read_versions(spark, target).groupBy(place.alias("folder"), derive.file_day(F.col("path")).alias("day")).agg(
+        F.max_by("sha256", "modified_at").alias("sha256")
+    )
+    n_contents = contents.read_contents(spark, target).count()
+    return contents.with_content(newest, target).select(
+        "day", "folder", n_lines.cast("long").alias("n_lines"), F.octet_length("content").cast("long").alias("n_bytes"), F.lit(n_contents).cast("long").alias("n_contents")
+    )

@@ -107,6 +107,8 @@ def replace_partitions(
     batch: int = 0,
     properties: dict[str, str] | None = None,
     if_rows: bool = False,
+    options: dict[str, str] | None = None,
+    deal: bool = True,
 ) -> Commit:
     """Replace the partitions that ``df`` holds, and only those; returns the new commit.
 
@@ -114,12 +116,13 @@ def replace_partitions(
     A batch that the writer brought before changes nothing. Rows that were made from the table
     name the commit they were made from as ``base``: where another commit replaced one of the
     same partitions since, this one raises. Other partitions may change meanwhile. ``if_rows``
-    keeps the properties as they were where ``df`` has none.
+    keeps the properties as they were where ``df`` has none. ``options`` go to the writer; rows stay
+    in the tasks that they are in without ``deal``.
     """
     base = base or commit(df.sparkSession, target)
     if base.has(writer, batch):
         return base
-    return add(df.sparkSession, target, stage(df, target, parts, base), covered, writer, batch, properties or {}, if_rows)
+    return add(df.sparkSession, target, stage(df, target, parts, base, options, deal), covered, writer, batch, properties or {}, if_rows)
 
 
 @dataclass(frozen=True)
@@ -131,12 +134,16 @@ class Staged:
     rows: int
 
 
-def stage(df: DataFrame, target: str, parts: list[str], base: Commit) -> Staged:
+def stage(
+    df: DataFrame, target: str, parts: list[str], base: Commit, options: dict[str, str] | None = None, deal: bool = True
+) -> Staged:
     """Write rows beside those of the commit they are to follow."""
     token = f"{base.number + 1:010d}-{uuid.uuid4().hex}"
-    rows, seen = count_rows(df.withColumn(VERSION, F.lit(token)).hint("rebalance", *[F.col(p) for p in parts]), "versions")
+    rows = df.withColumn(VERSION, F.lit(token))
+    rows, seen = count_rows(rows.hint("rebalance", *[F.col(p) for p in parts]) if deal else rows, "versions")
     # dynamic: each job has a staging folder of its own, and as the folders are new none is replaced
-    rows.write.partitionBy(*parts, VERSION).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(_data(target))
+    writer = rows.write.options(**(options or {})).partitionBy(*parts, VERSION)
+    writer.option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(_data(target))
     return Staged(base, dict(_folders(df.sparkSession, target, len(parts), token).keys()), counted(seen))
 
 

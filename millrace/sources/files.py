@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from millrace.functions.dates import literal
 
 
-def read_files(spark: SparkSession, folder: str, pattern: str | None = None) -> DataFrame:
-    """All files below ``folder``: path, name, modified_at, length, content.
+def read_files(spark: SparkSession, folder: str | list[str], pattern: str | None = None) -> DataFrame:
+    """All files below ``folder``, or the files of a list: path, name, modified_at, length, content.
 
     Content is read only where selected, so a listing costs no file read. List and read
     from one such DataFrame: both then see the same set of files.
@@ -21,7 +21,7 @@ def read_files(spark: SparkSession, folder: str, pattern: str | None = None) ->
         reader = reader.option("pathGlobFilter", pattern)
     return reader.load(folder).select(
         "path",
-        F.col("_metadata.file_name").alias("name"),
+        F.element_at(F.split("path", "/"), -1).alias("name"),
         F.col("modificationTime").alias("modified_at"),
         "length",
         "content",
