@@ -12,8 +12,9 @@ from millrace.plans import audit
 from millrace.queries import derive
 from millrace.queries.jobs import HOURLY_SQL, hourly_replies
 from millrace.queries.registry import query, table
-from millrace.session import shared_folder
+from millrace.session import delete_folder, shared_folder
 from millrace.sinks import reload, sums, versions
+from millrace.sources import manifest
 from millrace.streaming import late, prefix
 
 UTC = dt.timezone.utc
@@ -218,3 +219,37 @@ def reload_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     if not set(written) <= set(found.partitions):
         days = -1
     return reload.changes(new, target, ["event_id"], found).withColumn("days", F.lit(days))
+
+
+@query(
+    "SRC6 INC7 FLT4 SNK4",
+    """
+    WITH days AS (SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS day FROM events),
+    n AS (SELECT count(*) AS days FROM days)
+    SELECT c.change, day, 1 AS files, 4 AS folders_written, n.days - 2 + 1 AS files_known
+    FROM n, days JOIN (VALUES ('added', '2024-01-05'), ('removed', '2024-01-05'), ('removed', '2024-01-07'),
+        ('added', '2024-01-09')) AS c(change, d) ON d = day
+    UNION ALL SELECT 'added', 'copy', 1, 4, n.days - 2 + 1 FROM n
+    """,
+)
+def listing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two listings of a folder in which one day was written anew, one went, one is new and one file
+    was added: what differs, and how many folders of the manifest were written."""
+    events, folder, target = table(spark, sf_dir, "events"), shared_folder(spark, "files"), shared_folder(spark, "manifest")
+    rows = events.select(F.concat_ws(";", "event_id", "user_id").alias("value"), F.date_format("ts", "yyyy-MM-dd").alias("day"))
+
+    def write(days: DataFrame, mode: str = "overwrite") -> None:
+        dealt = days.repartition("day").write.partitionBy("day").mode(mode)
+        dealt.option("partitionOverwriteMode", "dynamic").text(folder)
+
+    write(rows.where("day NOT IN ('2024-01-09', '2024-01-11')"))
+    manifest.refresh(spark, folder, target)
+    write(rows.where("day = '2024-01-05'"))
+    write(rows.where("day = '2024-01-09'"))
+    delete_folder(spark, f"{folder}/day=2024-01-07")
+    rows.where("day = '2024-01-01'").select("value").coalesce(1).write.text(f"{folder}/copy")
+    now, found = manifest.refresh(spark, folder, target)
+    written = F.lit(len(found.partitions)).alias("folders_written")
+    day = F.regexp_replace("folder", "^day=", "").alias("day")
+    differ = manifest.difference(now, target, found).groupBy("change", day).agg(F.count(F.lit(1)).cast("int").alias("files"))
+    return differ.select("change", "day", "files", written, F.lit(now.count()).cast("long").alias("files_known"))

@@ -54,7 +54,7 @@ def reload_partitions(df: DataFrame, target: str, part: str, properties: dict[st
     known = json.loads(base.properties.get(DIGESTS, "{}"))
     rows = _digested(df).groupBy(part).agg(*_digest_columns()).collect()
     found = {r[part]: [r.n, r.total, r.mixed] for r in rows}
-    if None in found:
+    if None in found or "" in found:
         raise ValueError(f"rows without {part}")
     changed = sorted(d for d in found if known.get(d) != found[d])
     gone = sorted(set(known) - set(found))
@@ -68,7 +68,7 @@ def reload_partitions(df: DataFrame, target: str, part: str, properties: dict[st
     if (got["total"] or None) != total or got["n"] != sum(int(found[d][0]) for d in changed):
         raise UnstableInputError(f"{target}: the reload changed while it was read")
     said = {**(properties or {}), DIGESTS: json.dumps(found)}
-    covered = [f"{part}={d}" for d in (*changed, *gone)]
+    covered = [versions.partition(part, d) for d in (*changed, *gone)]
     after = versions.add(df.sparkSession, target, staged, covered, None, 0, said, False)
     return Reload(base, after, covered)
 

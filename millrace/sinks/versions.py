@@ -48,6 +48,18 @@ class Commit:
         return writer is not None and self.writers.get(writer, -1) >= batch
 
 
+# Characters that Spark writes by their code in the name of a partition's folder.
+_ESCAPED = {chr(c) for c in [*range(1, 32), 127]} | set("\"#%'*/:=?\\{[]^")
+_NULL = "__HIVE_DEFAULT_PARTITION__"
+
+
+def partition(name: str, value: str | None) -> str:
+    """The folder of a partition, as a commit lists it."""
+    if not value:
+        return f"{name}={_NULL}"
+    return f"{name}=" + "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in value)
+
+
 def _data(target: str) -> str:
     return f"{target.rstrip('/')}/data"
 

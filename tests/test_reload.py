@@ -43,6 +43,16 @@ def test_a_null_moved_to_the_next_column_is_a_change(spark, folder):
         assert reload.reload_partitions(spark.createDataFrame(data, schema), target, "day").partitions == changed
 
 
+def test_partition_values_of_any_kind(spark, folder):
+    """Their folders are named as Spark names them, so that they are found again."""
+    target, names = folder(), ["day=1", "a b", "é%20", "x/y:z", "q'\"#*?\\{[]^", "\t"]
+    df, one = load(spark, target, [(i, "v", n) for i, n in enumerate(names)])
+    assert set(one.partitions) == set(one.after.partitions)
+    df, two = load(spark, target, [(i, "w", n) for i, n in enumerate(names) if i])
+    assert rows(versions.read(spark, target, df.schema)) == rows(df)
+    assert len(two.after.partitions) == 5 and reload.changes(df, target, ["id"], two).count() == 11
+
+
 def test_all_rows_gone(spark, folder):
     target = folder()
     load(spark, target, [(1, "a", "01")])
