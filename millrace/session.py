@@ -6,6 +6,7 @@ import datetime as dt
 import os
 import tempfile
 import uuid
+from typing import NamedTuple
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
@@ -57,6 +58,26 @@ def files_below(spark: SparkSession, folder: str) -> set[str]:
     return {f.getPath().getName() for f in files.listStatus(path)} if files.exists(path) else set()
 
 
+class Child(NamedTuple):
+    """What lies right below a folder."""
+
+    name: str
+    path: str
+    is_folder: bool
+    millis: int
+    length: int
+
+
+def children(spark: SparkSession, folder: str) -> tuple[str, list[Child]]:
+    """The folder's full path, and all that lies right below it."""
+    files, path = _file_system(spark, folder)
+    found = [
+        Child(f.getPath().getName(), f.getPath().toString(), f.isDirectory(), f.getModificationTime(), f.getLen())
+        for f in files.listStatus(path)
+    ]
+    return files.makeQualified(path).toString(), found
+
+
 def folder_times(spark: SparkSession, pattern: str) -> dict[str, dt.datetime]:
     """Paths that match a pattern, with the times they were last changed."""
     files, path = _file_system(spark, pattern)

@@ -20,7 +20,7 @@ from millrace.session import delete_folder, shared_folder
 from millrace.sinks import versions
 from millrace.sinks.landing import CONTENT_OPTIONS, batch_folder, listing_digest
 from millrace.sinks.tables import count_rows, counted
-from millrace.sources.files import listing, read_files
+from millrace.sources.files import escaped, listing, read_files
 
 #: Paths that one job is given to read.
 AT_ONCE = 10_000
@@ -101,15 +101,10 @@ def store_new(hashed: DataFrame, contents: str, batch: str) -> int:
     # the listing has been on the driver before: Spark's file index is there
     paths = [r.path for r in new.select("path").toLocalIterator()]
     for start in range(0, len(paths), AT_ONCE):
-        some = [_literal(p) for p in paths[start : start + AT_ONCE]]
+        some = [escaped(p) for p in paths[start : start + AT_ONCE]]
         found = read_files(spark, some).select(
             F.sha2("content", 256).alias("sha256"), "length", "content", F.lit(f"{batch}-{start // AT_ONCE:05d}").alias("added")
         )
         rows = versions.replace_partitions(found, contents, ["added"], writer=f"{batch}-{start // AT_ONCE:05d}", options=CONTENT_OPTIONS, deal=False)
         stored += rows.rows
     return stored
-
-
-def _literal(path: str) -> str:
-    """A path whose characters are no pattern."""
-    return "".join(f"\\{c}" if c in "[]{}*?\\" else c for c in path)

@@ -46,3 +46,8 @@ def newest_first(files: DataFrame, limit: int | None = None) -> DataFrame:
     """Listing from the newest file on; ties by path. With a limit, a top-k without a sort."""
     ordered = files.orderBy(F.desc("modified_at"), "path")
     return ordered if limit is None else ordered.limit(limit)
+
+
+def escaped(path: str) -> str:
+    """A path whose characters are no pattern."""
+    return "".join(f"\\{c}" if c in "[]{}*?\\" else c for c in path)

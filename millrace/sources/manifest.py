@@ -1,22 +1,23 @@
-"""A listing that is a table: made by the executors, folder by folder, and held against the last one.
+"""A listing that is a table: made folder by folder, and held against the last one.
 
-The folders right below a root are dealt out, and each is listed, with all that is below it, by
-the task that got it: no listing comes to the driver, only a digest of each folder. Folders with
-the digest of last time are not written again, and nothing in them is opened.
+The driver lists the root alone. Folders right below it are listed by Spark, with all that is
+below them, many at a time: beyond the session's
+``spark.sql.sources.parallelPartitionDiscovery.threshold`` the executors do it. One lot of folders
+is on the driver at a time, and is written down before the next. Of each folder a digest is kept;
+folders with the digest of last time are not written again, and nothing in them is opened.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
+import datetime as dt
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.session import shared_folder
+from millrace.session import children, shared_folder
 from millrace.sinks import reload
+from millrace.sources.files import escaped, listing, read_files
 
 LISTED = T.StructType(
     [
@@ -26,65 +27,26 @@ LISTED = T.StructType(
         T.StructField("length", T.LongType()),
     ]
 )
-#: Folder of the files right below the root, and how many folders one task lists.
-TOP, FOLDERS = ".", 16
+#: Folder of the files right below the root, and folders in a lot.
+TOP, FOLDERS = ".", 1000
 
 
-def _file_system(root: str):
-    """The file system of a path, as workers reach it, and the path in it."""
-    from pyarrow import fs  # on the workers
+def write_listing(spark: SparkSession, root: str, target: str, folders: int = FOLDERS) -> None:
+    """Write ``folder, path, modified_at, length`` of all files below ``root``.
 
-    if root.startswith("file:"):
-        return fs.LocalFileSystem(), root[5:] if not root.startswith("file://") else root[7:]
-    if "://" in root:
-        return fs.FileSystem.from_uri(root)
-    return fs.LocalFileSystem(), root
-
-
-def _rows(found: list, folder: str) -> Iterator[tuple]:
-    for info in found:
-        # as in Spark's own listing: hidden and empty files are none
-        if info.is_file and info.size and not info.base_name.startswith((".", "_")):
-            yield folder, info.path, info.mtime, info.size
-
-
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=LISTED.names)
-    return frame.assign(modified_at=pd.to_datetime(frame["modified_at"], utc=True))
-
-
-def listed(spark: SparkSession, root: str) -> DataFrame:
-    """``folder, path, modified_at, length`` of all files below ``root``, as the executors see it.
-
-    ``folder`` is the first folder of a path below the root, ``.`` for files right below it.
+    ``folder`` is the first folder of a path below the root, ``.`` for files right below it. Hidden and
+    empty files are left out, as in Spark's own listing.
     """
-
-    def top(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
-        for _ in batches:
-            files, path = _file_system(root)
-            found = files.get_file_info(fs.FileSelector(path))
-            folders = [i.base_name for i in found if not i.is_file and not i.base_name.startswith((".", "_"))]
-            yield pd.DataFrame({"folder": [TOP, *sorted(folders)]})
-
-    def below(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
-        files, path = _file_system(root)
-        for batch in batches:
-            for folder in batch["folder"]:
-                deep = folder != TOP
-                found = files.get_file_info(fs.FileSelector(f"{path}/{folder}" if deep else path, recursive=deep))
-                rows = list(_rows(found, folder))
-                for start in range(0, len(rows), 10_000):
-                    yield _frame(rows[start : start + 10_000])
-
-    names = shared_folder(spark, "folders")
-    spark.range(1).coalesce(1).mapInPandas(top, "folder string").write.parquet(names)
-    folders = spark.read.schema("folder string").parquet(names)
-    tasks = max(1, math.ceil(folders.count() / FOLDERS))
-    return folders.repartition(tasks, "folder").mapInPandas(below, LISTED)
+    base, found = children(spark, root)
+    seen = [c for c in found if not c.name.startswith((".", "_"))]
+    top = [(TOP, c.path, dt.datetime.fromtimestamp(c.millis / 1000, dt.timezone.utc), c.length) for c in seen if not c.is_folder and c.length]
+    spark.createDataFrame(top, LISTED).coalesce(1).write.mode("append").parquet(target)
+    names = sorted(c.path for c in seen if c.is_folder)
+    below = F.substring("path", len(base) + 2, 1 << 20)
+    for start in range(0, len(names), folders):
+        files = read_files(spark, [escaped(n) for n in names[start : start + folders]])
+        lot = listing(files).where("length > 0").withColumn("folder", F.substring_index(below, "/", 1))
+        lot.select(*LISTED.names).write.mode("append").parquet(target)
 
 
 def refresh(spark: SparkSession, root: str, target: str) -> tuple[DataFrame, reload.Reload]:
@@ -93,7 +55,7 @@ def refresh(spark: SparkSession, root: str, target: str) -> tuple[DataFrame, rel
     The listing is written down first: it is digested and stored as it was at one time.
     """
     staged = shared_folder(spark, "listing")
-    listed(spark, root).write.parquet(staged)
+    write_listing(spark, root, staged)
     now = spark.read.schema(LISTED).parquet(staged)
     return now, reload.reload_partitions(now, target, "folder")
 

@@ -29,13 +29,14 @@ def difference(spark, files, target):
     return rows(manifest.difference(now, target, found).select("change", "folder", name, "length")), sorted(found.partitions)
 
 
-def test_listing_is_that_of_spark(spark, files):
-    for name in ("top.txt", "a/x.txt", "a/deep/er/y z.txt", "b/%20.txt", "a/_hidden", "a/.hid", "_skip/n.txt", "c/empty.txt"):
+def test_listing_is_that_of_spark(spark, folder, files):
+    for name in ("top.txt", "a/x.txt", "a/deep/er/y z.txt", "b/%20.txt", "a/_hidden", "a/.hid", "_skip/n.txt", "c/empty.txt", "odd [1]{x}/f.txt"):
         files(name, "" if "empty" in name else name)
-    path = F.regexp_replace("path", "^file:", "")
-    got = manifest.listed(spark, files.root).select("path", F.unix_micros("modified_at"), "length")
-    want = read_files(spark, files.root).select(path, F.unix_micros("modified_at"), "length")
-    assert rows(got) == rows(want) and got.count() == 4
+    written = folder()
+    manifest.write_listing(spark, files.root, written, folders=2)
+    got = spark.read.schema(manifest.LISTED).parquet(written).select("path", F.unix_micros("modified_at"), "length")
+    want = read_files(spark, files.root).select("path", F.unix_micros("modified_at"), "length")
+    assert rows(got) == rows(want) and got.count() == 5
 
 
 def test_only_folders_that_changed(spark, folder, files):
@@ -53,7 +54,8 @@ def test_only_folders_that_changed(spark, folder, files):
 
 
 def test_an_empty_root(spark, folder, tmp_path):
-    assert manifest.listed(spark, str(tmp_path)).collect() == []
+    now, found = manifest.refresh(spark, str(tmp_path), folder())
+    assert now.collect() == [] and found.partitions == []
 
 
 def test_state_does_not_grow(spark, folder):
