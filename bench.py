@@ -49,6 +49,12 @@ HEADLINE = [
     "stream_usage",
     "stream_readings",
     "stream_keyed",
+    "versioned_days",
+    "dynamic_rollup",
+    "merged_rollup",
+    "reload_changes",
+    "random_keys",
+    "stream_late",
 ]
 
 
