@@ -13,7 +13,7 @@ from millrace.queries import derive
 from millrace.queries.jobs import HOURLY_SQL, hourly_replies
 from millrace.queries.registry import query, table
 from millrace.session import delete_folder, shared_folder
-from millrace.sinks import reload, sums, versions
+from millrace.sinks import history, reload, sums, versions
 from millrace.sources import manifest
 from millrace.streaming import late, prefix
 
@@ -253,3 +253,21 @@ def listing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.regexp_replace("folder", "^day=", "").alias("day")
     differ = manifest.difference(now, target, found).groupBy("change", day).agg(F.count(F.lit(1)).cast("int").alias("files"))
     return differ.select("change", "day", "files", written, F.lit(now.count()).cast("long").alias("files_known"))
+
+
+@query(
+    "SNK5 JOI1 STM3",
+    """
+    SELECT event_id, user_id, value, strftime(ts, '%Y-%m-%d') AS day,
+        CASE WHEN ts < TIMESTAMP '2024-01-16' THEN '0000000001' ELSE '0000000002' END AS added
+    FROM events
+    """,
+)
+def history_appends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlapping batches appended by key to a versioned history, one of them twice."""
+    target, events = shared_folder(spark, "history"), table(spark, sf_dir, "events")
+    rows = events.select("event_id", "user_id", "value", F.date_format("ts", "yyyy-MM-dd").alias("day"), "ts")
+    early, late_rows = rows.where("ts < TIMESTAMP_NTZ '2024-01-16 00:00:00'"), rows.where("ts >= TIMESTAMP_NTZ '2024-01-10 00:00:00'")
+    for batch, part in ((0, early), (1, late_rows.unionByName(late_rows)), (1, late_rows)):
+        history.append_once(part.drop("ts"), target, ["event_id"], "day", writer="load", batch=batch)
+    return history.read_history(spark, target, rows.drop("ts").schema)

@@ -160,9 +160,9 @@ def stage(
 
 
 def add(
-    spark: SparkSession, target: str, staged: Staged, covered: Iterable[str], writer: str | None, batch: int, properties: dict[str, str], if_rows: bool
+    spark: SparkSession, target: str, staged: Staged, covered: Iterable[str], writer: str | None, batch: int, properties: dict[str, str], if_rows: bool, alone: bool = False
 ) -> Commit:
-    """Commit what is staged, after all that others have committed meanwhile."""
+    """Commit what is staged, after all that others have committed meanwhile; ``alone``, only if that is nothing."""
     touched, now = {*staged.partitions, *covered}, staged.base
     changed = {} if if_rows and not staged.rows else properties
     while True:
@@ -174,6 +174,8 @@ def add(
         now = commit(spark, target)
         if now.has(writer, batch):
             return now
+        if alone:
+            raise ConflictError(f"another commit since {staged.base.number}")
         lost = [p for p in touched if now.partitions.get(p) != staged.base.partitions.get(p)]
         if lost:
             raise ConflictError(f"replaced since commit {staged.base.number}: {', '.join(sorted(lost)[:5])}")

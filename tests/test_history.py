@@ -1,0 +1,54 @@
+import pytest
+from conftest import rows
+
+from millrace.sinks import history, versions
+
+SCHEMA = "k string, v bigint, day string"
+
+
+def append(spark, target, data, **more):
+    df = spark.createDataFrame(data, SCHEMA)
+    return df.schema, history.append_once(df, target, ["k"], "day", **more)
+
+
+def held(spark, target, schema):
+    return rows(history.read_history(spark, target, schema).drop(history.ADDED))
+
+
+def test_each_key_once(spark, folder):
+    target = folder()
+    append(spark, target, [("a", 2, "01"), ("a", 1, "01"), ("b", 3, "02"), (None, 4, "01")])
+    schema, second = append(spark, target, [("b", 9, "02"), ("c", 5, "03")])
+    assert held(spark, target, schema) == [("a", 1, "01"), ("b", 3, "02"), ("c", 5, "03")]
+    assert second.rows == 1
+    assert append(spark, target, [("b", 9, "02")])[1].rows == 0
+
+
+def test_a_batch_counts_once(spark, folder):
+    target = folder()
+    for _ in range(2):
+        schema, found = append(spark, target, [("a", 1, "01")], writer="w", batch=3)
+    assert found.number == 1 and held(spark, target, schema) == [("a", 1, "01")]
+
+
+def test_two_appends_at_the_same_time(spark, folder, monkeypatch):
+    """Another append commits while this one writes: its keys are not added again."""
+    target, stage = folder(), versions.stage
+    append(spark, target, [("old", 0, "01")])
+
+    def meanwhile(*arguments):
+        found = stage(*arguments)
+        monkeypatch.undo()
+        append(spark, target, [("a", 1, "01"), ("b", 1, "01")])
+        return found
+
+    monkeypatch.setattr(versions, "stage", meanwhile)
+    schema, last = append(spark, target, [("b", 2, "01"), ("c", 2, "01"), ("old", 2, "01")])
+    assert last.number == 3 and last.rows == 1
+    assert held(spark, target, schema) == [("a", 1, "01"), ("b", 1, "01"), ("c", 2, "01"), ("old", 0, "01")]
+
+
+def test_an_append_that_is_always_overtaken(spark, folder, monkeypatch):
+    monkeypatch.setattr(versions, "publish", lambda *a: False)
+    with pytest.raises(versions.ConflictError):
+        append(spark, folder(), [("a", 1, "01")], tries=2)
