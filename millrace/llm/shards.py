@@ -6,8 +6,9 @@ a fixed depth, several for each shard to come, so that the splits work on the ce
 directory, which grows with the number of shards and not with that of rows. Cells that are
 still too large are cut finer from their rows.
 
-The bits are the key's, then, for rows of one key, those of a number that each row gets: a key
-with any share of all rows is dealt over as many shards as it needs.
+The bits are the key's, then, for rows of one key, those of a number that each row gets, the
+lowest first: a key with any share of all rows is dealt over as many shards as it needs, and as
+no two rows have the same number, all their bits tell any two apart.
 """
 
 from __future__ import annotations
@@ -30,6 +31,11 @@ def _bits(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
+def _own_bits(number: Column) -> Column:
+    """The 60 bits of a row's number in reverse, as a long: numbers count up, so their lowest bits deal evenly."""
+    return F.conv(F.reverse(F.lpad(F.bin(number), ROW_BITS, "0")), 2, 10).cast("long")
+
+
 def _prefix(depth: int, h1: str | Column = "h1", h2: str | Column = "h2", of: int = _ALL) -> list[Column]:
     """The first ``depth`` bits of ``of`` bits that are there, in two longs."""
     first, there = min(depth, KEY_BITS), min(of, KEY_BITS)
@@ -95,8 +101,8 @@ def shards(df: DataFrame, limit: int = SHARD_BYTES, id_col: str = "doc_id", text
     size = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long")
     key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     rows = df.select(F.col(id_col).alias("doc_id"), size.alias("n_bytes"), _bits(key).alias("h1"), F.monotonically_increasing_id().alias("row"))
-    # written once: a row keeps its number
-    rows = staged(rows.withColumn("h2", _bits(F.col("row").cast("string"))).drop("row"), "rows")
+    # written once: a row keeps its number, which has fewer than 60 bits up to 134 million tasks
+    rows = staged(rows.withColumn("h2", _own_bits(F.col("row"))).drop("row"), "rows")
     found = assigned(rows, limit)
     return found.select("doc_id", "n_bytes", _name(F.col("depth")).alias("shard"), "depth", "shard_bytes", "shard_rows")
 

@@ -4,6 +4,7 @@ from collections import Counter
 import duckdb
 import pytest
 from odd import TEXTS, empty, frame
+from pyspark.sql import functions as F
 
 from millrace.llm import shards
 
@@ -64,3 +65,14 @@ def test_no_python(spark):
 
     text = plan(shards.shards(frame(spark), 1000))
     assert "Python" not in text and "Arrow" not in text
+
+
+def test_rows_of_one_key_are_told_apart_by_their_number(spark):
+    """Numbers that count up, in several tasks: bits in reverse, and never two the same."""
+    numbers = [0, 1, 2, 3, 5, 1 << 33, (1 << 33) + 1, (1 << 59) + 7]
+    df = spark.createDataFrame([(n,) for n in numbers], "n long")
+    got = [r[0] for r in df.select(shards._own_bits(F.col("n"))).collect()]
+    assert got == [int(f"{n:060b}"[::-1], 2) for n in numbers]
+    rows = [(1, "x" * 10)] * 300
+    found = shards.shards(frame(spark, rows), limit=10).collect()
+    assert len(found) == 300 and all(r.shard_rows == 1 for r in found)
