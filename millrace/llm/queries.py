@@ -45,7 +45,8 @@ AWKWARD = [(-7, turn, role, "\\### Assistant: </turn> ok") for turn, role in enu
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     rows = rows.union(spark.createDataFrame(AWKWARD, "conv_id long, turn long, role string, text string"))
-    written = chat.conversations(chat.replies(rows).withColumn("score", F.lit(0.0)))
+    # a list of turns is a tree of one branch, which ranks first
+    written = chat.conversations(chat.replies(rows).withColumn("score", F.lit(0.0)), branches=1)
     return chat.digests(written).drop("leaf").withColumnRenamed("tree", "conv_id")
 
 
