@@ -21,15 +21,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import prepare, staged
+from millrace.llm.common import prepare, released, staged
 from millrace.llm.graph import components
 
 #: Words in a shingle, largest distance in bits, members of a bucket that one task compares with as many.
 WORDS, MAX_BITS, BLOCK = 4, 4, 4096
 #: Shingles of a long text whose bits are counted at once.
 AT_ONCE = 1 << 14
-#: Fixed seed of the hash.
-SEED = 42
+#: Bucket keys that one task lists.
+KEYS = 500_000
+#: Fixed seed of the hash, and bits that turn the order of fingerprints over.
+SEED, OTHER = 42, 0x5DEECE66D5DEECE6
 
 
 def fingerprint(text: str | None, words: int = WORDS) -> int:
@@ -59,6 +61,7 @@ def fingerprint_column(df: DataFrame, text: str | Column, words: int = WORDS) ->
     prepare(df.sparkSession)
 
     @F.arrow_udf("bigint")
+    @released
     def each(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             yield pa.array([fingerprint(t.as_py(), words) for t in texts], pa.int64())
@@ -97,6 +100,12 @@ def _blocks(count: str, block: int) -> Column:
     return F.ceil(F.col(count) / block).cast("int")
 
 
+def _dealt(nodes: DataFrame, max_bits: int) -> DataFrame:
+    """The nodes in as many tasks as their bucket keys need, since a small table is read by very few."""
+    keys = nodes.count() * len(variants(max_bits))
+    return nodes.repartition(max(1, -(-keys // KEYS)), "fp")
+
+
 def links(nodes: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
     """``fp, root`` of all distinct fingerprints that are linked to another one.
 
@@ -104,13 +113,11 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> Dat
     compared in full.
     """
     key = ["slot", "value"]
-    listed = _listed(nodes, max_bits)
-    buckets = listed.groupBy(*key).agg(
-        F.count("*").alias("n"),
-        F.min("fp").alias("p1"),
-        F.max("fp").alias("p2"),
-        F.min(F.struct(F.xxhash64("fp").alias("order"), "fp")).getField("fp").alias("p3"),
-    )
+    listed = _listed(_dealt(nodes, max_bits), max_bits)
+    # the third pivot is the first in another order of the same numbers
+    other = F.lit(_long(OTHER))
+    third = F.min(F.col("fp").bitwiseXOR(other)).bitwiseXOR(other)
+    buckets = listed.groupBy(*key).agg(F.count("*").alias("n"), F.min("fp").alias("p1"), F.max("fp").alias("p2"), third.alias("p3"))
     buckets = staged(buckets.where("n > 2").unionByName(buckets.where((F.col("n") == 2) & _near("p1", "p2", max_bits))), "buckets")
     members = staged(listed.join(buckets.where("n > 2"), key), "members")
     # a. members against pivots; of two members, either is one

@@ -5,7 +5,9 @@ import pytest
 import xxhash
 from odd import TEXTS, empty, frame
 
-from millrace.llm import simhash
+from pyspark.sql import functions as F
+
+from millrace.llm import graph, simhash
 from millrace.llm.graph import components
 
 
@@ -113,3 +115,24 @@ def test_components(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(1, 41)}, 95: 90, 100: 90, 300: 200}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_a_hot_node_is_spread(spark, threshold):
+    """Most edges at one node: no task holds much more than its share, with and without broadcast joins."""
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "32")
+        edges = spark.range(1, 70_001, 1, 16).selectExpr("0 AS a", "id AS b").union(spark.range(100_000, 130_000, 2, 16).selectExpr("id AS a", "id + 1 AS b"))
+        both = edges.union(edges.selectExpr("b", "a"))
+        lowest = both.groupBy("a").agg(F.least("a", F.min("b")).alias("low"), F.count("*").alias("n"))
+        joined = graph._with_lowest(both, lowest, 5000)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 170_000 and max(sizes) <= 3 * 170_000 / 32
+        roots = graph.components(edges, 5000)
+        assert roots.count() == 85_000 and roots.where("root = 0").count() == 70_000
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
