@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import functools
 import shutil
 import tempfile
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,18 +72,40 @@ def remainder(doc_id: str | Column, of: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit(""))) % of
 
 
+def released(function):
+    """The batches of a function that runs in tasks; when they end, its memory goes back to the system.
+
+    A worker lives on for other tasks, and what its allocators keep adds up over the stages.
+    """
+
+    @functools.wraps(function)
+    def wrapped(batches):
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return wrapped
+
+
 class BoundedCache(dict):
-    """A dictionary that computes missing entries and starts anew when it is full.
+    """A dictionary that computes missing entries, and keeps those asked for since it was last half full.
 
-    ``map(cache.__getitem__, keys)`` stays in C for all keys that are there.
+    ``map(cache.__getitem__, keys)`` stays in C for entries of the current half; those of the half
+    before are taken over when they are asked for, and the others go.
     """
 
     def __init__(self, compute, limit: int):
         super().__init__()
-        self.compute, self.limit = compute, limit
+        self.compute, self.limit, self.before = compute, limit, {}
 
     def __missing__(self, key):
-        if len(self) >= self.limit:
+        if 2 * len(self) >= self.limit:
+            self.before = dict(self)
             self.clear()
-        value = self[key] = self.compute(key)
+        value = self.before.get(key)
+        if value is None:
+            value = self.compute(key)
+        self[key] = value
         return value

@@ -28,8 +28,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from millrace.llm.common import prepare
+from millrace.llm.common import prepare, released
 
 #: Edits for a word of the item, items shorter than this many words are found without walks, and the recall
 #: of copies with as many edits as allowed.
@@ -350,45 +352,57 @@ class Index:
 
 
 def indexes(benchmark: DataFrame, edits: float = EDITS, item_id: str = "item_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> Iterator[Index]:
-    """Indexes of all items, a bounded part of the benchmark at a time. Null items and those without words are in none."""
+    """Indexes of all items, a bounded part of the benchmark at a time. Null items and those without words are in none.
+
+    Items are dealt by id and text, so that many of one id, or without one, are no part of their own.
+    """
     items = benchmark.select(F.col(item_id).alias("item_id"), F.col(text).alias("text")).where(F.col("text").isNotNull())
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-size // block_bytes)
     for block in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block).collect()
+        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
         yield Index.of([(r.item_id, r.text) for r in sorted(rows, key=lambda r: (r.item_id is None, r.item_id, r.text))], edits)
 
 
-def contamination(df: DataFrame, benchmark: DataFrame, edits: float = EDITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def contamination(df: DataFrame, benchmark: DataFrame, edits: float = EDITS, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``doc_id, item_id, edits, first_word``: documents and the items that they hold, at a place of fewest edits.
 
     ``edits`` counts words put in, left out or replaced, at most the share asked for of the item's
     words; signs and case do not count, and ``first_word`` counts words from 0. Null and empty texts
     hold nothing. Equal rows each give their rows; rows of one item id are one item at its best. Empty
-    tables give an empty result, and other columns, whatever their names, are left out. No
-    shuffle: each block of the benchmark is one pass over the documents.
+    tables give an empty result, and other columns, whatever their names, are left out. Ids
+    may be of any type. Each block of the benchmark is one pass over the documents; only what several
+    blocks found is shuffled.
     """
     spark = df.sparkSession
     prepare(spark)
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    # ids keep their types; the row's number tells equal rows apart where several blocks find the same item
+    ids, items = df.schema[id_col].dataType, benchmark.schema["item_id"].dataType
+    fields = [("doc_id", ids), ("row", T.LongType()), ("item_id", items), ("edits", T.IntegerType()), ("first_word", T.IntegerType())]
+    kind, item_kind = T.StructType([T.StructField(*f) for f in fields]), to_arrow_type(items)
+    rows = df.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text"))
     parts = []
-    for index in indexes(benchmark, edits):
+    for index in indexes(benchmark, edits, block_bytes=block_bytes):
         shared = spark.sparkContext.broadcast(index)
 
         def located(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                found = shared.value.find(batch.column(1).to_pylist())
-                docs = batch.column(0).take(pa.array([f[0] for f in found], pa.int64()))
-                columns = [pa.array([f[i] for f in found], t) for i, t in ((1, pa.int64()), (2, pa.int32()), (3, pa.int32()))]
-                yield pa.RecordBatch.from_arrays([docs, *columns], ["doc_id", "item_id", "edits", "first_word"])
+                found = shared.value.find(batch.column(2).to_pylist())
+                at = pa.array([f[0] for f in found], pa.int64())
+                columns = [pa.array([f[i] for f in found], t) for i, t in ((1, item_kind), (2, pa.int32()), (3, pa.int32()))]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *columns], kind.names)
 
-        parts.append(rows.mapInArrow(located, "doc_id long, item_id long, edits int, first_word int"))
+        parts.append(rows.mapInArrow(released(located), kind))
+    names = ["doc_id", "item_id", "edits", "first_word"]
     if not parts:
-        return spark.createDataFrame([], "doc_id long, item_id long, edits int, first_word int")
+        return spark.createDataFrame([], kind).select(*names)
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionAll(part)
-    return whole
+    if len(parts) > 1:
+        best = whole.groupBy("doc_id", "row", "item_id").agg(F.min(F.struct("edits", "first_word")).alias("best"))
+        whole = best.select("doc_id", "item_id", "best.edits", "best.first_word")
+    return whole.select(*names)
 
 
 def held_column(df: DataFrame, index: Index, text: str | Column) -> Column:
@@ -397,6 +411,7 @@ def held_column(df: DataFrame, index: Index, text: str | Column) -> Column:
     shared = df.sparkSession.sparkContext.broadcast(index)
 
     @F.arrow_udf("boolean")
+    @released
     def held(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             found = np.zeros(len(texts), bool)

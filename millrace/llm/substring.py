@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import prepare, staged
+from millrace.llm.common import prepare, released, staged
 
 WINDOW = 50
 #: Periods whose covers are perfect difference sets: every offset occurs exactly once.
@@ -116,6 +116,7 @@ def _packed_column(window: int) -> Column:
     """``key, words, packed`` of a text: a digest of its words, their number, the text compressed."""
 
     @F.arrow_udf("struct<key: bigint, words: bigint, packed: binary>")
+    @released
     def pack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         packer = zstandard.ZstdCompressor(level=1)
         for texts in batches:
@@ -180,11 +181,11 @@ def repeats(df: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_co
         yield from out.rest()
 
     # equal texts: only the one of the smallest id is looked into
-    texts = staged(rows.mapInArrow(named, "doc_id long, key long"), "texts")
+    texts = staged(rows.mapInArrow(released(named), "doc_id long, key long"), "texts")
     first = texts.groupBy("key").agg(F.min("doc_id").alias("first"))
     texts = texts.distinct().join(first, "key")
     # anchors in two texts, and where they are
-    found = rows.mapInArrow(anchors, "hash long, key long, at int")
+    found = rows.mapInArrow(released(anchors), "hash long, key long, at int")
     shared = found.groupBy("hash").agg(F.min("key").alias("low"), F.max("key").alias("high"))
     shared = staged(shared.where("low <> high").select("hash"), "anchors")
     spots = found.join(shared, "hash", "left_semi").groupBy("key").agg(F.collect_set("at").alias("at"))
@@ -192,7 +193,7 @@ def repeats(df: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_co
     # extended to whole windows
     packed = rows.select("doc_id", _packed_column(window)("text").alias("p")).select("doc_id", "p.key", "p.packed")
     seeds = packed.join(spots, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"]).select("doc_id", "key", "packed", "at")
-    extended = staged(seeds.mapInArrow(windows, "h1 long, h2 int, doc_id long, key long, at int"), "windows")
+    extended = staged(seeds.mapInArrow(released(windows), "h1 long, h2 int, doc_id long, key long, at int"), "windows")
     earliest = extended.groupBy("h1", "h2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
     late = extended.join(earliest.drop("high"), ["h1", "h2"]).where("doc_id > low")
     late = late.groupBy("doc_id", "key").agg(F.collect_set("at").alias("starts")).withColumn("whole", F.lit(False))
@@ -228,6 +229,7 @@ def removal_digests(df: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
     joined = _joined(df, [F.col(id_col).alias("doc_id")], window, id_col, text_col)
 
     @F.arrow_udf("struct<n_words: bigint, n_removed: bigint, kept_sha256: string>")
+    @released
     def digests(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for packed, whole, starts in batches:
             counts, removed, shas = [], [], []
@@ -253,6 +255,7 @@ def without_repeats(df: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
     joined = _joined(df, [F.col(c) for c in others], window, id_col, text_col)
 
     @F.arrow_udf("string")
+    @released
     def cut(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for packed, whole, starts in batches:
             out = []

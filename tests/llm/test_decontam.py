@@ -135,3 +135,20 @@ def test_odd_rows(spark):
     assert decontam.contamination(empty(spark), benchmark(spark, items)).collect() == []
     assert decontam.contamination(frame(spark), benchmark(spark, items).limit(0)).collect() == []
     assert decontam.without_contaminated(frame(spark), benchmark(spark, items).limit(0)).count() == len(TEXTS)
+
+
+def test_items_without_id_are_many_blocks(spark):
+    """Items without an id, or with one id, are dealt over bounded blocks; the best of an id's items counts once."""
+    items = spark.createDataFrame([(None, f"alpha{i} beta{i} gamma{i} delta{i} eps{i} zeta{i} eta{i} theta{i}") for i in range(400)] + [(7, f"one{i} two{i} three{i} four{i} five{i} six{i} seven{i} eight{i}") for i in range(400)], "item_id long, text string")
+    size = sum(len(r.text) for r in items.collect())
+    blocks = list(decontam.indexes(items, block_bytes=size // 8))
+    assert len(blocks) >= 8 and max(len(b.items) for b in blocks) < 200
+    docs = [(1, "x one3 two3 three3 four3 five3 six3 seven3 eight3 y one9 two9 three9 four9 five9 six9 seven9 eight9"), (1, "x one3 two3 three3 four3 five3 six3 seven3 eight3 y"), (2, "alpha5 beta5 gamma5 delta5 eps5 zeta5 eta5 theta5"), (3, "none")]
+    got = sorted((tuple(r) for r in decontam.contamination(frame(spark, docs), items, block_bytes=size // 8).collect()), key=str)
+    assert got == [(1, 7, 0, 1), (1, 7, 0, 1), (2, None, 0, 0)]
+
+
+def test_ids_of_other_types(spark):
+    docs = spark.createDataFrame([("d1", "alpha beta gamma delta eps zeta eta theta"), (None, "nothing")], "doc_id string, text string")
+    items = spark.createDataFrame([("i1", "alpha beta gamma delta eps zeta eta theta")], "item_id string, text string")
+    assert [tuple(r) for r in decontam.contamination(docs, items).collect()] == [("d1", "i1", 0, 0)]
