@@ -1,11 +1,15 @@
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
 from odd import TEXTS, empty, frame
 
 from millrace.llm import minhash
+from millrace.llm.queries import QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
 
 
 def brute_set(text, words=5):
@@ -144,3 +148,9 @@ def test_changed_copies_do_not_meet(spark):
     sets = [np.array(sorted(base[: 100 - 20] + [1000 * (i + 1) + k for k in range(20)]), np.uint64) for i in range(200)]
     frame_ = spark.createDataFrame([(i, len(s), bytearray(s.tobytes())) for i, s in enumerate(sets)], "node long, n long, hashes binary")
     assert minhash._prefixes(frame_.selectExpr("node", "node AS class"), frame_, 85).count() == 0
+
+
+@pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables here")
+def test_the_query_on_the_smallest_tables(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
+    assert sorted((tuple(r) for r in QUERIES["op11_minhash"](spark, SF_DIR).collect()), key=str) == brute(rows)

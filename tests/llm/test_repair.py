@@ -3,10 +3,14 @@ import random
 import re
 import zlib
 from itertools import product
+from pathlib import Path
 
 import pytest
 
 from millrace.llm import repair
+from millrace.llm.queries import QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
 
 SCHEMA = "conv_id long, turn long, role string, text string, edit string, at long, fault string, here string"
 
@@ -184,3 +188,10 @@ def test_real_outputs(spark):
 def test_one_exchange(spark):
     plan = repair.repair_digests(frame(spark, [(0, 0, "user", "a.")]))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
+
+
+@pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables here")
+def test_the_query_on_the_smallest_tables(spark):
+    rows = [(r.conv_id, r.turn, r.role, r.text) for r in spark.read.parquet(f"{SF_DIR}/conversations.parquet").collect()]
+    got = {r[0]: tuple(r[1:]) for r in QUERIES["op13_repair"](spark, SF_DIR).collect()}
+    assert got == wanted(rows, cheapest)
