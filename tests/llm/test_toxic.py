@@ -1,10 +1,16 @@
 import random
+import string
+from pathlib import Path
 
 import numpy as np
+import pytest
 from odd import TEXTS, empty, frame
 
 from millrace.llm import toxic
 from millrace.llm.common import remainder
+from millrace.llm.queries import toxicity_scorer
+
+SF_DIR = "/root/testdata/sf0.1"
 
 CLEAN = [f"{a}{b}{c}" for a in ("ba", "ko", "ri", "te", "mu", "la") for b in ("na", "so", "ti", "ve") for c in ("l", "r", "st", "n", "ko", "mi")]
 BAD = ["idiot", "stupid", "worthless", "moron"]
@@ -42,7 +48,7 @@ def test_kernel_against_its_definition():
     chosen = random.Random(2)
 
     def features(word):
-        codes = [toxic._BEGIN, *[ord(c) - 96 for c in word]]
+        codes = [toxic._BEGIN, *[ord(c) - 96 for c in word], toxic._END]
         found = {}
         for i in range(len(codes)):
             for offsets in toxic._OFFSETS:
@@ -124,3 +130,29 @@ def test_nothing_to_learn_from(spark):
     for docs, known in ((empty(spark), labels), (frame(spark), labels), (frame(spark), labels.limit(0))):
         model = toxic.train(docs.select("doc_id", "text"), known)
         assert all(r.predicted == 0 for r in toxic.score(frame(spark), model).collect())
+
+
+@pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables here")
+def test_on_held_out_documents(spark):
+    """Insults score high, also with a letter put in; clean words that begin like them do not.
+
+    One toxic document in seven holds nothing that any clean one lacks: no scorer finds those.
+    """
+    model = toxicity_scorer(spark, SF_DIR)
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    scored = toxic.score(spark.read.parquet(f"{SF_DIR}/documents.parquet"), model).join(labels, "doc_id")
+    rows = scored.where(remainder("doc_id", 5) == 0).select("toxic", "predicted").collect()
+    caught = sum(r.toxic and r.predicted for r in rows)
+    assert np.mean([r.toxic == r.predicted for r in rows]) >= 0.97
+    assert caught >= 0.95 * sum(r.predicted for r in rows)
+    assert caught >= 0.85 * sum(r.toxic for r in rows)
+
+    def probability(words):
+        return model.probability(model.words(words))
+
+    insults = ["pathetic", "trash", "disgusting", "moron", "worthless", "clown", "loser", "scum", "idiot", "stupid"]
+    assert (probability(insults) >= 0.5).all()
+    assert (probability(["réeux", "achlich"]) < 0.5).all()
+    chosen = random.Random(1)
+    altered = [w[:k] + chosen.choice(string.ascii_lowercase) + w[k:] for w in insults for _ in range(40) for k in [chosen.randrange(1, len(w))]]
+    assert (probability(altered) >= 0.5).mean() >= 0.8
