@@ -22,11 +22,11 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import BoundedCache, file_bytes, prepare
+from millrace.llm.common import BoundedCache, file_bytes, prepare, released
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 #: Entries that a worker keeps: chunks of text, and tested pairs.
-CHUNKS, PAIRS = 1_000_000, 1_000_000
+CHUNKS, PAIRS = 600_000, 200_000
 
 #: Fixed values of the format: the escaped space, what an unknown id decodes to, and the
 #: replacement of a byte that is no UTF-8.
@@ -82,6 +82,12 @@ class PieceModel:
         newline = "\n" if all("\n" not in p for p in self.ids) else ""
         self._cut = re.compile(rf" *[^ {newline}]+|{newline or '(?!)'}| +").findall
 
+    def forget(self) -> None:
+        """Empty the caches: a worker keeps the model for later tasks, but not what it has seen."""
+        for cache in (self.apart, self.chunk):
+            cache.clear()
+            cache.before = {}
+
     def _merged(self, text: str) -> list[str]:
         """Of a string of one or two tokens: join the best pair, the leftmost of equals, until none is left."""
         parts, score = list(text), self.score
@@ -178,10 +184,12 @@ def encode_column(df: DataFrame, text: str | Column, model_path: str = MODEL) ->
     data = file_bytes(df.sparkSession, model_path)
 
     @F.arrow_udf("array<int>")
+    @released
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = worker_model(data)
         for texts in batches:
             yield pa.array([[int(i) for i in model.encode(t).split()] for t in texts.to_pylist()], pa.list_(pa.int32()))
+        model.forget()
 
     return encode(text)
 
@@ -192,6 +200,7 @@ def decode_column(df: DataFrame, ids: str | Column, model_path: str = MODEL) ->
     data = file_bytes(df.sparkSession, model_path)
 
     @F.arrow_udf("string")
+    @released
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = worker_model(data)
         for lists in batches:
@@ -211,6 +220,7 @@ def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mo
     data = file_bytes(df.sparkSession, model_path)
 
     @F.arrow_udf("struct<n_tokens: bigint, ids_sha256: string, decoded_sha256: string>")
+    @released
     def digests(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = worker_model(data)
         for texts in batches:
@@ -224,6 +234,7 @@ def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mo
                 [pa.array(counts, pa.int64()), pa.array(ids_digests, pa.string()), pa.array(text_digests, pa.string())],
                 ["n_tokens", "ids_sha256", "decoded_sha256"],
             )
+        model.forget()
 
     found = df.select(F.col(id_col).alias("doc_id"), digests(F.col(text_col)).alias("found"))
     return found.select("doc_id", "found.n_tokens", "found.ids_sha256", "found.decoded_sha256")
