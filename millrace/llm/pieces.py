@@ -83,7 +83,10 @@ class PieceModel:
         self._cut = re.compile(rf" *[^ {newline}]+|{newline or '(?!)'}| +").findall
 
     def forget(self) -> None:
-        """Empty the caches: a worker keeps the model for later tasks, but not what it has seen."""
+        """Empty the caches: a worker keeps the model for later tasks, but not what it has seen.
+
+        That costs time, and is for sessions where other Python stages need the memory.
+        """
         for cache in (self.apart, self.chunk):
             cache.clear()
             cache.before = {}
@@ -189,7 +192,6 @@ def encode_column(df: DataFrame, text: str | Column, model_path: str = MODEL) ->
         model = worker_model(data)
         for texts in batches:
             yield pa.array([[int(i) for i in model.encode(t).split()] for t in texts.to_pylist()], pa.list_(pa.int32()))
-        model.forget()
 
     return encode(text)
 
@@ -209,12 +211,12 @@ def decode_column(df: DataFrame, ids: str | Column, model_path: str = MODEL) ->
     return decode(ids)
 
 
-def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_path: str = MODEL) -> DataFrame:
+def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_path: str = MODEL, forget: bool = False) -> DataFrame:
     """Encode and decode each text: ``doc_id, n_tokens, ids_sha256, decoded_sha256``.
 
     A row comes out for each row that goes in, whatever its id. A null text counts as empty,
     which encodes to the end id alone. Other columns of ``df``, whatever their names, are left out.
-    No shuffle; a worker holds one batch and its bounded caches.
+    No shuffle; a worker holds one batch and its bounded caches, beyond the task unless it is to ``forget``.
     """
     prepare(df.sparkSession)
     data = file_bytes(df.sparkSession, model_path)
@@ -234,7 +236,8 @@ def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mo
                 [pa.array(counts, pa.int64()), pa.array(ids_digests, pa.string()), pa.array(text_digests, pa.string())],
                 ["n_tokens", "ids_sha256", "decoded_sha256"],
             )
-        model.forget()
+        if forget:
+            model.forget()
 
     found = df.select(F.col(id_col).alias("doc_id"), digests(F.col(text_col)).alias("found"))
     return found.select("doc_id", "found.n_tokens", "found.ids_sha256", "found.decoded_sha256")
