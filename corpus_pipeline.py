@@ -34,7 +34,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode_and_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids and decoded text of each document, as digests."""
-    return pieces.round_trip(docs)
+    return pieces.round_trip(docs, forget=True)
 
 
 STAGES = [
