@@ -26,7 +26,9 @@ from millrace.llm.common import BoundedCache, file_bytes, prepare, released
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 #: Entries that a worker keeps: chunks of text, and tested pairs.
-CHUNKS, PAIRS = 600_000, 200_000
+CHUNKS, PAIRS = 1_000_000, 1_000_000
+#: The same for a worker that is to forget them when its task ends.
+FEW_CHUNKS, FEW_PAIRS = 600_000, 200_000
 
 #: Fixed values of the format: the escaped space, what an unknown id decodes to, and the
 #: replacement of a byte that is no UTF-8.
@@ -225,6 +227,7 @@ def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mo
     @released
     def digests(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = worker_model(data)
+        model.chunk.limit, model.apart.limit = (FEW_CHUNKS, FEW_PAIRS) if forget else (CHUNKS, PAIRS)
         for texts in batches:
             counts, ids_digests, text_digests = [], [], []
             for value in texts:
